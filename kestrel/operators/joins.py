@@ -26,21 +26,23 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if n <= max_rows else df
 
 
-def asof_join(probe: DataFrame, versions: DataFrame, key: str, probe_ts: str, version_ts: str,
+def asof_join(probe: DataFrame, versions: DataFrame, key, probe_ts: str, version_ts: str,
               value_cols: Sequence[str]) -> DataFrame:
     """For each probe row, the newest version with ``version_ts <= probe_ts``
     (equality included: at equal time the version is visible).  Probe rows
-    without an earlier version get NULLs.  One shuffle by ``key``.
+    without an earlier version get NULLs.  One shuffle by ``key`` (a column
+    name or a list of names).
     """
+    keys = [key] if isinstance(key, str) else list(key)
     vtype = versions.select(F.struct(*[F.col(c) for c in value_cols]).alias("v")).schema["v"].dataType
     ptype = probe.select(F.struct(*[F.col(c) for c in probe.columns]).alias("p")).schema["p"].dataType
-    p = probe.select(F.col(key), F.col(probe_ts).alias("_t"), F.lit(1).alias("_side"),
+    p = probe.select(*keys, F.col(probe_ts).alias("_t"), F.lit(1).alias("_side"),
                      F.struct(*[F.col(c) for c in probe.columns]).alias("_probe"),
                      F.lit(None).cast(vtype).alias("_v"))
-    v = versions.select(F.col(key), F.col(version_ts).alias("_t"), F.lit(0).alias("_side"),
+    v = versions.select(*keys, F.col(version_ts).alias("_t"), F.lit(0).alias("_side"),
                         F.lit(None).cast(ptype).alias("_probe"),
                         F.struct(*[F.col(c) for c in value_cols]).alias("_v"))
-    w = Window.partitionBy(key).orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)
+    w = Window.partitionBy(*keys).orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)
     filled = p.unionByName(v).withColumn("_v", F.last("_v", ignorenulls=True).over(w))
     return filled.where(F.col("_side") == 1).select(
         *[F.col(f"_probe.{c}").alias(c) for c in probe.columns],
@@ -51,39 +53,28 @@ def asof_join_bucketed(probe: DataFrame, versions: DataFrame, key: str, probe_ts
                        value_cols: Sequence[str], bucket_seconds: int) -> DataFrame:
     """Skew-safe as-of join: entity timelines are cut into time buckets.
 
-    Versions are tagged with their bucket; the last version of every earlier
-    bucket is carried into the next bucket as a seed (an aggregate, so a hot
-    entity is reduced map-side), then the per-(entity, bucket) union + window
-    of :func:`asof_join` runs.  A hot entity is spread over its buckets.
-    Version rows must carry non-NULL values in ``value_cols``.
+    The newest version of every (entity, bucket) is found with ``max_by`` (a
+    partial aggregate, so a hot entity is reduced map-side) and carried into
+    later buckets as a seed over the small per-bucket table; then the
+    union + window of :func:`asof_join` runs per (entity, bucket).  A hot
+    entity's rows are spread over its time buckets instead of one task.
     """
     def bucket(c):
         return F.floor(F.unix_timestamp(F.col(c).cast("timestamp")) / bucket_seconds)
 
     pv = probe.withColumn("_bk", bucket(probe_ts))
-    vv = versions.withColumn("_bk", bucket(version_ts))
-    # seed of bucket b = latest version of any bucket < b, for buckets probed
-    last_per_bucket = vv.groupBy(key, "_bk").agg(
-        F.max_by(F.struct(*[F.col(c) for c in value_cols], F.col(version_ts).alias("_vt")),
-                 F.col(version_ts)).alias("_v"))
+    vv = versions.select(key, version_ts, *value_cols).withColumn("_bk", bucket(version_ts))
+    vstruct = F.struct(*[F.col(c) for c in value_cols], F.col(version_ts))
+    last_per_bucket = vv.groupBy(key, "_bk").agg(F.max_by(vstruct, F.col(version_ts)).alias("_v"))
     probed = pv.select(key, "_bk").distinct()
     w = Window.partitionBy(key).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
-    seeds_src = probed.join(last_per_bucket, [key, "_bk"], "full_outer")
-    seeds = seeds_src.withColumn("_seed", F.last("_v", ignorenulls=True).over(w)) \
-        .where(F.col("_seed").isNotNull()) \
-        .select(key, "_bk", F.col("_seed._vt").alias(version_ts), *[F.col(f"_seed.{c}").alias(c) for c in value_cols])
-    allv = vv.select(key, "_bk", version_ts, *value_cols).unionByName(seeds)
-    # per (entity, bucket) as-of via union + window
-    p = pv.select(F.col(key), "_bk", F.col(probe_ts).alias("_t"), F.lit(1).alias("_side"),
-                  F.struct(*[F.col(c) for c in probe.columns]).alias("_probe"),
-                  *[F.lit(None).cast(versions.schema[c].dataType).alias(c) for c in value_cols])
-    vrows = allv.select(F.col(key), "_bk", F.col(version_ts).alias("_t"), F.lit(0).alias("_side"),
-                        F.lit(None).cast(p.schema["_probe"].dataType).alias("_probe"), *value_cols)
-    u = p.unionByName(vrows)
-    w2 = Window.partitionBy(key, "_bk").orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)
-    filled = u.withColumns({c: F.last(F.col(c), ignorenulls=True).over(w2) for c in value_cols})
-    return filled.where(F.col("_side") == 1).select(
-        *[F.col(f"_probe.{c}").alias(c) for c in probe.columns], *value_cols)
+    seeds = (probed.join(last_per_bucket, [key, "_bk"], "full_outer")
+             .withColumn("_seed", F.last("_v", ignorenulls=True).over(w))
+             .where(F.col("_seed").isNotNull())
+             .select(key, "_bk", *[F.col(f"_seed.{c}").alias(c) for c in value_cols + [version_ts]]))
+    allv = vv.select(key, "_bk", *value_cols, version_ts).unionByName(seeds)
+    out = asof_join(pv, allv, [key, "_bk"], probe_ts, version_ts, list(value_cols))
+    return out.drop("_bk")
 
 
 def scd2_join(facts: DataFrame, versions: DataFrame, key: str, fact_ts: str,
