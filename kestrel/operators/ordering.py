@@ -11,6 +11,9 @@ splits, exact quantiles) we instead
 3. broadcast the per-range offsets back (bounded by ``n_ranges``) and finish
    with a window partitioned by range.
 
+The range-tagged rows are checkpointed once (see ``_with_range_id``), which
+also cuts the lineage of the (usually pre-aggregated) input.
+
 So no task ever holds more than one range of rows.  Callers pre-aggregate to
 unique order keys first when ties must be grouped.
 """
@@ -35,7 +38,17 @@ def _n_ranges(df: DataFrame, n: int | None) -> int:
 
 
 def _with_range_id(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
-    return df.repartitionByRange(n, *order).withColumn(_B, F.spark_partition_id())
+    """Range-partition and tag each row with its range number.
+
+    The range bounds come from a sample taken when the exchange is planned,
+    so two evaluations of the same plan may cut the ranges differently.  The
+    tagged rows are therefore materialised once with a reliable
+    ``checkpoint()`` (to the cluster's shared checkpoint folder) before they
+    are read twice (range totals, and rows).
+    """
+    from kestrel.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.repartitionByRange(n, *order).withColumn(_B, F.spark_partition_id()).checkpoint(eager=True)
 
 
 def running_sums(df: DataFrame, order: Sequence[Column], sums: dict[str, Column],
