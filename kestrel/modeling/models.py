@@ -91,22 +91,28 @@ def fit_quantile_boost(df: DataFrame, alpha: float, features_col: str = "feature
     base = df.select(features_col, F.col(label).cast("double").alias("_y"))
     init = exact_quantiles(base, "_y", [alpha], ["q"]).first()["q"]
     model = QuantileBoostModel(alpha=alpha, init=float(init), learning_rate=learning_rate)
-    cur = base.withColumn("_f", F.lit(float(init))).checkpoint(eager=True)
+    cur = base.withColumn("_f", F.lit(float(init))).checkpoint(eager=True).persist()
     for m in range(rounds):
         g = cur.withColumn("_g", F.when(F.col("_y") > F.col("_f"), F.lit(alpha)).otherwise(F.lit(alpha - 1.0)))
         tree = DecisionTreeRegressor(featuresCol=features_col, labelCol="_g", maxDepth=depth, seed=seed + m,
                                      leafCol="_leaf", predictionCol="_tp").fit(g)
         leafed = tree.transform(g).drop("_tp")
         upd = leafed.groupBy("_leaf").agg(
-            F.percentile_approx(F.col("_y") - F.col("_f"), alpha, 100000).alias("_u"))
+            F.percentile_approx(F.col("_y") - F.col("_f"), alpha, 20000).alias("_u"))
         values = {int(r["_leaf"]): float(r["_u"]) for r in upd.collect()}  # <= 2^depth rows
         model.trees.append(tree)
         model.leaf_values.append(values)
         lut = F.create_map(*[x for k, v in sorted(values.items()) for x in (F.lit(float(k)), F.lit(v))])
-        cur = leafed.withColumn("_f", F.col("_f") + F.lit(learning_rate) * F.coalesce(
+        nxt = leafed.withColumn("_f", F.col("_f") + F.lit(learning_rate) * F.coalesce(
             F.element_at(lut, F.col("_leaf")), F.lit(0.0))).drop("_leaf", "_g")
-        if (m + 1) % checkpoint_every == 0:
-            cur = cur.checkpoint(eager=True)
+        # keep one materialised generation in memory; every few rounds write
+        # it to the shared checkpoint folder so a lost executor only replays
+        # the rounds since then
+        nxt = (nxt.checkpoint(eager=True) if (m + 1) % checkpoint_every == 0 else nxt).persist()
+        nxt.count()
+        cur.unpersist()
+        cur = nxt
+    cur.unpersist()
     return model
 
 
@@ -125,10 +131,11 @@ def fit_soft_vote(train: DataFrame, label: str = "label", weight: str | None = "
     and a random forest), class-weighted; the ensemble score is the mean of
     their positive-class probabilities."""
     kw = {"weightCol": weight} if weight else {}
-    gbt = GBTClassifier(labelCol=label, featuresCol="features", maxIter=n_trees, maxDepth=6, stepSize=0.1,
-                        seed=seed, predictionCol="_p1", probabilityCol="_prob1", rawPredictionCol="_raw1", **kw).fit(train)
-    rf = RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=n_trees, maxDepth=8, seed=seed,
-                                predictionCol="_p2", probabilityCol="_prob2", rawPredictionCol="_raw2", **kw).fit(train)
+    gbt = (GBTClassifier(labelCol=label, featuresCol="features", maxIter=n_trees, maxDepth=6, stepSize=0.1,
+                         seed=seed, **kw)
+           .setPredictionCol("_p1").setProbabilityCol("_prob1").setRawPredictionCol("_raw1").fit(train))
+    rf = (RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=n_trees, maxDepth=8, seed=seed, **kw)
+          .setPredictionCol("_p2").setProbabilityCol("_prob2").setRawPredictionCol("_raw2").fit(train))
     return gbt, rf
 
 

@@ -167,3 +167,202 @@ def ml_shadow_compare(v):
                             .alias("prediction_score"))
     return shadow_compare(v.preds.select("transaction_id", "prediction_score"), shadow, "transaction_id",
                           "prediction_score", ALERT_THRESHOLD)
+
+
+# -- model jobs (rows-only checks: fitted models have no SQL oracle) ----------
+DELAY_FEATURES = ["stop_sequence", "direction_id", "hour_sin", "hour_cos", "day_sin", "day_cos",
+                  "temperature_2m", "precipitation", "snowfall", "wind_speed_10m"]
+QUANTILES = {"P50": 0.5, "P80": 0.8, "P90": 0.9}
+BOOST_ROUNDS = 4
+BOOST_DEPTH = 5
+BOOST_RATE = 0.3
+
+
+def delay_training_frame(v):
+    """Delay rows with model features, label and chronological split."""
+    from kestrel.modeling.models import assemble
+    d = delays(v)
+    hs, hc = cal.cyclic(F.col("hour"), 24)
+    ds, dc = cal.cyclic(F.col("day_of_week"), 7)
+    d = d.withColumns({"hour_sin": hs, "hour_cos": hc, "day_sin": ds, "day_cos": dc,
+                       "label": rel_clip(F.col("departure_delay"))})
+    d = fe.chrono_split(d.select("id", "timestamp_rounded", "label", *DELAY_FEATURES), ["timestamp_rounded", "id"])
+    return assemble(d, DELAY_FEATURES)
+
+
+def rel_clip(c):
+    from kestrel.operators.relational import clip_lower
+    return clip_lower(c, 0.0)
+
+
+def fit_delay_quantiles(v, rounds=BOOST_ROUNDS):
+    from kestrel.modeling.models import fit_quantile_boost
+    d = delay_training_frame(v)
+    train = d.where(F.col("split") == "train")
+    return d, {name: fit_quantile_boost(train, a, rounds=rounds, depth=BOOST_DEPTH, learning_rate=BOOST_RATE)
+               for name, a in QUANTILES.items()}
+
+
+@query("ml_quantile_boost")
+def ml_quantile_boost(v):
+    """P50 / P80 / P90 pinball-loss boosted trees; test-split predictions."""
+    d, models = fit_delay_quantiles(v)
+    test = d.where(F.col("split") == "test")
+    for name, mdl in models.items():
+        test = mdl.transform(test, out=f"prediction_{name}")
+    return test.select("id", F.col("label").alias("actual_delay"),
+                       *[F.round(f"prediction_{n}", 6).alias(f"prediction_{n}") for n in QUANTILES])
+
+
+def _fraud_training(v):
+    from kestrel.modeling.models import assemble
+    f = fraud_features(v)
+    split = _stratified(v).select("transaction_id", "split")
+    f = f.join(split, "transaction_id")
+    w = fe.class_weight(f.where(F.col("split") == "train"), "label").select("scale_pos_weight")
+    f = f.crossJoin(F.broadcast(w))  # one row
+    f = fe.with_weight(f, "label", F.col("scale_pos_weight"))
+    cols = ["amount", "category", "hour", "day_of_week", "client_tx_count", "client_avg_amount",
+            "client_amount_ratio", "merchant_tx_count"]
+    return assemble(f, cols), cols
+
+
+@query("ml_soft_vote")
+def ml_soft_vote(v):
+    """Boosted trees + random forest, class-weighted, mean probability on
+    the test split."""
+    from kestrel.modeling.models import fit_soft_vote, soft_vote_score
+    f, _ = _fraud_training(v)
+    models = fit_soft_vote(f.where(F.col("split") == "train"), n_trees=15)
+    s = soft_vote_score(models, f.where(F.col("split") == "test"))
+    return s.select("transaction_id", "label", F.round("p_gbt", 6).alias("p_gbt"), F.round("p_rf", 6).alias("p_rf"),
+                    F.round("score", 6).alias("score"))
+
+
+def _delay_classification(v):
+    d = delay_training_frame(v)
+    return d.withColumn("is_delayed", (F.col("label") > 0.1).cast("int"))
+
+
+@query("ml_clf_compare")
+def ml_clf_compare(v):
+    """Logistic regression, random forest and boosted trees on 'is delayed';
+    best-F1 threshold of each on the test split."""
+    from kestrel.modeling import evaluate as ev
+    from kestrel.modeling.models import classifiers, positive_probability
+    d = _delay_classification(v)
+    train, test = d.where(F.col("split") == "train"), d.where(F.col("split") == "test")
+    out = None
+    for name, est in classifiers("is_delayed", n_trees=10).items():
+        s = est.fit(train).transform(test).withColumn("s", positive_probability())
+        r = ev.f1_sweep(s, "is_delayed", "s").select(F.lit(name).alias("model"), "best_threshold", "best_f1")
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+@query("ml_reg_compare")
+def ml_reg_compare(v):
+    """Ridge, random forest and boosted-tree regressors: MAE / RMSE / R² on
+    the chronological test split."""
+    from kestrel.modeling import evaluate as ev
+    from kestrel.modeling.models import regressors
+    d = delay_training_frame(v)
+    train, test = d.where(F.col("split") == "train"), d.where(F.col("split") == "test")
+    out = None
+    for name, est in regressors("label", n_trees=10).items():
+        p = est.fit(train).transform(test)
+        r = ev.regression_metrics(p, "label", "prediction").select(F.lit(name).alias("model"), "n", "mae", "rmse", "r2")
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+@query("ml_feature_importance")
+def ml_feature_importance(v):
+    """Importances of the random-forest regressor, highest first."""
+    from kestrel.modeling.models import importances, regressors
+    d = delay_training_frame(v).where(F.col("split") == "train")
+    model = regressors("label", n_trees=10)["random_forest"].fit(d)
+    rows = importances(model, DELAY_FEATURES)  # one value per feature (bounded)
+    return v.spark.createDataFrame([(n, round(x, 6), i + 1) for i, (n, x) in enumerate(rows)],
+                                   "feature string, importance double, rank int")
+
+
+@query("win_rank_top_features", oracle="""
+WITH d AS (SELECT r.departure_delay, r.stop_sequence, r.hour, r.direction_id, w.temperature_2m, w.precipitation,
+                  w.snowfall, w.wind_speed_10m
+           FROM transport_rt r LEFT JOIN weather_hourly w ON r.timestamp_rounded = w.timestamp_rounded WHERE r.departure_delay IS NOT NULL),
+c AS (""" + "\nUNION ALL ".join(
+    f"SELECT '{f}' AS feature, corr({f}, departure_delay) AS c FROM d"
+    for f in ["stop_sequence", "hour", "direction_id", "temperature_2m", "precipitation", "snowfall", "wind_speed_10m"]) + """)
+SELECT feature, round(abs(c), 6) AS importance, CAST(row_number() OVER (ORDER BY abs(c) DESC, feature) AS INT) AS rank
+FROM c QUALIFY rank <= 5""")
+def win_rank_top_features(v):
+    """Top features by absolute importance (here |Pearson r| with the
+    delay), ranked with ``row_number`` over the small per-feature table."""
+    from pyspark.sql import Window
+    feats = ["stop_sequence", "hour", "direction_id", "temperature_2m", "precipitation", "snowfall", "wind_speed_10m"]
+    d = delays(v)
+    wide = d.agg(*[F.corr(F.col(f).cast("double"), "departure_delay").alias(f) for f in feats])
+    long = wide.selectExpr("stack({}, {}) AS (feature, c)".format(len(feats), ", ".join(f"'{f}', `{f}`" for f in feats)))
+    w = Window.orderBy(F.abs("c").desc(), "feature")  # one row per feature
+    return long.select("feature", F.round(F.abs("c"), 6).alias("importance"),
+                       F.row_number().over(w).cast("int").alias("rank")).where(F.col("rank") <= 5)
+
+
+@query("ml_save_load")
+def ml_save_load(v):
+    """Fit a feature+classifier pipeline, save it with its side tables
+    (threshold, client statistics), load everything back and score."""
+    from kestrel.modeling.models import fit_pipeline
+    from kestrel.session import shared_path
+    f, cols = _fraud_training(v)
+    base = f.drop("features")
+    model = fit_pipeline(base.where(F.col("split") == "train"), cols, "label", n_trees=10)
+    path = shared_path(v.spark, "fraud-model")
+    model.write().overwrite().save(f"{path}/pipeline")
+    lab = v.tx.where(F.col("is_fraud").isNotNull())
+    pay.client_stats(lab).write.mode("overwrite").parquet(f"{path}/client_stats")
+    v.spark.createDataFrame([(0.5, MODEL_VERSION)], "threshold double, model_version string") \
+        .write.mode("overwrite").parquet(f"{path}/meta")
+    from pyspark.ml import PipelineModel
+    loaded = PipelineModel.load(f"{path}/pipeline")
+    meta = v.spark.read.parquet(f"{path}/meta")
+    scored = loaded.transform(base.where(F.col("split") == "test")).crossJoin(F.broadcast(meta))
+    from kestrel.modeling.models import positive_probability
+    return scored.select("transaction_id", F.round(positive_probability(), 6).alias("score"),
+                         (positive_probability() >= F.col("threshold")).alias("is_alerted"), "model_version")
+
+
+@query("ml_batch_score")
+def ml_batch_score(v):
+    """Prediction requests (the logged requests) enriched with calendar and
+    weather features, scored by the three quantile models (saved and
+    reloaded as a bundle), appended to a prediction log and read back."""
+    from kestrel.modeling.models import assemble, load_quantile_bundle, save_quantile_bundle
+    from kestrel.functions import weather as wx
+    from kestrel.session import shared_path
+    _, models = fit_delay_quantiles(v, rounds=2)
+    path = shared_path(v.spark, "quantile-bundle")
+    save_quantile_bundle(models, path)
+    models = load_quantile_bundle(path)
+    req = v.prediction_logs.select("id", "bus_nbr", "direction_id", "stop_sequence", "month", "day", "hour",
+                                   "day_of_week", "timestamp")
+    w = v.weather_hourly
+    req = req.withColumn("timestamp_rounded", F.date_trunc("hour", "timestamp").cast("timestamp_ntz")) \
+        .join(w, "timestamp_rounded", "left")
+    hs, hc = cal.cyclic(F.col("hour"), 24)
+    ds, dc = cal.cyclic(F.col("day_of_week"), 7)
+    req = req.withColumns({"hour_sin": hs, "hour_cos": hc, "day_sin": ds, "day_cos": dc,
+                           "est_weekend": F.col("day_of_week").isin(5, 6).cast("int"),
+                           "vacances_scolaires": cal.school_holiday(F.col("timestamp")),
+                           **wx.weather_risks(F.col("temperature_2m"), F.col("weather_code"))})
+    req = req.withColumn("weather_status", F.when(F.col("temperature_2m").isNull(), "missing").otherwise("ok"))
+    scored = assemble(req, DELAY_FEATURES)
+    for name, mdl in models.items():
+        scored = mdl.transform(scored, out=f"prediction_{name}")
+    log = scored.select("id", "bus_nbr", "direction_id", "stop_sequence", "hour", "day_of_week", "est_weekend",
+                        "vacances_scolaires", "weather_status",
+                        *[F.round(f"prediction_{n}", 6).alias(f"prediction_{n}") for n in QUANTILES])
+    out = shared_path(v.spark, "prediction-log")
+    log.write.mode("append").parquet(out)
+    return v.spark.read.parquet(out)
