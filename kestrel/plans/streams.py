@@ -1 +1,139 @@
-"""Placeholder."""
+"""Streaming queries.  Each stages rows derived from the tables as a file
+source in the shared folder, runs the streaming job to completion with an
+``availableNow`` trigger and returns the sink contents."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from kestrel.plans.registry import query
+from kestrel.session import shared_path
+from kestrel.streaming import jobs
+
+
+def _stage_events(v, n_files: int = 30):
+    """Events as a file source, one file per day-bucket (files arrive in
+    several micro-batches)."""
+    path = shared_path(v.spark, "stream-src-events")
+    v.t.events.repartition(n_files, F.to_date("ts")).write.mode("overwrite").parquet(path)
+    return path
+
+
+def _run(v, df, name, mode="append"):
+    out, ck = shared_path(v.spark, f"{name}-out"), shared_path(v.spark, f"{name}-ckpt")
+    jobs.run_to_files(df, out, ck, mode)
+    return v.spark.read.parquet(out)
+
+
+@query("stream_tumbling_counters")
+def stream_tumbling_counters(v):
+    s = jobs.event_stream(v.spark, _stage_events(v))
+    return _run(v, jobs.tumbling_counters(s), "tumbling")
+
+
+@query("stream_sliding_features")
+def stream_sliding_features(v):
+    s = jobs.event_stream(v.spark, _stage_events(v))
+    return _run(v, jobs.sliding_features(s), "sliding")
+
+
+@query("stream_sessions")
+def stream_sessions(v):
+    s = jobs.event_stream(v.spark, _stage_events(v))
+    return _run(v, jobs.sessions(s), "sessions")
+
+
+@query("stream_failed_logins")
+def stream_failed_logins(v):
+    s = jobs.event_stream(v.spark, _stage_events(v))
+    return _run(v, jobs.failed_login_alerts(s, k=2, width="1 hour"), "failed-logins")
+
+
+@query("stream_enrich_static")
+def stream_enrich_static(v):
+    s = jobs.event_stream(v.spark, _stage_events(v))
+    prof = v.t.customer.select(F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("segment"),
+                               F.col("c_nationkey").alias("nation_key"))
+    return _run(v, jobs.enrich_static(s, prof), "enrich")
+
+
+@query("stream_velocity_state")
+def stream_velocity_state(v):
+    s = jobs.event_stream(v.spark, _stage_events(v)).where(F.col("event_type") == "purchase")
+    return _run(v, jobs.velocity_state(s), "velocity")
+
+
+@query("stream_dedupe")
+def stream_dedupe(v):
+    """Payment records delivered twice (the second copy in a later file);
+    one row per transaction survives."""
+    path = shared_path(v.spark, "stream-src-payments")
+    tx = v.tx.select("transaction_id", "timestamp", "amount", "category")
+    tx.repartition(8).write.mode("overwrite").parquet(path)
+    tx.repartition(8).write.mode("append").parquet(path)
+    schema = "transaction_id long, timestamp timestamp_ntz, amount decimal(15,2), category string"
+    s = (v.spark.readStream.schema(schema).option("maxFilesPerTrigger", 4).parquet(path)
+         .withColumn("timestamp", F.col("timestamp").cast("timestamp")))
+    return _run(v, jobs.dedupe(s, "transaction_id", "timestamp", watermark="3650 days"), "dedupe")
+
+
+@query("stream_late_split")
+def stream_late_split(v):
+    """Events arrive newest-days-first for some files: rows older than an
+    hour before the newest time of earlier batches are set aside."""
+    path = shared_path(v.spark, "stream-src-late")
+    e = v.t.events
+    day = F.dayofmonth("ts")
+    e.where(day > 20).repartition(4).write.mode("overwrite").parquet(path)
+    e.where(day <= 20).repartition(4).write.mode("append").parquet(path)
+    s = jobs.event_stream(v.spark, path, files_per_trigger=4)
+    on_time, late, prog = (shared_path(v.spark, n) for n in ("late-on-time", "late-late", "late-progress"))
+    jobs.run_foreach_batch(s, jobs.split_late(v.spark, on_time, late, prog), shared_path(v.spark, "late-ckpt"))
+    a = v.spark.read.parquet(on_time).withColumn("is_late", F.lit(False))
+    b = v.spark.read.parquet(late).withColumn("is_late", F.lit(True))
+    return a.unionByName(b).select("event_id", "ts", "user_id", "is_late", "batch_id")
+
+
+@query("stream_alerts")
+def stream_alerts(v):
+    """Scores arrive as a stream; flagged ones are appended to the alert
+    table."""
+    path = shared_path(v.spark, "stream-src-scores")
+    v.preds.join(v.tx.select("transaction_id", "timestamp"), "transaction_id") \
+        .repartition(8).write.mode("overwrite").parquet(path)
+    schema = "transaction_id long, model_version string, prediction_score double, is_alerted boolean, timestamp timestamp_ntz"
+    s = v.spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(path)
+    return _run(v, s.where(F.col("is_alerted")), "alerts")
+
+
+@query("stream_score")
+def stream_score(v):
+    """Payment records -> validation -> features -> score -> transactions,
+    predictions and alerts tables; bad records logged, stream continues."""
+    from pyspark.ml.classification import LogisticRegression
+    from kestrel.modeling.features import label_encode
+    from kestrel.modeling.models import assemble
+    from kestrel.operators.payments import client_stats, merchant_stats, lookup_stats_with_default
+    tx = v.tx
+    lab = tx.where(F.col("is_fraud").isNotNull())
+    cs, ms = client_stats(lab), merchant_stats(lab)
+    enc = label_encode(lab.select("category").distinct(), "category", "category_code")
+    feature_cols = ["amount_d", "category_code", "hour", "day_of_week", "client_tx_count", "client_avg_amount",
+                    "client_amount_ratio", "merchant_tx_count"]
+    train = lookup_stats_with_default(lab.join(enc, "category"), cs, ms).withColumns(
+        {"hour": F.hour("timestamp"), "day_of_week": F.weekday("timestamp"), "amount_d": F.col("amount").cast("double"),
+         "label": F.col("is_fraud").cast("int")})
+    model = LogisticRegression(labelCol="label", maxIter=20).fit(assemble(train, feature_cols))
+    # incoming records: unlabelled transactions, some with a missing amount
+    src = shared_path(v.spark, "stream-src-records")
+    rec = tx.where(F.col("is_fraud").isNull()).select(
+        "transaction_id", "timestamp", F.when(F.col("transaction_id") % 97 == 0, F.lit(None)).otherwise(F.col("amount"))
+        .cast("decimal(15,2)").alias("amount"), "category", "client_id", "merchant_id")
+    rec.repartition(6).write.mode("overwrite").parquet(src)
+    schema = ("transaction_id long, timestamp timestamp_ntz, amount decimal(15,2), category string, client_id long, "
+              "merchant_id long")
+    s = v.spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(src)
+    out = {k: shared_path(v.spark, f"score-{k}") for k in ("transactions", "predictions", "alerts", "bad")}
+    fn = jobs.scoring_batch(v.spark, model, enc, cs, ms, feature_cols, out, threshold=0.5, version="logit-v1")
+    jobs.run_foreach_batch(s, fn, shared_path(v.spark, "score-ckpt"))
+    return v.spark.read.parquet(out["predictions"])
