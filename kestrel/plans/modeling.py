@@ -186,7 +186,8 @@ def delay_training_frame(v):
     ds, dc = cal.cyclic(F.col("day_of_week"), 7)
     d = d.withColumns({"hour_sin": hs, "hour_cos": hc, "day_sin": ds, "day_cos": dc,
                        "label": rel_clip(F.col("departure_delay"))})
-    d = fe.chrono_split(d.select("id", "timestamp_rounded", "label", *DELAY_FEATURES), ["timestamp_rounded", "id"])
+    d = d.select("id", "timestamp_rounded", "label", *DELAY_FEATURES).na.fill(0.0, DELAY_FEATURES)  # NaN -> 0
+    d = fe.chrono_split(d, ["timestamp_rounded", "id"])
     return assemble(d, DELAY_FEATURES)
 
 
@@ -338,28 +339,17 @@ def ml_batch_score(v):
     """Prediction requests (the logged requests) enriched with calendar and
     weather features, scored by the three quantile models (saved and
     reloaded as a bundle), appended to a prediction log and read back."""
-    from kestrel.modeling.models import assemble, load_quantile_bundle, save_quantile_bundle
-    from kestrel.functions import weather as wx
+    from kestrel.modeling.models import load_quantile_bundle, save_quantile_bundle
+    from kestrel.modeling import scoring
     from kestrel.session import shared_path
     _, models = fit_delay_quantiles(v, rounds=2)
     path = shared_path(v.spark, "quantile-bundle")
     save_quantile_bundle(models, path)
     models = load_quantile_bundle(path)
     req = v.prediction_logs.select("id", "bus_nbr", "direction_id", "stop_sequence", "month", "day", "hour",
-                                   "day_of_week", "timestamp")
-    w = v.weather_hourly
-    req = req.withColumn("timestamp_rounded", F.date_trunc("hour", "timestamp").cast("timestamp_ntz")) \
-        .join(w, "timestamp_rounded", "left")
-    hs, hc = cal.cyclic(F.col("hour"), 24)
-    ds, dc = cal.cyclic(F.col("day_of_week"), 7)
-    req = req.withColumns({"hour_sin": hs, "hour_cos": hc, "day_sin": ds, "day_cos": dc,
-                           "est_weekend": F.col("day_of_week").isin(5, 6).cast("int"),
-                           "vacances_scolaires": cal.school_holiday(F.col("timestamp")),
-                           **wx.weather_risks(F.col("temperature_2m"), F.col("weather_code"))})
-    req = req.withColumn("weather_status", F.when(F.col("temperature_2m").isNull(), "missing").otherwise("ok"))
-    scored = assemble(req, DELAY_FEATURES)
-    for name, mdl in models.items():
-        scored = mdl.transform(scored, out=f"prediction_{name}")
+                                   "day_of_week")
+    good, bad = scoring.prepare_requests(req, 2024)
+    scored = scoring.score(scoring.enrich(good, v.weather_hourly), models, DELAY_FEATURES)
     log = scored.select("id", "bus_nbr", "direction_id", "stop_sequence", "hour", "day_of_week", "est_weekend",
                         "vacances_scolaires", "weather_status",
                         *[F.round(f"prediction_{n}", 6).alias(f"prediction_{n}") for n in QUANTILES])

@@ -11,11 +11,16 @@ from kestrel.session import shared_path
 from kestrel.streaming import jobs
 
 
-def _stage_events(v, n_files: int = 30):
-    """Events as a file source, one file per day-bucket (files arrive in
-    several micro-batches)."""
+def _stage_events(v, n_slices: int = 6, files_per_slice: int = 4):
+    """Events as a file source that arrives in event-time order: six
+    consecutive time slices are written one after the other (each slice by
+    ``files_per_slice`` parallel tasks), so file modification times follow
+    event time and one micro-batch carries one slice."""
     path = shared_path(v.spark, "stream-src-events")
-    v.t.events.repartition(n_files, F.to_date("ts")).write.mode("overwrite").parquet(path)
+    e = v.t.events
+    sl = F.floor((F.dayofmonth("ts") - 1) * n_slices / 31)
+    for i in range(n_slices):
+        e.where(sl == i).repartition(files_per_slice).write.mode("append").parquet(path)
     return path
 
 

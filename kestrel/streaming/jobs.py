@@ -104,33 +104,61 @@ def dedupe(stream: DataFrame, key: str, ts: str, watermark: str = "1 hour") -> D
 
 # -- arbitrary state: per-user velocity ------------------------------------------
 VELOCITY_OUT = "event_id long, user_id long, ts timestamp, last_1h_count long"
-VELOCITY_STATE = "times array<timestamp>"
+VELOCITY_STATE = "times array<long>, pending_ids array<long>, pending_times array<long>"
 
 
 def _velocity(window_s: int):
+    """Event-time exact trailing count per user.
+
+    State per user: epoch seconds of the events that can still fall inside
+    some future window, plus the events not yet emitted.  An event is
+    emitted once the watermark has passed its time (so every earlier event
+    has arrived); its count covers all kept events with a time in
+    ``[t - window_s, t]`` (whole seconds, ties included), matching the batch
+    ``rangeBetween(-window_s, 0)`` window.  Kept times older than the
+    earliest pending time minus the window are pruned, so state stays
+    bounded by one window of events per user.
+    """
+    import bisect
+
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        times = list(state.get[0]) if state.exists else []
-        rows = []
+        if state.exists:
+            times, p_ids, p_times = (list(x) for x in state.get)
+        else:
+            times, p_ids, p_times = [], [], []
         for pdf in pdfs:
-            for eid, ts in sorted(zip(pdf["event_id"], pdf["ts"]), key=lambda t: (t[1], t[0])):
-                ts = pd.Timestamp(ts)
-                times = [t for t in times if (ts - pd.Timestamp(t)).total_seconds() <= window_s] + [ts]
-                rows.append((int(eid), int(key[0]), ts, len(times)))
-        if times:
-            newest = max(pd.Timestamp(t) for t in times)
-            times = [t for t in times if (newest - pd.Timestamp(t)).total_seconds() <= window_s]
-        state.update((times,))
+            secs = (pd.to_datetime(pdf["ts"]).astype("int64") // 10**9).tolist()
+            times.extend(secs)
+            p_ids.extend(int(x) for x in pdf["event_id"])
+            p_times.extend(secs)
+        times.sort()
+        wm = state.getCurrentWatermarkMs() // 1000
+        rows, keep_ids, keep_times = [], [], []
+        for eid, t in zip(p_ids, p_times):
+            if t <= wm:
+                n = bisect.bisect_right(times, t) - bisect.bisect_left(times, t - window_s)
+                rows.append((eid, int(key[0]), pd.Timestamp(t, unit="s"), n))
+            else:
+                keep_ids.append(eid)
+                keep_times.append(t)
+        horizon = (min(keep_times) if keep_times else wm) - window_s
+        times = [t for t in times if t >= horizon]
+        if times or keep_ids:
+            state.update((times, keep_ids, keep_times))
+            if keep_times:
+                state.setTimeoutTimestamp(min(keep_times) * 1000 + 1000)
+        else:
+            state.remove()
         yield pd.DataFrame(rows, columns=["event_id", "user_id", "ts", "last_1h_count"])
     return fn
 
 
-def velocity_state(events: DataFrame, window_s: int = 3600) -> DataFrame:
-    """Running count of each user's events in the trailing window, kept as
-    per-user state holding only the timestamps still inside the window
-    (state size is bounded by the window, not by history)."""
-    return (events.select("event_id", "user_id", "ts").groupBy("user_id")
+def velocity_state(events: DataFrame, window_s: int = 3600, watermark: str = "1 hour") -> DataFrame:
+    """Running count of each user's events in the trailing window with
+    per-user state (``applyInPandasWithState``, event-time timeout)."""
+    return (events.select("event_id", "user_id", "ts").withWatermark("ts", watermark).groupBy("user_id")
             .applyInPandasWithState(_velocity(window_s), VELOCITY_OUT, VELOCITY_STATE, "append",
-                                    GroupStateTimeout.NoTimeout))
+                                    GroupStateTimeout.EventTimeTimeout))
 
 
 # -- late data ---------------------------------------------------------------------
