@@ -166,9 +166,8 @@ def with_public_holiday(df: DataFrame, ts: str, out: str = "est_jour_ferie",
                         include_sundays: bool = True, include_eves: bool = True) -> DataFrame:
     """Flag rows whose date is a public holiday (left join to the generated
     table, which is bounded by the data's year span)."""
-    span = df.select(F.min(F.year(ts)).alias("a"), F.max(F.year(ts)).alias("b"))
-    hol = public_holidays(df.sparkSession, span.select("a").scalar(), span.select("b").scalar(),
-                          include_sundays, include_eves)
+    span = df.select(F.min(F.year(ts)).alias("a"), F.max(F.year(ts)).alias("b")).first()  # two scalars
+    hol = public_holidays(df.sparkSession, span["a"], span["b"], include_sundays, include_eves)
     hol = hol.withColumn("_hol", F.lit(1))
     return (df.join(F.broadcast(hol), F.to_date(F.col(ts)) == F.col("holiday_date"), "left")
             .withColumn(out, F.coalesce(F.col("_hol"), F.lit(0)))

@@ -78,16 +78,20 @@ def asof_join_bucketed(probe: DataFrame, versions: DataFrame, key: str, probe_ts
 
 
 def scd2_join(facts: DataFrame, versions: DataFrame, key: str, fact_ts: str,
-              valid_from: str, valid_to: str, value_cols: Sequence[str]) -> DataFrame:
+              valid_from: str, valid_to: str, value_cols: Sequence[str],
+              bucket_seconds: int = 30 * 86400) -> DataFrame:
     """Fact rows to the version valid at ``fact_ts``: ``from <= t < to``
     (open end when ``to`` is NULL); unmatched facts are kept with NULLs.
 
     Versions of one entity are contiguous (``to`` = next ``from``), so this
     is the as-of join on ``valid_from`` plus a check against ``valid_to``
-    for gaps; no range join is planned.
+    for gaps; no range join is planned.  The as-of runs per (entity, time
+    bucket), so a merchant carrying a third of the facts is still split
+    over its buckets.
     """
     vcols = list(value_cols) + [valid_to]
-    j = asof_join(facts, versions.select(key, valid_from, *vcols), key, fact_ts, valid_from, vcols)
+    j = asof_join_bucketed(facts, versions.select(key, valid_from, *vcols), key, fact_ts, valid_from, vcols,
+                           bucket_seconds)
     ok = F.col(valid_to).isNull() | (F.col(fact_ts) < F.col(valid_to))
     out = j.select(*facts.columns, *[F.when(ok, F.col(c)).alias(c) for c in value_cols])
     return out

@@ -78,22 +78,26 @@ def global_row_number(df: DataFrame, order: Sequence[Column], name: str = "row_n
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
                     names: Sequence[str] | None = None, group: Sequence[str] = ()) -> DataFrame:
     """Exact linear-interpolated quantiles (``percentile`` / ``quantile_cont``)
-    of ``value`` per ``group``, computed from per-value counts so that no task
-    needs the whole column.  NULL values are ignored.
+    of ``value`` per ``group``, from per-(group, value) counts.
+
+    The counts are cumulated with one range-partitioned prefix sum over
+    (group, value); each group's offset (rows of the groups before it) is
+    subtracted, so a group holding most rows is still split over ranges.
+    NULL values are ignored.
     """
     names = list(names or [f"q{int(p * 100)}" for p in probs])
     g = list(group)
     counts = df.where(F.col(value).isNotNull()).groupBy(*g, value).agg(F.count(F.lit(1)).alias("_c"))
+    cum = running_sums(counts, [*[F.col(c) for c in g], F.col(value)], {"_cum": F.col("_c")})
     if g:
-        # per-group totals; order within group by value
-        w = Window.partitionBy(*g).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-        cum = counts.withColumn("_cum", F.sum("_c").over(w))
         tot = counts.groupBy(*g).agg(F.sum("_c").alias("_n"))
+        tot = running_sums(tot, [F.col(c) for c in g], {"_end": F.col("_n")})
+        tot = tot.withColumn("_off", F.col("_end") - F.col("_n")).drop("_end")
         cum = cum.join(tot, g)
     else:
-        cum = running_sums(counts, [F.col(value)], {"_cum": F.col("_c")})
-        cum = cum.crossJoin(F.broadcast(counts.agg(F.sum("_c").alias("_n"))))  # 1 row
-    cum = cum.withColumn("_lo", F.col("_cum") - F.col("_c"))  # rows strictly before
+        cum = cum.crossJoin(F.broadcast(counts.agg(F.sum("_c").alias("_n"), F.lit(0).alias("_off"))))  # 1 row
+    cum = cum.withColumn("_cum", F.col("_cum") - F.col("_off"))
+    cum = cum.withColumn("_lo", F.col("_cum") - F.col("_c"))  # rows of the group strictly before
     outs = []
     for p, nm in zip(probs, names):
         pos = (F.col("_n") - 1) * F.lit(float(p))

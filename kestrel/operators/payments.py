@@ -96,10 +96,11 @@ def lookup_stats_with_default(df: DataFrame, cstats: DataFrame, mstats: DataFram
     so they may be as large as the client base.
     """
     from kestrel.operators.ordering import exact_quantiles
-    med_c = exact_quantiles(cstats, "client_tx_count", [0.5], ["_m_cnt"]).crossJoin(
-        exact_quantiles(cstats, "client_avg_amount", [0.5], ["_m_avg"]))
-    med_m = exact_quantiles(mstats, "merchant_tx_count", [0.5], ["_m_mcnt"])
-    meds = med_c.crossJoin(med_m)  # 1 x 1 x 1 row
+    stacked = (cstats.select(F.lit("_m_cnt").alias("stat"), F.col("client_tx_count").cast("double").alias("v"))
+               .unionByName(cstats.select(F.lit("_m_avg").alias("stat"), F.col("client_avg_amount").cast("double").alias("v")))
+               .unionByName(mstats.select(F.lit("_m_mcnt").alias("stat"), F.col("merchant_tx_count").cast("double").alias("v"))))
+    med = exact_quantiles(stacked, "v", [0.5], ["m"], group=["stat"])
+    meds = med.groupBy().pivot("stat", ["_m_cnt", "_m_avg", "_m_mcnt"]).agg(F.first("m"))  # one row
     out = (df.join(cstats, client, "left").join(mstats, merchant, "left")
            .crossJoin(F.broadcast(meds)))
     out = out.withColumns({

@@ -26,10 +26,12 @@ def transport_weather(v) -> DataFrame:
     """Transport rows left-joined to hourly weather on the rounded hour.
 
     The weather side is one row per clock hour of the data span (8 760 rows
-    a year per location), a structural bound, so it is broadcast.
+    a year per location); it is broadcast after a bounded count confirms
+    it stays under a million rows, otherwise the join is left to AQE.
     """
+    from kestrel.operators.joins import broadcast_if_small
     w = v.weather_hourly.select("timestamp_rounded", *WEATHER_COLS)
-    return (v.transport_rt.join(F.broadcast(w), "timestamp_rounded", "left")
+    return (v.transport_rt.join(broadcast_if_small(w, 1_000_000), "timestamp_rounded", "left")
             .withColumn("day_of_week", cal.weekday0(F.col("timestamp_rounded"))))
 
 

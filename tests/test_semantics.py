@@ -264,3 +264,20 @@ def test_broadcast_if_small_checks_bound(spark):
     big = spark.range(100)
     assert "broadcast" in jn.broadcast_if_small(small, 10)._jdf.queryExecution().logical().toString().lower()
     assert jn.broadcast_if_small(big, 10) is big
+
+
+def test_sql_functions_match_column_builders(spark):
+    from kestrel.functions.sql import register_functions
+    from kestrel.plans.transit import DELAY_EDGES, DELAY_LABELS
+    register_functions(spark)
+    df = spark.createDataFrame([(dt.date(2024, 2, 28), 61, -3.0, ts("2024-01-01 10:30:00"), 0.7),
+                                (dt.date(2024, 3, 20), 2, 75.0, ts("2024-01-01 10:29:00"), 0.95)],
+                               "d date, c int, s double, t timestamp_ntz, p double")
+    df.createOrReplaceTempView("fn_probe")
+    a = spark.sql("SELECT school_holiday(d) a, weather_recode(c) b, delay_bin(s) c, round_hour(t) e, "
+                  "score_band(p) f, weather_severity(c) g FROM fn_probe").collect()
+    b = df.select(cal.school_holiday(F.col("d")).alias("a"), wx.recode(F.col("c")).alias("b"),
+                  agg.right_closed_bins(F.col("s"), DELAY_EDGES, DELAY_LABELS).alias("c"),
+                  cal.round_hour(F.col("t")).alias("e"), pay.score_band(F.col("p")).alias("f"),
+                  wx.severity(F.col("c")).alias("g")).collect()
+    assert [tuple(r) for r in a] == [tuple(r) for r in b]
