@@ -1,9 +1,9 @@
 """Generic statistical aggregates expressed as single-pass ``agg`` plans.
 
 Every function here compiles to a partial + final hash aggregate (one
-shuffle of pre-aggregated rows).  Wide results (correlations, profiles) are
-computed as many aggregate expressions in one pass and reshaped with
-``stack``, never with one job per column.
+shuffle of pre-aggregated rows).  Many-column results (correlations) unnest
+each row into (pair, x, y) records inside the task and run one grouped
+aggregate, never one job per column.
 """
 
 from __future__ import annotations
@@ -103,39 +103,39 @@ def equal_width_histogram(df: DataFrame, col: str, n_bins: int, by: Column | Non
     return out.withColumn("lower", rnd(lo + (F.col("bucket") - 1) * width))
 
 
+def _pairwise_corr(df: DataFrame, pairs: Sequence[tuple[str, str]], flag: Column) -> DataFrame:
+    """corr(a, b) per (pair, flag) in long form: every row is unnested into
+    one (a, b, x, y) record per pair inside the task, then a single grouped
+    ``corr`` with a handful of groups runs (partial aggregation; the shuffle
+    carries one buffer per group and task).  Compared with one wide
+    aggregate of 2 * len(pairs) ``corr`` expressions this keeps the
+    generated code small."""
+    recs = F.explode(F.array(*[F.struct(F.lit(a).alias("var_a"), F.lit(b).alias("var_b"),
+                                        F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
+                               for a, b in pairs])).alias("r")
+    long = df.select(flag.alias("g"), recs).select("g", "r.*")
+    return long.groupBy("var_a", "var_b", "g").agg(F.corr("x", "y").alias("c"))
+
+
+def _by_flag(c: DataFrame) -> DataFrame:
+    return c.groupBy("var_a", "var_b").agg(F.max(F.when(F.col("g") == 0, F.col("c"))).alias("c0"),
+                                           F.max(F.when(F.col("g") == 1, F.col("c"))).alias("c1"))
+
+
 def corr_with_target(df: DataFrame, features: Sequence[str], target: str, flag: Column) -> DataFrame:
     """Pearson correlation of each feature with ``target`` separately where
-    ``flag`` is 0 and 1, and their difference — one aggregation pass."""
-    exprs = []
-    for f in features:
-        for g in (0, 1):
-            exprs.append(F.corr(F.when(flag == g, F.col(f)), F.when(flag == g, F.col(target)))
-                         .alias(f"{f}__{g}"))
-    wide = df.agg(*exprs)
-    stack = "stack({n}, {items}) AS (feature, corr_without, corr_with)".format(
-        n=len(features), items=", ".join(f"'{f}', `{f}__0`, `{f}__1`" for f in features))
-    long = wide.selectExpr(stack)
-    return long.select("feature", rnd(F.col("corr_without")).alias("corr_without"),
-                       rnd(F.col("corr_with")).alias("corr_with"),
-                       rnd(F.col("corr_with") - F.col("corr_without")).alias("difference"))
+    ``flag`` is 0 and 1, and their difference."""
+    w = _by_flag(_pairwise_corr(df, [(f, target) for f in features], flag))
+    return w.select(F.col("var_a").alias("feature"), rnd(F.col("c0")).alias("corr_without"),
+                    rnd(F.col("c1")).alias("corr_with"), rnd(F.col("c1") - F.col("c0")).alias("difference"))
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str], flag: Column) -> DataFrame:
-    """Full correlation matrix per group (flag 0 / 1) and their difference."""
-    exprs, pairs = [], []
-    for i, a in enumerate(cols):
-        for b in cols[i:]:
-            pairs.append((a, b))
-            for g in (0, 1):
-                exprs.append(F.corr(F.when(flag == g, F.col(a)), F.when(flag == g, F.col(b)))
-                             .alias(f"{a}__{b}__{g}"))
-    wide = df.agg(*exprs)
-    items = []
-    for a, b in pairs:
-        items.append(f"'{a}', '{b}', `{a}__{b}__0`, `{a}__{b}__1`")
-        if a != b:
-            items.append(f"'{b}', '{a}', `{a}__{b}__0`, `{a}__{b}__1`")
-    long = wide.selectExpr(f"stack({len(items)}, {', '.join(items)}) AS (var_a, var_b, corr_without, corr_with)")
-    return long.select("var_a", "var_b", rnd(F.col("corr_without")).alias("corr_without"),
-                       rnd(F.col("corr_with")).alias("corr_with"),
-                       rnd(F.col("corr_with") - F.col("corr_without")).alias("difference"))
+    """Full correlation matrix per group (flag 0 / 1) and their difference
+    (each unordered pair computed once, mirrored)."""
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
+    w = _by_flag(_pairwise_corr(df, pairs, flag))
+    mirrored = w.unionByName(w.where(F.col("var_a") != F.col("var_b"))
+                             .select(F.col("var_b").alias("var_a"), F.col("var_a").alias("var_b"), "c0", "c1"))
+    return mirrored.select("var_a", "var_b", rnd(F.col("c0")).alias("corr_without"),
+                           rnd(F.col("c1")).alias("corr_with"), rnd(F.col("c1") - F.col("c0")).alias("difference"))

@@ -229,9 +229,8 @@ class Views:
     def merchant_changes(self) -> DataFrame:
         def build():
             s = self.t.supplier
-            versions = self.spark.range(3).select(F.col("id").cast("int").alias("v"))
             day = F.expr("INTERVAL 1 DAY")
-            return (s.crossJoin(F.broadcast(versions))  # fixed 3-row literal
+            return (s.withColumn("v", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))  # 3 versions each
                     .select(F.col("s_suppkey").alias("merchant_key"),
                             F.concat(F.col("s_name"), F.lit("-"), F.col("v").cast("string"))
                              .alias("merchant_name"),
