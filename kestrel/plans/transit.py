@@ -30,8 +30,10 @@ def transport_weather(v) -> DataFrame:
     it stays under a million rows, otherwise the join is left to AQE.
     """
     from kestrel.operators.joins import broadcast_if_small
-    w = v.weather_hourly.select("timestamp_rounded", *WEATHER_COLS)
-    return (v.transport_rt.join(broadcast_if_small(w, 1_000_000), "timestamp_rounded", "left")
+    # the size check runs once per data folder (memoised on the views)
+    w = v._get("weather_side", lambda: broadcast_if_small(
+        v.weather_hourly.select("timestamp_rounded", *WEATHER_COLS), 1_000_000))
+    return (v.transport_rt.join(w, "timestamp_rounded", "left")
             .withColumn("day_of_week", cal.weekday0(F.col("timestamp_rounded"))))
 
 
