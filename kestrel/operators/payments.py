@@ -29,8 +29,8 @@ def fraud_kpis(df: DataFrame, amount: str = "amount", alert: str = "is_alerted")
         F.count(F.lit(1)).alias("total"),
         F.count_if(a).alias("alerts"),
         F.round(F.try_divide(F.count_if(a) * 100.0, F.count(F.lit(1))), 6).alias("alert_rate_pct"),
-        F.sum(amount).alias("volume"),
-        F.coalesce(F.sum(F.when(a, F.col(amount))), F.lit(0).cast("decimal(25,2)")).alias("alerted_volume"),
+        F.sum(amount).cast("decimal(38,2)").alias("volume"),
+        F.coalesce(F.sum(F.when(a, F.col(amount))), F.lit(0)).cast("decimal(38,2)").alias("alerted_volume"),
     )
 
 

@@ -15,6 +15,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def money_sum(col: str) -> Column:
+    """Sum of a DECIMAL(p,2) money column at the widest precision (38, 2),
+    so totals never overflow whatever the number of rows."""
+    return F.sum(col).cast("decimal(38,2)")
+
+
 def revenue_by_day_region(fact: DataFrame, dim_date: DataFrame, dim_geo: DataFrame,
                           year: int, month: int) -> DataFrame:
     d = dim_date.where((F.col("year") == year) & (F.col("month") == month)).select("date_key", "full_date")
@@ -25,7 +31,7 @@ def revenue_by_day_region(fact: DataFrame, dim_date: DataFrame, dim_geo: DataFra
     lo, hi = year * 10000 + month * 100 + 1, year * 10000 + month * 100 + 31
     j = fact.where(F.col("date_key").between(lo, hi)).join(d, "date_key").join(g, "geography_key")
     return (j.groupBy("full_date", "region")
-            .agg(F.sum("gross_amount").alias("total_brut"), F.sum("net_revenue").alias("total_net"),
+            .agg(money_sum("gross_amount").alias("total_brut"), money_sum("net_revenue").alias("total_net"),
                  F.count(F.lit(1)).alias("nb_tx"))
             .orderBy(F.desc("full_date"), F.desc("total_brut")))
 
@@ -37,13 +43,13 @@ def cohort_spend(fact: DataFrame, dim_customer: DataFrame, dim_date: DataFrame)
     d = dim_date.select("date_key", "full_date", "month")
     j = fact.join(c, "customer_key").join(d, "date_key").where(F.col("full_date") >= F.col("signup_cohort_month"))
     return (j.groupBy("signup_cohort_month", F.col("month").alias("mois_activite"))
-            .agg(F.sum("gross_amount").alias("depenses_cohorte"))
+            .agg(money_sum("gross_amount").alias("depenses_cohorte"))
             .orderBy("signup_cohort_month", "mois_activite"))
 
 
 def daily_revenue_merchant(fact: DataFrame) -> DataFrame:
     return fact.groupBy("date_key", "merchant_key").agg(
-        F.sum("gross_amount").alias("gross_amount"), F.sum("net_revenue").alias("net_revenue"),
+        money_sum("gross_amount").alias("gross_amount"), money_sum("net_revenue").alias("net_revenue"),
         F.count(F.lit(1)).alias("nb_tx"))
 
 
@@ -51,7 +57,7 @@ def monthly_global(fact: DataFrame, dim_merchant: DataFrame) -> DataFrame:
     m = dim_merchant.select("merchant_key", "industry_category")
     j = fact.join(m, "merchant_key", "left")
     return j.groupBy((F.floor(F.col("date_key") / 100)).cast("int").alias("month_key"), "geography_key",
-                     "industry_category").agg(F.sum("gross_amount").alias("gross_amount"),
+                     "industry_category").agg(money_sum("gross_amount").alias("gross_amount"),
                                               F.round(F.avg(F.col("fee_stripe").cast("double")), 6).alias("avg_fee"))
 
 
@@ -71,7 +77,7 @@ def revenue_rollup(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     j = fact.join(d, "date_key")
     keys = ["day", "week_key", "month_key"]
     out = j.groupingSets([[F.col("day")], [F.col("week_key")], [F.col("month_key")], []], *keys).agg(
-        F.grouping_id(*keys).alias("gid"), F.sum("gross_amount").alias("gross_amount"),
+        F.grouping_id(*keys).alias("gid"), money_sum("gross_amount").alias("gross_amount"),
         F.count(F.lit(1)).alias("nb_tx"))
     # grouping_id bits: day=4, week=2, month=1 (1 = rolled up)
     lvl = level_name(F.col("gid"), [(3, "day"), (5, "week"), (6, "month")])
@@ -80,7 +86,7 @@ def revenue_rollup(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
 
 def payment_mix(fact: DataFrame) -> DataFrame:
     return fact.cube("payment_method_key", "is_successful").agg(
-        F.sum("gross_amount").alias("gross_amount"), F.count(F.lit(1)).alias("nb_tx"))
+        money_sum("gross_amount").alias("gross_amount"), F.count(F.lit(1)).alias("nb_tx"))
 
 
 def cdc_apply(base: DataFrame, changes: DataFrame, key: str, version: str = "version",

@@ -57,8 +57,8 @@ SELECT user_id, CAST(ts AS DATE) AS day, count(*) FILTER (WHERE event_type = 'pu
        count(*) AS n_events FROM events GROUP BY 1, 2""")
 def arr_filter_events(v):
     s = doc.sessions_by_day(v.t.events)
-    return s.select("user_id", "day", F.size(doc.purchases_in_sessions(s)).alias("n_purchases"),
-                    F.size("events").alias("n_events"))
+    return s.select("user_id", "day", F.size(doc.purchases_in_sessions(s)).cast("long").alias("n_purchases"),
+                    F.size("events").cast("long").alias("n_events"))
 
 
 @query("arr_tags", oracle="""
@@ -84,7 +84,8 @@ def map_features(v):
 @query("reverse_export", oracle="""
 SELECT client_id, count(*) AS n_tx, sum(amount) AS total_amount FROM tx GROUP BY client_id""")
 def reverse_export(v):
-    g = v.tx.groupBy("client_id").agg(F.count(F.lit(1)).alias("n_tx"), F.sum("amount").alias("total_amount"))
+    g = v.tx.groupBy("client_id").agg(F.count(F.lit(1)).alias("n_tx"),
+                                      F.sum("amount").cast("decimal(38,2)").alias("total_amount"))
     return g
 
 

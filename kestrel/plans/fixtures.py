@@ -161,7 +161,7 @@ class Views:
     # -- warehouse ----------------------------------------------------------
     @staticmethod
     def date_key(c: Column) -> Column:
-        return F.year(c) * 10000 + F.month(c) * 100 + F.dayofmonth(c)
+        return (F.year(c) * 10000 + F.month(c) * 100 + F.dayofmonth(c)).cast("long")
 
     @property
     def fact_transactions(self) -> DataFrame:
@@ -192,8 +192,8 @@ class Views:
             d = F.col("o_orderdate")
             return (self.t.orders.select(
                 self.date_key(d).alias("date_key"), d.cast("date").alias("full_date"),
-                F.year(d).alias("year"), F.quarter(d).alias("quarter"),
-                F.month(d).alias("month"), F.weekofyear(d).alias("week")).distinct())
+                F.year(d).cast("long").alias("year"), F.quarter(d).cast("long").alias("quarter"),
+                F.month(d).cast("long").alias("month"), F.weekofyear(d).cast("long").alias("week")).distinct())
         return self._get("dim_date", build)
 
     @property

@@ -68,7 +68,7 @@ def agg_tx_per_day(v):
 
 
 CATEGORY_RISK_SQL = """
-SELECT category, count(is_alerted) AS total, sum(CAST(is_alerted AS INT)) AS alerts,
+SELECT category, count(is_alerted) AS total, CAST(sum(CAST(is_alerted AS INT)) AS BIGINT) AS alerts,
        round(sum(CAST(is_alerted AS INT)) * 100.0 / count(is_alerted), 6) AS alert_rate_pct
 FROM {src} r WHERE is_alerted IS NOT NULL GROUP BY category"""
 

@@ -84,7 +84,7 @@ def gov_erase(v):
     def counts(name, before, after, orphans):
         return before.agg(F.count(F.lit(1)).alias("n_before")).crossJoin(
             after.agg(F.count(F.lit(1)).alias("n_after"))).crossJoin(
-            orphans.agg(F.count(F.lit(1)).cast("int").alias("n_orphans"))).select(
+            orphans.agg(F.count(F.lit(1)).alias("n_orphans"))).select(
             F.lit(name).alias("table_name"), "n_before", "n_after", "n_orphans")
 
     o_t = t2.join(c2.withColumnRenamed("c_custkey", "client_id"), "client_id", "left_anti")

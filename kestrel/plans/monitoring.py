@@ -255,7 +255,7 @@ pr AS (SELECT threshold, tp, fp, round(tp / (tp + fp), 6) AS precision, round(tp
 
 
 @query("win_cumulative_pr", oracle=f"""WITH {_PR_SQL}
-SELECT threshold, tp, fp FROM c""")
+SELECT threshold, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp FROM c""")
 def win_cumulative_pr(v):
     from kestrel.operators.ordering import running_sums
     h = ev.score_histogram(_labelled_scores(v), "y", "s")
@@ -296,7 +296,7 @@ x AS {_SCORED_LABELS},
 k AS (SELECT t, count(*) FILTER (WHERE x.s >= t AND y = 1) AS tp, count(*) FILTER (WHERE x.s >= t AND y = 0) AS fp,
              count(*) FILTER (WHERE y = 1) AS p FROM g CROSS JOIN x GROUP BY t),
 f AS (SELECT t, CASE WHEN tp > 0 THEN 2 * tp / (2 * tp + fp + (p - tp)) ELSE 0 END AS f1 FROM k)
-SELECT (SELECT t FROM f ORDER BY f1 DESC, t ASC LIMIT 1) AS best_threshold, round(max(f1), 6) AS best_f1 FROM f""")
+SELECT CAST((SELECT t FROM f ORDER BY f1 DESC, t ASC LIMIT 1) AS DOUBLE) AS best_threshold, round(max(f1), 6) AS best_f1 FROM f""")
 def eval_f1_sweep(v):
     return ev.f1_sweep(_labelled_scores(v), "y", "s")
 
@@ -308,6 +308,6 @@ k AS (SELECT count(*) FILTER (WHERE y = 1 AND s >= 0.8) AS tc, count(*) FILTER (
              count(*) FILTER (WHERE y = 0 AND s >= 0.5) AS fd, count(*) FILTER (WHERE y = 1 AND s < 0.5) AS nd FROM x),
 f AS (SELECT CASE WHEN 5 * tc + 4 * nc + fc > 0 THEN 5.0 * tc / (5 * tc + 4 * nc + fc) ELSE 0 END AS fc2,
              CASE WHEN 5 * td + 4 * nd + fd > 0 THEN 5.0 * td / (5 * td + 4 * nd + fd) ELSE 0 END AS fd2 FROM k)
-SELECT round(fc2, 6) AS f_chosen, round(fd2, 6) AS f_default, CASE WHEN fc2 < fd2 THEN 0.5 ELSE 0.8 END AS threshold FROM f""")
+SELECT round(fc2, 6) AS f_chosen, round(fd2, 6) AS f_default, CAST(CASE WHEN fc2 < fd2 THEN 0.5 ELSE 0.8 END AS DOUBLE) AS threshold FROM f""")
 def eval_fbeta_guard(v):
     return ev.fbeta_guard(_labelled_scores(v), "y", "s", F.lit(0.8))

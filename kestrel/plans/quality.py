@@ -111,7 +111,7 @@ def dq_profile(v):
 
 
 @query("dq_duplicates", oracle="""
-SELECT coalesce(sum(c - 1), 0) AS n_duplicate_rows FROM (SELECT count(*) AS c FROM transport_rt GROUP BY bus_nbr, direction_id, stop_sequence, hour, departure_delay) g""")
+SELECT CAST(coalesce(sum(c - 1), 0) AS BIGINT) AS n_duplicate_rows FROM (SELECT count(*) AS c FROM transport_rt GROUP BY bus_nbr, direction_id, stop_sequence, hour, departure_delay) g""")
 def dq_duplicates(v):
     return pf.duplicate_rows(v.transport_rt.select("bus_nbr", "direction_id", "stop_sequence", "hour", "departure_delay"))
 
