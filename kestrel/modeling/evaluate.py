@@ -96,8 +96,8 @@ def average_precision(df: DataFrame, y: str, score: str) -> DataFrame:
     h = score_histogram(df, y, score)
     c = running_sums(h, [F.col("threshold").desc()], {"tp": F.col("pos"), "fp": F.col("neg")})
     total_pos = df.select(F.sum(F.col(y).cast("int"))).scalar()
-    step = (F.col("pos") / total_pos) * (F.col("tp") / (F.col("tp") + F.col("fp")))
-    return c.agg(F.round(F.sum(step), R).alias("average_precision"))
+    step = F.col("pos") * (F.col("tp") / (F.col("tp") + F.col("fp")))
+    return c.agg(F.round(F.sum(step) / total_pos, R).alias("average_precision"))
 
 
 def threshold_min_recall(curve: DataFrame, min_recall: float = 0.75) -> DataFrame:
