@@ -234,7 +234,7 @@ def ml_soft_vote(v):
     the test split."""
     from kestrel.modeling.models import fit_soft_vote, soft_vote_score
     f, _ = _fraud_training(v)
-    models = fit_soft_vote(f.where(F.col("split") == "train"), n_trees=15)
+    models = fit_soft_vote(f.where(F.col("split") == "train"), n_trees=8)
     s = soft_vote_score(models, f.where(F.col("split") == "test"))
     return s.select("transaction_id", "label", F.round("p_gbt", 6).alias("p_gbt"), F.round("p_rf", 6).alias("p_rf"),
                     F.round("score", 6).alias("score"))
