@@ -135,7 +135,11 @@ def corr_matrix(df: DataFrame, cols: Sequence[str], flag: Column) -> DataFrame:
     (each unordered pair computed once, mirrored)."""
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
     w = _by_flag(_pairwise_corr(df, pairs, flag))
-    mirrored = w.unionByName(w.where(F.col("var_a") != F.col("var_b"))
-                             .select(F.col("var_b").alias("var_a"), F.col("var_a").alias("var_b"), "c0", "c1"))
+    # mirror inside each (tiny) result row instead of re-reading the result
+    both = F.explode(F.array(F.struct(F.col("var_a").alias("a"), F.col("var_b").alias("b")),
+                             F.struct(F.col("var_b").alias("a"), F.col("var_a").alias("b"))))
+    mirrored = (w.select(both.alias("p"), "c0", "c1")
+                .select(F.col("p.a").alias("var_a"), F.col("p.b").alias("var_b"), "c0", "c1")
+                .dropDuplicates(["var_a", "var_b"]))  # the diagonal appears twice
     return mirrored.select("var_a", "var_b", rnd(F.col("c0")).alias("corr_without"),
                            rnd(F.col("c1")).alias("corr_with"), rnd(F.col("c1") - F.col("c0")).alias("difference"))
