@@ -244,10 +244,13 @@ _VIEWS: dict[tuple[int, str], Views] = {}
 
 
 def views(spark: SparkSession, sf_dir: str) -> Views:
+    """Views of one data folder for this session (re-created when the
+    caller hands in another session, e.g. after a stop / getOrCreate)."""
     key = (id(spark), sf_dir)
-    if key not in _VIEWS:
-        _VIEWS[key] = Views(spark, sf_dir)
-    return _VIEWS[key]
+    cached = _VIEWS.get(key)
+    if cached is None or cached.spark is not spark:
+        cached = _VIEWS[key] = Views(spark, sf_dir)
+    return cached
 
 
 # ---------------------------------------------------------------------------
