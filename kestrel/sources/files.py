@@ -36,6 +36,21 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def read_jdbc_query(spark: SparkSession, url: str, query: str, properties: dict[str, str],
+                    partition_column: str | None = None, lower: int | None = None, upper: int | None = None,
+                    num_partitions: int = 8) -> DataFrame:
+    """SQL text run by a relational database (needs its JDBC driver jar on
+    the classpath).  With ``partition_column`` the read is split into
+    ``num_partitions`` parallel range queries instead of one connection."""
+    reader = spark.read.format("jdbc").option("url", url).options(**properties)
+    if partition_column:
+        reader = (reader.option("dbtable", f"({query}) q").option("partitionColumn", partition_column)
+                  .option("lowerBound", lower).option("upperBound", upper).option("numPartitions", num_partitions))
+    else:
+        reader = reader.option("query", query)
+    return reader.load()
+
+
 def run_sql(spark: SparkSession, text: str, views: dict[str, DataFrame]) -> DataFrame:
     """Run SQL text over named DataFrames (temporary views)."""
     for name, df in views.items():
