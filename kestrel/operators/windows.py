@@ -4,9 +4,9 @@
   ``WindowGroupLimit`` *before* the shuffle, so a hot key ships at most n
   rows per map task;
 * latest-per-key uses ``max_by`` aggregation (partial aggregation);
-* time-range windows (velocity, 7 / 30 day rollups) split every entity's
-  history into time buckets of the window length, so one hot entity is
-  spread over many tasks instead of one.
+* time-range windows (velocity, 7 / 30 day rollups) and SCD2 version
+  building split every entity's history into time buckets, so one hot
+  entity is spread over many tasks instead of one.
 """
 
 from __future__ import annotations
@@ -79,16 +79,41 @@ def share_of_total(df: DataFrame, count_col: str = "count", out: str = "share")
     return df.withColumn(out, F.round(F.col(count_col) / F.sum(count_col).over(Window.partitionBy()), 6))
 
 
-def scd2_versions(changes: DataFrame, key: str, ts: str, attrs: Sequence[str]) -> DataFrame:
+def scd2_versions(changes: DataFrame, key: str, ts: str, attrs: Sequence[str],
+                  bucket_seconds: int | None = 30 * 86400) -> DataFrame:
     """Change log -> SCD2 versions: consecutive identical attribute values
     collapse; ``valid_from`` = change time, ``valid_to`` = next version's
-    start, ``is_current`` when there is none.  Windows are per entity; an
-    entity's change log is small (one row per change)."""
-    w = Window.partitionBy(key).orderBy(ts)
-    prev = F.struct(*[F.lag(a).over(w) for a in attrs])
+    start, ``is_current`` when there is none.
+
+    With ``bucket_seconds`` (default 30 days) the lag / lead windows run per
+    (entity, time bucket); the row before a bucket's first row (and the row
+    after its last) comes from a per-bucket ``max_by`` / ``min`` aggregate
+    carried over the entity's short list of buckets.  An entity with a huge
+    change log is thus spread over its buckets.  ``None`` uses plain
+    per-entity windows.
+    """
     cur = F.struct(*[F.col(a) for a in attrs])
-    changed = changes.withColumn("_chg", F.lag(F.col(ts)).over(w).isNull() | (prev != cur)) \
-        .where(F.col("_chg")).drop("_chg")
-    return (changed.withColumn("valid_from", F.col(ts))
-            .withColumn("valid_to", F.lead(ts).over(w))
-            .withColumn("is_current", F.col("valid_to").isNull()))
+    if bucket_seconds is None:
+        w = Window.partitionBy(key).orderBy(ts)
+        prev = F.struct(*[F.lag(a).over(w) for a in attrs])
+        changed = changes.withColumn("_chg", F.lag(F.col(ts)).over(w).isNull() | (prev != cur)) \
+            .where(F.col("_chg")).drop("_chg")
+        return (changed.withColumn("valid_from", F.col(ts))
+                .withColumn("valid_to", F.lead(ts).over(w))
+                .withColumn("is_current", F.col("valid_to").isNull()))
+
+    bk = F.floor(F.unix_timestamp(F.col(ts).cast("timestamp")) / bucket_seconds)
+    c = changes.withColumn("_bk", bk).withColumn("_cur", cur)
+    wb = Window.partitionBy(key).orderBy("_bk")  # over buckets of one entity (few rows)
+    last_of = c.groupBy(key, "_bk").agg(F.max_by("_cur", F.col(ts)).alias("_last"))
+    seed = last_of.select(key, "_bk", F.lag("_last").over(wb).alias("_seed"))
+    w = Window.partitionBy(key, "_bk").orderBy(ts)
+    with_prev = c.join(seed, [key, "_bk"]).withColumn("_prev", F.coalesce(F.lag("_cur").over(w), F.col("_seed")))
+    changed = with_prev.where(F.col("_prev").isNull() | (F.col("_prev") != F.col("_cur"))) \
+        .drop("_prev", "_seed")
+    first_of = changed.groupBy(key, "_bk").agg(F.min(ts).alias("_first"))
+    nxt = first_of.select(key, "_bk", F.lead("_first").over(wb).alias("_next_bucket_start"))
+    out = changed.join(nxt, [key, "_bk"]).withColumn(
+        "valid_to", F.coalesce(F.lead(ts).over(w), F.col("_next_bucket_start")))
+    return (out.withColumn("valid_from", F.col(ts)).withColumn("is_current", F.col("valid_to").isNull())
+            .drop("_bk", "_cur", "_next_bucket_start"))

@@ -85,3 +85,17 @@ def test_hot_key_results_equal_naive(spark):
     b = jn.asof_join_bucketed(df, versions, "u", "t", "vt", ["ver"], bucket_seconds=86400)
     assert a.select("event_id", "ver").exceptAll(b.select("event_id", "ver")).count() == 0
     assert b.count() == n
+
+
+def test_scd2_versions_bucketed_equal_plain_with_hot_entity(spark):
+    from kestrel.operators import windows as win
+    n = 2000
+    ch = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 40 + 1).alias("k"),
+        (F.col("id") * 7 % 5).cast("string").alias("name"),
+        (F.lit("2020-01-01 00:00:00").cast("timestamp_ntz") + F.expr("INTERVAL 1 HOUR") * F.col("id")).alias("at"))
+    a = win.scd2_versions(ch, "k", "at", ["name"], bucket_seconds=None)
+    b = win.scd2_versions(ch, "k", "at", ["name"], bucket_seconds=7 * 86400)
+    cols = ["k", "name", "valid_from", "valid_to", "is_current"]
+    assert a.select(cols).exceptAll(b.select(cols)).count() == 0
+    assert b.select(cols).exceptAll(a.select(cols)).count() == 0
