@@ -16,12 +16,15 @@ def profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     IQR outliers (below q1 - 1.5 IQR or above q3 + 1.5 IQR)."""
     long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value"))
                                          for c in cols])).alias("kv")).select("kv.*")
-    q = F.percentile(F.col("value"), F.array(F.lit(0.25), F.lit(0.75)))
+    from kestrel.operators.ordering import exact_quantiles
     stats = long.groupBy("column_name").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("value").isNull()).alias("n_missing"),
         F.count_distinct("value").alias("n_distinct"), F.min("value").alias("min"), F.max("value").alias("max"),
-        F.round(F.avg("value"), 6).alias("mean"), q.alias("_q"))
-    stats = stats.withColumns({"q1": F.col("_q")[0], "q3": F.col("_q")[1]}).drop("_q")
+        F.round(F.avg("value"), 6).alias("mean"))
+    # quartiles from per-(column, value) counts: a high-cardinality column
+    # (an id, an amount) never has its distinct values gathered in one task
+    quart = exact_quantiles(long, "value", [0.25, 0.75], ["q1", "q3"], group=["column_name"])
+    stats = stats.join(quart, "column_name", "left")
     lo = F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))
     hi = F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))
     out = long.join(F.broadcast(stats.select("column_name", "q1", "q3")), "column_name") \
