@@ -28,16 +28,7 @@ from pyspark.sql import functions as F
 _B = "_range_id"
 
 
-def _n_ranges(df: DataFrame, n: int | None) -> int:
-    if n:
-        return n
-    try:
-        return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    except Exception:  # noqa: BLE001
-        return 200
-
-
-def _with_range_id(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
+def _with_range_id(df: DataFrame, order: Sequence[Column], n: int | None) -> DataFrame:
     """Range-partition and tag each row with its range number.
 
     The range bounds come from a sample taken when the exchange is planned,
@@ -48,15 +39,17 @@ def _with_range_id(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
     """
     from kestrel.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(df.sparkSession)
-    return df.repartitionByRange(n, *order).withColumn(_B, F.spark_partition_id()).checkpoint(eager=True)
+    # without an explicit count AQE may merge adjacent ranges to its target
+    # partition size; merged ranges stay contiguous, so the order holds
+    ranged = df.repartitionByRange(n, *order) if n else df.repartitionByRange(*order)
+    return ranged.withColumn(_B, F.spark_partition_id()).checkpoint(eager=True)
 
 
 def running_sums(df: DataFrame, order: Sequence[Column], sums: dict[str, Column],
                  n_ranges: int | None = None) -> DataFrame:
     """Add ``name = sum(expr)`` over all rows up to and including this one in
     ``order`` (a total order; make it unique for deterministic results)."""
-    n = _n_ranges(df, n_ranges)
-    b = _with_range_id(df, order, n)
+    b = _with_range_id(df, order, n_ranges)
     tmp = {name: f"_v_{name}" for name in sums}
     b = b.withColumns({tmp[k]: v for k, v in sums.items()})
     totals = b.groupBy(_B).agg(*[F.sum(tmp[k]).alias(tmp[k]) for k in sums])
