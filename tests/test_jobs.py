@@ -138,3 +138,18 @@ def test_sampling(spark, views):
     s = run(spark, "sample_with_replacement")
     assert s.count() == 500
     assert 0 < run(spark, "sample_rows").count() < views.transport_rt.count()
+
+
+def test_reference_api_requests(spark, views):
+    """The scoring API's test requests: two complete ones (no weather for
+    May/June in the January data -> status), one with only a direction."""
+    from kestrel.modeling import scoring
+    from kestrel.plans import modeling as m
+    req = spark.createDataFrame([(1, 0, 5, 15, 8, 3), (2, 1, 6, 20, 14, 4), (3, 0, None, None, None, None)],
+                                "id int, direction_id int, month int, day int, hour int, day_of_week int")
+    good, bad = scoring.prepare_requests(req, 2024)
+    assert [(r.id, r.missing_fields) for r in bad.collect()] == [(3, ["month", "day", "hour", "day_of_week"])]
+    _, models = m.fit_delay_quantiles(views, rounds=1)
+    out = scoring.score(scoring.enrich(good, views.weather_hourly), models, m.DELAY_FEATURES).orderBy("id").collect()
+    assert [(r.bus_nbr, r.stop_sequence, r.weather_status) for r in out] == [("541", 1, "weather_unavailable")] * 2
+    assert all(r.prediction_P50 <= r.prediction_P90 for r in out)
