@@ -87,20 +87,27 @@ def with_group_stats(df: DataFrame, client: str = "client_id", merchant: str = "
                           F.round(amount_ratio(F.col(amount), F.col("client_avg_amount")), 6))
 
 
-def lookup_stats_with_default(df: DataFrame, cstats: DataFrame, mstats: DataFrame,
-                              client: str = "client_id", merchant: str = "merchant_id",
-                              amount: str = "amount") -> DataFrame:
-    """Score-time lookup: unknown client/merchant -> median of the stats table.
-
-    The medians are one row (broadcast); the stats tables are joined normally
-    so they may be as large as the client base.
-    """
+def stats_medians(cstats: DataFrame, mstats: DataFrame) -> DataFrame:
+    """One row: exact medians of the client count, client mean amount and
+    merchant count columns (the defaults for unknown keys)."""
     from kestrel.operators.ordering import exact_quantiles
     stacked = (cstats.select(F.lit("_m_cnt").alias("stat"), F.col("client_tx_count").cast("double").alias("v"))
                .unionByName(cstats.select(F.lit("_m_avg").alias("stat"), F.col("client_avg_amount").cast("double").alias("v")))
                .unionByName(mstats.select(F.lit("_m_mcnt").alias("stat"), F.col("merchant_tx_count").cast("double").alias("v"))))
     med = exact_quantiles(stacked, "v", [0.5], ["m"], group=["stat"])
-    meds = med.groupBy().pivot("stat", ["_m_cnt", "_m_avg", "_m_mcnt"]).agg(F.first("m"))  # one row
+    return med.groupBy().pivot("stat", ["_m_cnt", "_m_avg", "_m_mcnt"]).agg(F.first("m"))
+
+
+def lookup_stats_with_default(df: DataFrame, cstats: DataFrame, mstats: DataFrame,
+                              client: str = "client_id", merchant: str = "merchant_id",
+                              amount: str = "amount", medians: DataFrame | None = None) -> DataFrame:
+    """Score-time lookup: unknown client/merchant -> median of the stats table.
+
+    The medians are one row (broadcast; pass ``medians`` to reuse them across
+    micro-batches); the stats tables are joined normally so they may be as
+    large as the client base.
+    """
+    meds = medians if medians is not None else stats_medians(cstats, mstats)
     out = (df.join(cstats, client, "left").join(mstats, merchant, "left")
            .crossJoin(F.broadcast(meds)))
     out = out.withColumns({

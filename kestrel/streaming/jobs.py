@@ -199,9 +199,14 @@ def scoring_batch(spark: SparkSession, model, categories: DataFrame, client_stat
     predictions tables; alerts also go to ``out['alerts']``.  All writes
     are keyed by ``batch_id`` (idempotent on replay)."""
     from kestrel.modeling.models import positive_probability
-    from kestrel.operators.payments import lookup_stats_with_default
+    from kestrel.operators.payments import lookup_stats_with_default, stats_medians
     from kestrel.quality.profile import required_fields
 
+    # the median defaults are computed once for the whole stream (3 numbers)
+    m = stats_medians(client_stats, merchant_stats).first()
+    medians = spark.createDataFrame([(m["_m_cnt"], m["_m_avg"], m["_m_mcnt"])],
+                                    "_m_cnt double, _m_avg double, _m_mcnt double")
+
     def fn(batch: DataFrame, batch_id: int) -> None:
         checked = required_fields(batch, list(required)).join(categories, "category", "left")
         reason = (F.when(~F.col("is_valid"), F.concat(F.lit("missing: "), F.array_join("missing_fields", ",")))
@@ -209,7 +214,7 @@ def scoring_batch(spark: SparkSession, model, categories: DataFrame, client_stat
         checked = checked.withColumn("reason", reason).persist()
         write_batch(checked.where(F.col("reason").isNotNull()).select("transaction_id", "reason"), out["bad"], batch_id)
         good = checked.where(F.col("reason").isNull()).drop("reason", "missing_fields", "is_valid")
-        feats = lookup_stats_with_default(good, client_stats, merchant_stats)
+        feats = lookup_stats_with_default(good, client_stats, merchant_stats, medians=medians)
         feats = feats.withColumns({"hour": F.hour("timestamp"), "day_of_week": F.weekday("timestamp"),
                                    "amount_d": F.col("amount").cast("double")})
         from pyspark.ml.feature import VectorAssembler
