@@ -83,9 +83,10 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
     counts = df.where(F.col(value).isNotNull()).groupBy(*g, value).agg(F.count(F.lit(1)).alias("_c"))
     cum = running_sums(counts, [*[F.col(c) for c in g], F.col(value)], {"_cum": F.col("_c")})
     if g:
-        tot = counts.groupBy(*g).agg(F.sum("_c").alias("_n"))
-        tot = running_sums(tot, [F.col(c) for c in g], {"_end": F.col("_n")})
-        tot = tot.withColumn("_off", F.col("_end") - F.col("_n")).drop("_end")
+        # a group's offset is the global count before its first value, i.e.
+        # the smallest (cum - c) inside the group: one more aggregate, no
+        # second ordering pass
+        tot = cum.groupBy(*g).agg(F.sum("_c").alias("_n"), F.min(F.col("_cum") - F.col("_c")).alias("_off"))
         cum = cum.join(tot, g)
     else:
         cum = cum.crossJoin(F.broadcast(counts.agg(F.sum("_c").alias("_n"), F.lit(0).alias("_off"))))  # 1 row
