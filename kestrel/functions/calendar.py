@@ -134,15 +134,17 @@ def _first_weekday_on_or_after(d: Column, weekday: int) -> Column:
 
 
 def public_holidays(spark: SparkSession, first_year: Column | int, last_year: Column | int,
-                    include_sundays: bool = True, include_eves: bool = True) -> DataFrame:
+                    include_sundays: bool = True, include_eves: bool = True,
+                    years: DataFrame | None = None) -> DataFrame:
     """One row per (holiday date) between the two years, inclusive.
 
-    ``first_year`` / ``last_year`` may be scalar-subquery columns derived from
-    the data (e.g. ``min(year(ts))``), so the table covers exactly the span
-    of the data: ~15 fixed rows + 52 Sundays per year, a bounded broadcast.
+    ``years`` (one column ``y``) may be given instead, e.g. derived lazily
+    from the data's span, so the table covers exactly the span of the data:
+    ~15 fixed rows + 52 Sundays per year, a bounded broadcast.
     """
-    years = (spark.range(1).select(F.explode(F.sequence(col_or_lit(first_year).cast("int"),
-                                                         col_or_lit(last_year).cast("int"))).alias("y")))
+    if years is None:
+        years = (spark.range(1).select(F.explode(F.sequence(col_or_lit(first_year).cast("int"),
+                                                             col_or_lit(last_year).cast("int"))).alias("y")))
     y = F.col("y")
     md = lambda m, d: F.make_date(y, F.lit(m), F.lit(d))
     easter = easter_sunday(y)
@@ -166,8 +168,9 @@ def with_public_holiday(df: DataFrame, ts: str, out: str = "est_jour_ferie",
                         include_sundays: bool = True, include_eves: bool = True) -> DataFrame:
     """Flag rows whose date is a public holiday (left join to the generated
     table, which is bounded by the data's year span)."""
-    span = df.select(F.min(F.year(ts)).alias("a"), F.max(F.year(ts)).alias("b")).first()  # two scalars
-    hol = public_holidays(df.sparkSession, span["a"], span["b"], include_sundays, include_eves)
+    span = df.select(F.min(F.year(ts)).alias("a"), F.max(F.year(ts)).alias("b"))  # one row, lazy
+    years = span.select(F.explode(F.sequence(F.col("a").cast("int"), F.col("b").cast("int"))).alias("y"))
+    hol = public_holidays(df.sparkSession, 0, 0, include_sundays, include_eves, years=years)
     hol = hol.withColumn("_hol", F.lit(1))
     return (df.join(F.broadcast(hol), F.to_date(F.col(ts)) == F.col("holiday_date"), "left")
             .withColumn(out, F.coalesce(F.col("_hol"), F.lit(0)))
