@@ -205,9 +205,12 @@ def _staged_archives(v):
     base = shared_path(v.spark, "gtfs-static")
     from kestrel.plans.transit import gtfs_trips
     trips = gtfs_trips(v)
+    # 8 archives per block of 10 000 trip ids: an archive never holds more
+    # than 1 250 trips however large the timetable grows
     n = 8
+    aid = (F.col("trip_id") % n + F.floor(F.col("trip_id") / 10000) * n).cast("long")
     arc.write_zip_archives(trips, base, "trips.txt", ["trip_id", "route_id", "direction_id"],
-                           (F.col("trip_id") % n).cast("long"), corrupt_if=(F.col("trip_id") % n) == n - 1).collect()
+                           aid, corrupt_if=(F.col("trip_id") % n) == n - 1).collect()
     return base
 
 
