@@ -28,10 +28,16 @@ BASE_CONF = {
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int = 8,
-              app_name: str = "kestrel") -> SparkSession:
-    """Local session for tests and the bench (clusters bring their own)."""
+              app_name: str = "kestrel", event_log_dir: str | None = None) -> SparkSession:
+    """Local session for tests and the bench (clusters bring their own).
+
+    ``event_log_dir`` turns on Spark's event log there (stage and task times
+    without the web UI)."""
     master = master or os.environ.get("KESTREL_MASTER", "local[8]")
     builder = SparkSession.builder.master(master).appName(app_name)
+    if event_log_dir:
+        os.makedirs(event_log_dir, exist_ok=True)
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log_dir)
     for k, v in BASE_CONF.items():
         builder = builder.config(k, v)
     builder = (builder
