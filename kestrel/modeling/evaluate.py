@@ -10,8 +10,6 @@ over a global order with the range-partitioned prefix sum of
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 

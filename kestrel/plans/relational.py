@@ -1 +1,3 @@
-"""Placeholder."""
+"""Projection, filter and set-operation queries are registered with the
+family whose tables they use (fraud, transit, monitoring, ...); this
+module is kept so the catalogue import list stays stable."""
