@@ -62,8 +62,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     except Exception:  # noqa: BLE001 - Spark Connect: the server owns the folder
         try:
             return spark.conf.get("spark.checkpoint.dir")
-        except Exception:  # noqa: BLE001
-            return "/tmp"
+        except Exception as e:  # noqa: BLE001
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder for this session") from e
     current = sc.getCheckpointDir()
     if current:
         return current
