@@ -58,7 +58,7 @@ def monthly_global(fact: DataFrame, dim_merchant: DataFrame) -> DataFrame:
     j = fact.join(m, "merchant_key", "left")
     return j.groupBy((F.floor(F.col("date_key") / 100)).cast("int").alias("month_key"), "geography_key",
                      "industry_category").agg(money_sum("gross_amount").alias("gross_amount"),
-                                              F.round(F.avg(F.col("fee_stripe").cast("double")), 6).alias("avg_fee"))
+                                              F.round(F.avg(F.col("fee_amount").cast("double")), 6).alias("avg_fee"))
 
 
 def level_name(gid: Column, levels: Sequence[tuple[int, str]], default: str = "total") -> Column:

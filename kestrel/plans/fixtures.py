@@ -179,7 +179,7 @@ class Views:
                 F.col("l_linenumber").alias("payment_method_key"),
                 F.col("c_nationkey").alias("geography_key"),
                 gross.alias("gross_amount"),
-                fee.alias("fee_stripe"),
+                fee.alias("fee_amount"),
                 (gross - fee).cast("decimal(16,2)").alias("net_revenue"),
                 (F.col("l_linestatus") == "F").alias("is_successful"),
                 (F.col("l_returnflag") == "R").alias("is_fraud"),
@@ -305,7 +305,7 @@ SELECT year(o_orderdate) * 10000 + month(o_orderdate) * 100 + day(o_orderdate) A
        l_suppkey AS merchant_key, o_custkey AS customer_key, l_partkey AS product_key,
        l_linenumber AS payment_method_key, c_nationkey AS geography_key,
        CAST(l_extendedprice AS DECIMAL(15,2)) AS gross_amount,
-       CAST(CAST(l_quantity AS INT) AS DECIMAL(15,2)) AS fee_stripe,
+       CAST(CAST(l_quantity AS INT) AS DECIMAL(15,2)) AS fee_amount,
        CAST(l_extendedprice AS DECIMAL(15,2)) - CAST(CAST(l_quantity AS INT) AS DECIMAL(15,2)) AS net_revenue,
        l_linestatus = 'F' AS is_successful, l_returnflag = 'R' AS is_fraud
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey""",

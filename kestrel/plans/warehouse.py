@@ -44,7 +44,7 @@ def agg_daily_revenue_merchant(v):
 
 @query("agg_monthly_global", oracle="""
 SELECT CAST(floor(f.date_key / 100) AS INT) AS month_key, f.geography_key, m.industry_category,
-       sum(f.gross_amount) AS gross_amount, round(avg(CAST(f.fee_stripe AS DOUBLE)), 6) AS avg_fee
+       sum(f.gross_amount) AS gross_amount, round(avg(CAST(f.fee_amount AS DOUBLE)), 6) AS avg_fee
 FROM fact_transactions f LEFT JOIN dim_merchant m ON f.merchant_key = m.merchant_key GROUP BY 1, 2, 3""")
 def agg_monthly_global(v):
     return wh.monthly_global(v.fact_transactions, v.dim_merchant)
