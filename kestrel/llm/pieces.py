@@ -245,3 +245,18 @@ def byte_bpe(path: str) -> ChunkMemo:
         memo["byte", path] = ChunkMemo(encode_joined, BYTE_BPE_SPACE, BYTE_BPE_MARKS,
                                          bytes(set(BYTE_BPE_CUT) - special))
     return memo["byte", path]
+
+
+def byte_bpe_partial(path: str) -> np.ndarray:
+    """By id: does the piece hold only a part of a character?"""
+    memo = worker_memo()
+    if ("partial", path) not in memo:
+        from tokenizers import Tokenizer
+        from tokenizers.decoders import ByteLevel
+
+        tok, plain = Tokenizer.from_file(path), ByteLevel()
+        partial = np.zeros(tok.get_vocab_size(), dtype=bool)
+        for piece, i in tok.get_vocab().items():
+            partial[i] = "\ufffd" in plain.decode([piece])
+        memo["partial", path] = partial
+    return memo["partial", path]

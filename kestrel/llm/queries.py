@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import packing
+from kestrel.llm import packing, quality, sentencepieces
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,6 +29,28 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def fertility_vocabularies() -> list[str]:
+    return [vocabulary("piece_bpe_32k.model"), vocabulary("byte_bpe_50k.json")]
+
+
 @query
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+@query
+def op8_fertility_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = quality.rate(table(spark, sf_dir, "documents"), fertility_vocabularies())
+    return r.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                    "base_failed", "kept", "n_outside", *[c for c in r.columns if c.endswith(("_0", "_1"))])
+
+
+@query
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = sentencepieces.encode(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+    return e.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        # the borders of all pieces, in a sum that any change of a span changes
+        F.xxhash64("begin", "end").alias("spans_xxhash64"))
