@@ -120,7 +120,7 @@ def plan_slots(counts: dict[int, int], capacity: int) -> Plan:
     return Plan(*cols, sequences=made)
 
 
-def ranked_within_length(cut: DataFrame, total: int, per_task: int = 500_000) -> DataFrame:
+def ranked_within_length(cut: DataFrame, total: int, per_task: int = 20_000) -> DataFrame:
     """Add ``rank`` (0-based within length), each length over many tasks."""
     salts = max(1, total // per_task)
     salted = cut.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(salts)))
