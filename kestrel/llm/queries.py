@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import packing, quality, sentencepieces
+from kestrel.llm import grammar, packing, quality, sentencepieces, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -38,6 +38,16 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+@query
+def op6_grammar_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grammar.read(grammar.write(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json")))
+
+
+@query
+def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_fertility_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = quality.rate(table(spark, sf_dir, "documents"), fertility_vocabularies())
