@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import grammar, packing, quality, sentencepieces, simhash
+from kestrel.llm import chat, grammar, packing, quality, secrets, sentencepieces, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -38,6 +38,21 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+@query
+def op4_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.rotate(table(spark, sf_dir, "conversations"))
+
+
+ORACLES["op4_chat_perspectives"] = chat.ORACLE
+
+
+@query
+def op5_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = secrets.scan(table(spark, sf_dir, "documents"))
+    return s.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", F.col("spans_text").alias("spans"),
+                    "n_live", "n_example")
+
+
 @query
 def op6_grammar_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grammar.read(grammar.write(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json")))
