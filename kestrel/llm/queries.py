@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import chat, grammar, packing, quality, secrets, sentencepieces, simhash
+from kestrel.llm import chat, grammar, lines, packing, quality, secrets, sentencepieces, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -33,6 +33,15 @@ def fertility_vocabularies() -> list[str]:
     return [vocabulary("piece_bpe_32k.model"), vocabulary("byte_bpe_50k.json")]
 
 
+@query
+def op2_line_edit_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = lines.drop_repeated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    gone = F.concat_ws(",", F.transform("removed", lambda r: F.concat_ws(
+        ":", *[r[c].cast("string") for c in ("line_no", "first_doc", "first_line")])))
+    return d.select("doc_id", F.size("removed").cast("long").alias("n_removed"), gone.alias("removed"),
+                    F.sha2("text", 256).alias("kept_sha256"))
+
+
 @query
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
