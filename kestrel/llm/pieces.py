@@ -54,7 +54,7 @@ class ChunkMemo:
 
     def __init__(self, encode_joined: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]],
                  break_bytes: bytes, break_marks: tuple[bytes, ...], cut_after_letter: bytes = b"",
-                 slots_log2: int = 21):
+                 slots_log2: int = 20):
         self.encode_joined = encode_joined
         self.letter = np.zeros(256, dtype=bool)
         self.letter[list(ASCII_LETTERS)] = True
@@ -77,7 +77,7 @@ class ChunkMemo:
 
     def _append(self, ids: np.ndarray) -> int:
         if self.filled + len(ids) > len(self.pool):
-            if self.filled > 8 * len(self.used):  # mostly overwritten entries: forget all
+            if self.filled > 4 * len(self.used):  # mostly overwritten entries: forget all
                 self.used[:] = False
                 self.filled = 0
             while self.filled + len(ids) > len(self.pool):
