@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import chat, grammar, lines, packing, quality, secrets, sentencepieces, simhash
+from kestrel.llm import chat, grammar, lines, neighbours, packing, quality, secrets, sentencepieces, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -33,6 +33,11 @@ def fertility_vocabularies() -> list[str]:
     return [vocabulary("piece_bpe_32k.model"), vocabulary("byte_bpe_50k.json")]
 
 
+@query
+def op1_pruned_graph_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op2_line_edit_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = lines.drop_repeated(table(spark, sf_dir, "documents").select("doc_id", "text"))
