@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import chat, grammar, lines, neighbours, packing, quality, secrets, sentencepieces, simhash
+from kestrel.llm import chat, classifier, grammar, lines, neighbours, packing, quality, secrets, sentencepieces, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -84,6 +84,15 @@ def op8_fertility_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "base_failed", "kept", "n_outside", *[c for c in r.columns if c.endswith(("_0", "_1"))])
 
 
+@query
+def op9_nb_support_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = classifier.fit(docs, labels, training=~classifier.held_out())
+    return classifier.score(docs, model).select(
+        "doc_id", classifier.held_out().alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @query
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = sentencepieces.encode(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
