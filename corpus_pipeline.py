@@ -29,8 +29,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines go, but for the first of each class; so does a document
     that keeps less than a tenth of its characters (a copy of others)."""
     kept = lines.drop_repeated(docs)
-    own = (F.size("removed") == 0) | (10 * F.length("text") >= F.col("chars_before"))
-    return kept.where(own).select(docs.columns)
+    own = (F.size("removed") == 0) | (10 * F.length("doc.text") >= F.col("chars_before"))
+    return kept.where(own).select("doc.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

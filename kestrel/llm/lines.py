@@ -182,13 +182,17 @@ def removals(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_C
 
 def drop_repeated(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS,
                   near_chars: int = NEAR_CHARS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without the repeated lines, and the columns ``removed`` and
-    ``chars_before`` (characters of the whole text)."""
+    """One row a document: ``doc`` (a struct of all its columns, the text
+    without the repeated lines), ``removed`` (array of line_no, first_doc,
+    first_line) and ``chars_before`` (characters of the whole text)."""
     gone = stored(removals(docs, threshold, min_chars, near_chars, doc_id, text), "line-removals")
-    key = F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST_ID))
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    key = F.coalesce(F.col(f"doc.`{doc_id}`").cast("long"), F.lit(LAST_ID))
+    gone = gone.withColumnRenamed("doc", "gone_doc")
+    joined = whole.withColumn("key", key).join(gone, F.col("key") == F.col("gone_doc"), "left")
+    body = F.col(f"doc.`{text}`")
     numbers = F.transform("removed", lambda r: r["line_no"])
-    kept = F.array_join(F.filter(F.split(F.col(text), "\n"), lambda line, i: ~F.array_contains(numbers, i)), "\n")
-    joined = docs.join(gone, key == gone["doc"], "left").drop("doc")
-    return joined.select(*[F.when(F.col("removed").isNull(), F.col(c)).otherwise(kept).alias(c) if c == text else F.col(c)
-                           for c in docs.columns], F.coalesce("removed", F.array()).alias("removed"),
-                         F.length(F.col(text)).alias("chars_before"))
+    kept = F.array_join(F.filter(F.split(body, "\n"), lambda line, i: ~F.array_contains(numbers, i)), "\n")
+    return joined.select(
+        F.when(F.col("removed").isNull(), F.col("doc")).otherwise(F.col("doc").withField(f"`{text}`", kept)).alias("doc"),
+        F.coalesce("removed", F.array()).alias("removed"), F.length(body).alias("chars_before"))

@@ -43,8 +43,8 @@ def op2_line_edit_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = lines.drop_repeated(table(spark, sf_dir, "documents").select("doc_id", "text"))
     gone = F.concat_ws(",", F.transform("removed", lambda r: F.concat_ws(
         ":", *[r[c].cast("string") for c in ("line_no", "first_doc", "first_line")])))
-    return d.select("doc_id", F.size("removed").cast("long").alias("n_removed"), gone.alias("removed"),
-                    F.sha2("text", 256).alias("kept_sha256"))
+    return d.select("doc.doc_id", F.size("removed").cast("long").alias("n_removed"), gone.alias("removed"),
+                    F.sha2("doc.text", 256).alias("kept_sha256"))
 
 
 @query

@@ -125,9 +125,9 @@ def mask(docs: DataFrame, text: str = "text", owner: str = "source", tag: str =
     hit = F.lit(False)
     for pattern, *_ in KINDS.values():
         hit = hit | F.coalesce(F.col(text).rlike(pattern), F.lit(False))
-    with_hits = stored(docs.where(hit).select(F.struct(*docs.columns).alias("doc"), F.col(owner).alias("owner"),
-                                              found.alias("found"),
-                                              F.monotonically_increasing_id().alias("row")), "secret-documents")
+    with_hits = stored(docs.where(hit).select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(owner).alias("owner"),
+        found.alias("found"), F.monotonically_increasing_id().alias("row")), "secret-documents")
     judged = _judged(with_hits).select("row", F.filter("spans", lambda s: s["live"]).alias("live"))
     body = F.col(f"doc.{text}")
     walk = F.aggregate("live", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), lambda acc, s: F.when(
@@ -137,6 +137,6 @@ def mask(docs: DataFrame, text: str = "text", owner: str = "source", tag: str =
         .otherwise(F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out"))))
     whole = F.concat(walk["out"], F.substring(body, walk["at"] + 1, F.length(body)))
     masked = with_hits.join(judged, "row", "left").select(
-        "doc.*", F.when(F.size("live") > 0, whole).otherwise(body).alias("_masked"))
-    masked = masked.select(*[F.col("_masked").alias(c) if c == text else F.col(c) for c in docs.columns])
+        F.when(F.size("live") > 0, F.col("doc").withField(f"`{text}`", whole)).otherwise(F.col("doc")).alias("doc"))
+    masked = masked.select("doc.*")
     return docs.where(~hit).unionByName(masked)
