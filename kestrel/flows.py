@@ -46,7 +46,7 @@ def transit_days_to_staging(spark: SparkSession, entities_path: str, trips: Data
     rows = rows.withColumn("_id", F.concat_ws("-", "trip_id", F.col("stop_sequence").cast("string"),
                                              F.col("departure_time").cast("string")))
     capped = win.cap_per_group(rows, list(cap_keys), per_slot, "_id", seed)
-    ts = F.timestamp_seconds(F.coalesce("departure_time", "arrival_time")).cast("timestamp_ntz")
+    ts = F.timestamp_seconds("timestamp").cast("timestamp_ntz")  # the feed message's own time; NULL stays NULL
     staged = capped.select(
         F.col("direction_id").cast("string").alias("direction_id"), "stop_sequence", "arrival_delay",
         "departure_delay", cal.round_hour(ts).alias("timestamp_rounded"),

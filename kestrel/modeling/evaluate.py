@@ -20,14 +20,14 @@ R = 6
 
 def regression_metrics(df: DataFrame, y: str, p: str, scale: float = 60.0) -> DataFrame:
     """MAE, RMSE, R² (1 - SSE/SST), mean prediction/actual; MAE and RMSE
-    also in minutes.  One aggregation pass (SST from sum and sum of squares)."""
+    also in minutes.  One aggregation pass; R² of a constant target is NULL."""
     e = F.col(p) - F.col(y)
     n = F.count(F.col(y))
     sse = F.sum(e * e)
-    sst = F.sum(F.col(y) * F.col(y)) - F.sum(F.col(y)) * F.sum(F.col(y)) / n
+    sst = F.var_pop(y) * n  # one pass, without the cancellation of a difference of sums
     out = df.where(F.col(y).isNotNull() & F.col(p).isNotNull()).agg(
         n.alias("n"), F.avg(F.abs(e)).alias("mae"), F.sqrt(sse / n).alias("rmse"),
-        (F.lit(1.0) - sse / sst).alias("r2"), F.avg(p).alias("mean_prediction"), F.avg(y).alias("mean_actual"))
+        (F.lit(1.0) - F.try_divide(sse, sst)).alias("r2"), F.avg(p).alias("mean_prediction"), F.avg(y).alias("mean_actual"))
     return out.select("n", *[F.round(c, R).alias(c) for c in ["mae", "rmse", "r2", "mean_prediction", "mean_actual"]],
                       F.round(F.col("mae") / scale, R).alias("mae_minutes"),
                       F.round(F.col("rmse") / scale, R).alias("rmse_minutes"))

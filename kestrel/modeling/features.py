@@ -105,10 +105,10 @@ def stratified_split(df: DataFrame, label: str, id_col: str, seed: str = "42",
 
 
 def class_weight(df: DataFrame, label: str) -> DataFrame:
-    """negatives / positives (the positive-class weight)."""
+    """negatives / positives (the positive-class weight; NULL without positives)."""
     y = F.col(label).cast("int")
     return df.agg(F.count_if(y == 0).alias("n_neg"), F.count_if(y == 1).alias("n_pos")) \
-        .withColumn("scale_pos_weight", F.round(F.col("n_neg") / F.col("n_pos"), 6))
+        .withColumn("scale_pos_weight", F.round(F.try_divide(F.col("n_neg"), F.col("n_pos")), 6))
 
 
 def with_weight(df: DataFrame, label: str, pos_weight: Column, out: str = "weight") -> DataFrame:

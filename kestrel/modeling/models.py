@@ -126,7 +126,7 @@ def positive_probability(col: str = "probability") -> Column:
 
 
 def fit_soft_vote(train: DataFrame, label: str = "label", weight: str | None = "weight",
-                  n_trees: int = 30, seed: int = 42):
+                  n_trees: int = 30, seed: int = 42, forest: int | None = None):
     """Two tree ensembles with different growth strategies (boosted trees
     and a random forest), class-weighted; the ensemble score is the mean of
     their positive-class probabilities."""
@@ -134,7 +134,7 @@ def fit_soft_vote(train: DataFrame, label: str = "label", weight: str | None = "
     gbt = (GBTClassifier(labelCol=label, featuresCol="features", maxIter=n_trees, maxDepth=6, stepSize=0.1,
                          seed=seed, **kw)
            .setPredictionCol("_p1").setProbabilityCol("_prob1").setRawPredictionCol("_raw1").fit(train))
-    rf = (RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=n_trees, maxDepth=8, seed=seed, **kw)
+    rf = (RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=forest or n_trees, maxDepth=8, seed=seed, **kw)
           .setPredictionCol("_p2").setProbabilityCol("_prob2").setRawPredictionCol("_raw2").fit(train))
     return gbt, rf
 
@@ -147,18 +147,19 @@ def soft_vote_score(models, df: DataFrame) -> DataFrame:
         .drop("_p1", "_prob1", "_raw1", "_p2", "_prob2", "_raw2")
 
 
-def classifiers(label: str, seed: int = 42, n_trees: int = 20):
+def classifiers(label: str, seed: int = 42, n_trees: int = 20, forest: int | None = None, weight: str | None = None):
+    kw = {"weightCol": weight} if weight else {}
     return {
-        "logistic": LogisticRegression(labelCol=label, maxIter=50),
-        "random_forest": RandomForestClassifier(labelCol=label, numTrees=n_trees, maxDepth=6, seed=seed),
-        "boosted_trees": GBTClassifier(labelCol=label, maxIter=n_trees, maxDepth=4, seed=seed),
+        "logistic": LogisticRegression(labelCol=label, maxIter=1000, **kw),
+        "random_forest": RandomForestClassifier(labelCol=label, numTrees=forest or n_trees, maxDepth=6, seed=seed, **kw),
+        "boosted_trees": GBTClassifier(labelCol=label, maxIter=n_trees, maxDepth=4, seed=seed, **kw),
     }
 
 
-def regressors(label: str, seed: int = 42, n_trees: int = 20):
+def regressors(label: str, seed: int = 42, n_trees: int = 20, forest: int | None = None):
     return {
         "ridge": LinearRegression(labelCol=label, regParam=1.0, elasticNetParam=0.0),
-        "random_forest": RandomForestRegressor(labelCol=label, numTrees=n_trees, maxDepth=6, seed=seed),
+        "random_forest": RandomForestRegressor(labelCol=label, numTrees=forest or n_trees, maxDepth=6, seed=seed),
         "boosted_trees": GBTRegressor(labelCol=label, maxIter=n_trees, maxDepth=4, seed=seed),
     }
 

@@ -11,7 +11,7 @@ names; requests without weather keep a 'weather_unavailable' status.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.functions import calendar as cal
@@ -24,7 +24,7 @@ DEFAULT_STOP = 1
 MANDATORY = ["direction_id", "month", "day", "hour", "day_of_week"]
 
 
-def prepare_requests(requests: DataFrame, year: int) -> tuple[DataFrame, DataFrame]:
+def prepare_requests(requests: DataFrame, year: int | Column) -> tuple[DataFrame, DataFrame]:
     """Apply defaults and split valid requests from the quarantine."""
     r = requests
     if "bus_nbr" not in r.columns:
@@ -36,9 +36,14 @@ def prepare_requests(requests: DataFrame, year: int) -> tuple[DataFrame, DataFra
     checked = required_fields(r, MANDATORY)
     bad = checked.where(~F.col("is_valid")).drop("is_valid")
     good = checked.where(F.col("is_valid")).drop("is_valid", "missing_fields")
-    good = good.withColumn("request_ts", F.make_timestamp_ntz(F.lit(year), F.col("month"), F.col("day"),
-                                                              F.col("hour"), F.lit(0), F.lit(0)))
-    return good, bad
+    year = F.lit(year) if isinstance(year, int) else year
+    good = good.withColumn("request_ts", F.try_make_timestamp_ntz(year, F.col("month"), F.col("day"), F.col("hour"),
+                                                                  F.lit(0), F.lit(0)))
+    # a date that doesn't exist (30 February) is a bad request, not an error
+    no_date = good.where(F.col("request_ts").isNull()).drop("request_ts").withColumn(
+        "missing_fields", F.array(F.lit("date")))
+    bad = bad.unionByName(no_date.select(*[F.col(c).cast(bad.schema[c].dataType) for c in bad.columns]))
+    return good.where(F.col("request_ts").isNotNull()), bad
 
 
 def enrich(good: DataFrame, weather_hourly: DataFrame) -> DataFrame:

@@ -97,7 +97,8 @@ def equal_width_histogram(df: DataFrame, col: str, n_bins: int, by: Column | Non
     stats = df.select(F.min(c).alias("lo"), F.max(c).alias("hi"))
     lo, hi = stats.select("lo").scalar(), stats.select("hi").scalar()
     width = (hi - lo) / F.lit(float(n_bins))
-    bucket = F.least(F.floor((c - lo) / width) + 1, F.lit(n_bins)).cast("int")
+    # a constant column has one bin
+    bucket = F.least(F.floor(F.coalesce(F.try_divide(c - lo, width), F.lit(0.0))) + 1, F.lit(n_bins)).cast("int")
     keys = [bucket.alias("bucket")] + ([by.alias("class")] if by is not None else [])
     out = (df.where(c.isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("count")))
     return out.withColumn("lower", rnd(lo + (F.col("bucket") - 1) * width))

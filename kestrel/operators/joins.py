@@ -1,5 +1,4 @@
-"""Join operators Spark has no single primitive for: size-checked broadcast,
-point-in-time (as-of) join, SCD2 validity-range join, earliest-label join.
+"""Join operators Spark has no single primitive for: point-in-time (as-of) join, SCD2 validity-range join, earliest-label join.
 
 As-of and SCD2 joins are written as *union + window*, never as a range join:
 both sides are unioned per entity, ordered by time, and the latest version
@@ -15,17 +14,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast-hint ``df`` only if it has at most ``max_rows`` rows.
-
-    The check is a ``limit(max_rows + 1).count()`` job, which stops reading
-    as soon as the bound is exceeded.  Above the bound the plain DataFrame is
-    returned and AQE chooses the join strategy from runtime statistics.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def asof_join(probe: DataFrame, versions: DataFrame, key, probe_ts: str, version_ts: str,
               value_cols: Sequence[str]) -> DataFrame:
     """For each probe row, the newest version with ``version_ts <= probe_ts``

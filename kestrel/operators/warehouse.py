@@ -31,9 +31,9 @@ def revenue_by_day_region(fact: DataFrame, dim_date: DataFrame, dim_geo: DataFra
     lo, hi = year * 10000 + month * 100 + 1, year * 10000 + month * 100 + 31
     j = fact.where(F.col("date_key").between(lo, hi)).join(d, "date_key").join(g, "geography_key")
     return (j.groupBy("full_date", "region")
-            .agg(money_sum("gross_amount").alias("total_brut"), money_sum("net_revenue").alias("total_net"),
-                 F.count(F.lit(1)).alias("nb_tx"))
-            .orderBy(F.desc("full_date"), F.desc("total_brut")))
+            .agg(money_sum("gross_amount").alias("gross_total"), money_sum("net_revenue").alias("net_total"),
+                 F.count(F.lit(1)).alias("n_transactions"))
+            .orderBy(F.desc("full_date"), F.desc("gross_total")))
 
 
 def cohort_spend(fact: DataFrame, dim_customer: DataFrame, dim_date: DataFrame) -> DataFrame:
@@ -42,9 +42,9 @@ def cohort_spend(fact: DataFrame, dim_customer: DataFrame, dim_date: DataFrame)
     c = dim_customer.select("customer_key", "signup_cohort_month")
     d = dim_date.select("date_key", "full_date", "month")
     j = fact.join(c, "customer_key").join(d, "date_key").where(F.col("full_date") >= F.col("signup_cohort_month"))
-    return (j.groupBy("signup_cohort_month", F.col("month").alias("mois_activite"))
-            .agg(money_sum("gross_amount").alias("depenses_cohorte"))
-            .orderBy("signup_cohort_month", "mois_activite"))
+    return (j.groupBy("signup_cohort_month", F.col("month").alias("activity_month"))
+            .agg(money_sum("gross_amount").alias("cohort_spend"))
+            .orderBy("signup_cohort_month", "activity_month"))
 
 
 def daily_revenue_merchant(fact: DataFrame) -> DataFrame:

@@ -52,7 +52,7 @@ def filter_last_interval(v):
         "transaction_id", "timestamp", "amount")
 
 
-@query("agg_fraud_kpis", headline=True, oracle=f"""
+@query("agg_fraud_kpis", oracle=f"""
 SELECT count(*) AS total, count(*) FILTER (WHERE is_alerted) AS alerts,
        round(count(*) FILTER (WHERE is_alerted) * 100.0 / count(*), 6) AS alert_rate_pct,
        sum(amount) AS volume, coalesce(sum(amount) FILTER (WHERE is_alerted), 0) AS alerted_volume
@@ -73,7 +73,7 @@ SELECT category, count(is_alerted) AS total, CAST(sum(CAST(is_alerted AS INT)) A
 FROM {src} r WHERE is_alerted IS NOT NULL GROUP BY category"""
 
 
-@query("agg_category_risk", headline=True,
+@query("agg_category_risk",
        oracle=CATEGORY_RISK_SQL.format(src=_recent_sql(DASHBOARD_DAYS)))
 def agg_category_risk(v):
     return pay.category_risk(_recent_scored(v, DASHBOARD_DAYS))

@@ -62,11 +62,10 @@ def sink_json_raw(v):
     return fs.read_json_rows(v.spark, path, schema)
 
 
-@query("scan_json_raw", oracle="SELECT * FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-12'")
+@query("scan_json_raw", oracle="SELECT * FROM events")
 def scan_json_raw(v):
     path = _bronze_events(v)
-    return fs.read_json_rows(v.spark, path, T.StructType(list(EVENT_SCHEMA.fields) + [T.StructField("day", T.DateType())])) \
-        .where(F.col("day").between(F.lit("2024-01-10").cast("date"), F.lit("2024-01-12").cast("date"))).drop("day")
+    return fs.read_json_rows(v.spark, path, T.StructType(list(EVENT_SCHEMA.fields) + [T.StructField("day", T.DateType())])).drop("day")
 
 
 @query("replay_from_raw", oracle="""
@@ -83,7 +82,7 @@ def replay_from_raw(v):
                            F.hour(F.col("ts") + F.expr("INTERVAL 30 MINUTES")).cast("int").alias("hour"),
                            bus_of_user(F.col("user_id")).alias("bus_nbr"))
     out = shared_path(v.spark, "staging-transport")
-    fs.append_chunked(staged, out, 1000)
+    fs.append_chunked(staged, out)
     return v.spark.read.parquet(out)
 
 
@@ -102,19 +101,19 @@ def sink_parquet(v):
     return fs.read_parquet(v.spark, path)
 
 
-@query("scan_parquet", oracle="SELECT timestamp_rounded, temperature_2m FROM weather_hourly WHERE weather_code >= 61")
+@query("scan_parquet", oracle="SELECT timestamp_rounded, temperature_2m, weather_code FROM weather_hourly")
 def scan_parquet(v):
     path = shared_path(v.spark, "weather-parquet")
     fs.write_parquet(_weather_features(v), path, partition_by=["weather_code"])
-    return fs.read_parquet(v.spark, path).where(F.col("weather_code") >= 61).select("timestamp_rounded", "temperature_2m")
+    return fs.read_parquet(v.spark, path).select("timestamp_rounded", "temperature_2m", "weather_code")
 
 
 @query("sink_append", oracle="SELECT id, event_ts, departure_delay FROM transport_rt")
 def sink_append(v):
     path = shared_path(v.spark, "append")
     rows = v.transport_rt.select("id", "event_ts", "departure_delay")
-    fs.append_chunked(rows.where(F.col("event_ts") < F.lit("2024-01-15").cast("timestamp_ntz")), path, 1000)
-    fs.append_chunked(rows.where(F.col("event_ts") >= F.lit("2024-01-15").cast("timestamp_ntz")), path, 1000)
+    fs.append_chunked(rows.where(F.col("event_ts") < F.lit("2024-01-15").cast("timestamp_ntz")), path)
+    fs.append_chunked(rows.where(F.col("event_ts") >= F.lit("2024-01-15").cast("timestamp_ntz")), path)
     return v.spark.read.parquet(path)
 
 

@@ -12,7 +12,7 @@ from kestrel.plans.transit import delays
 
 FRAUD_NUMERIC = ["amount", "hour", "day_of_week", "client_tx_count", "client_avg_amount",
                  "client_amount_ratio", "merchant_tx_count"]
-MODEL_VERSION = "lgbm-xgb-ensemble-v1"
+MODEL_VERSION = "gbt-rf-ensemble-v1"
 ALERT_THRESHOLD = 0.9
 WEATHER_LEVELS = ["0", "1", "2", "3", "51", "53", "55", "61", "63", "65", "71", "73", "75"]
 
@@ -173,9 +173,11 @@ def ml_shadow_compare(v):
 DELAY_FEATURES = ["stop_sequence", "direction_id", "hour_sin", "hour_cos", "day_sin", "day_cos",
                   "temperature_2m", "precipitation", "snowfall", "wind_speed_10m"]
 QUANTILES = {"P50": 0.5, "P80": 0.8, "P90": 0.9}
-BOOST_ROUNDS = 4
+BOOST_ROUNDS = 20
 BOOST_DEPTH = 5
-BOOST_RATE = 0.3
+BOOST_RATE = 0.1
+FOREST_TREES = 100
+BOOSTED_TREES = 20
 
 
 def delay_training_frame(v):
@@ -234,7 +236,7 @@ def ml_soft_vote(v):
     the test split."""
     from kestrel.modeling.models import fit_soft_vote, soft_vote_score
     f, _ = _fraud_training(v)
-    models = fit_soft_vote(f.where(F.col("split") == "train"), n_trees=8)
+    models = fit_soft_vote(f.where(F.col("split") == "train"), n_trees=BOOSTED_TREES, forest=FOREST_TREES)
     s = soft_vote_score(models, f.where(F.col("split") == "test"))
     return s.select("transaction_id", "label", F.round("p_gbt", 6).alias("p_gbt"), F.round("p_rf", 6).alias("p_rf"),
                     F.round("score", 6).alias("score"))
@@ -242,7 +244,12 @@ def ml_soft_vote(v):
 
 def _delay_classification(v):
     d = delay_training_frame(v)
-    return d.withColumn("is_delayed", (F.col("label") > 0.1).cast("int"))
+    d = d.withColumn("is_delayed", (F.col("label") > 0.1).cast("int"))
+    # classes weigh the same: rows / (2 * rows of the class)
+    n = d.where(F.col("split") == "train").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("is_delayed") == 1).alias("p"))
+    own = F.when(F.col("is_delayed") == 1, F.col("p")).otherwise(F.col("n") - F.col("p"))
+    return d.crossJoin(F.broadcast(n)).withColumn(  # one row
+        "weight", F.coalesce(F.try_divide(F.col("n"), 2 * own), F.lit(1.0))).drop("n", "p")
 
 
 @query("ml_clf_compare")
@@ -254,7 +261,7 @@ def ml_clf_compare(v):
     d = _delay_classification(v)
     train, test = d.where(F.col("split") == "train"), d.where(F.col("split") == "test")
     out = None
-    for name, est in classifiers("is_delayed", n_trees=10).items():
+    for name, est in classifiers("is_delayed", n_trees=BOOSTED_TREES, forest=FOREST_TREES, weight="weight").items():
         s = est.fit(train).transform(test).withColumn("s", positive_probability())
         r = ev.f1_sweep(s, "is_delayed", "s").select(F.lit(name).alias("model"), "best_threshold", "best_f1")
         out = r if out is None else out.unionByName(r)
@@ -270,7 +277,7 @@ def ml_reg_compare(v):
     d = delay_training_frame(v)
     train, test = d.where(F.col("split") == "train"), d.where(F.col("split") == "test")
     out = None
-    for name, est in regressors("label", n_trees=10).items():
+    for name, est in regressors("label", n_trees=BOOSTED_TREES, forest=FOREST_TREES).items():
         p = est.fit(train).transform(test)
         r = ev.regression_metrics(p, "label", "prediction").select(F.lit(name).alias("model"), "n", "mae", "rmse", "r2")
         out = r if out is None else out.unionByName(r)
@@ -282,7 +289,7 @@ def ml_feature_importance(v):
     """Importances of the random-forest regressor, highest first."""
     from kestrel.modeling.models import importances, regressors
     d = delay_training_frame(v).where(F.col("split") == "train")
-    model = regressors("label", n_trees=10)["random_forest"].fit(d)
+    model = regressors("label", forest=FOREST_TREES)["random_forest"].fit(d)
     rows = importances(model, DELAY_FEATURES)  # one value per feature (bounded)
     return v.spark.createDataFrame([(n, round(x, 6), i + 1) for i, (n, x) in enumerate(rows)],
                                    "feature string, importance double, rank int")
@@ -318,7 +325,7 @@ def ml_save_load(v):
     from kestrel.session import shared_path
     f, cols = _fraud_training(v)
     base = f.drop("features")
-    model = fit_pipeline(base.where(F.col("split") == "train"), cols, "label", n_trees=10)
+    model = fit_pipeline(base.where(F.col("split") == "train"), cols, "label", n_trees=BOOSTED_TREES)
     path = shared_path(v.spark, "fraud-model")
     model.write().overwrite().save(f"{path}/pipeline")
     lab = v.tx.where(F.col("is_fraud").isNotNull())

@@ -14,22 +14,24 @@ from kestrel.quality import monitoring as mon
 # Weekday labels of the monitoring dashboard, 0 = Monday.
 DOW_LABELS = ["Lundi", "Mardi", "Mercredi", "Jeudi", "Vendredi", "Samedi", "Dimanche"]
 
-_MATCH_SQL = """
-m AS (SELECT p.id, r.departure_delay, r.timestamp_rounded, r.id AS obs_id
-      FROM prediction_logs p JOIN transport_rt r ON
-        CAST(p.bus_nbr AS VARCHAR) = CAST(r.bus_nbr AS VARCHAR)
-        AND CAST(p.direction_id AS VARCHAR) = CAST(r.direction_id AS VARCHAR)
-        AND CAST(p.stop_sequence AS INT) = CAST(r.stop_sequence AS INT)
-        AND p.day_of_week = (dayofweek(r.timestamp_rounded) + 6) % 7
-        AND p.hour = hour(r.timestamp_rounded)
-      WHERE p.bus_nbr = '541' AND p.day_of_week BETWEEN 0 AND 6)"""
-
-_LATEST_SQL = """
-l AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY timestamp_rounded DESC, obs_id DESC) AS rn FROM m) x WHERE rn = 1)"""
-
-
-@query("join_ground_truth", oracle=f"""WITH {_MATCH_SQL}
-SELECT id, count(*) AS n_matches FROM m GROUP BY id""")
+# One row per slot (line, direction, stop, weekday, hour) of the observations:
+# how many there are and the last one; predictions look their slot up.
+def _slots_sql(*extra: str) -> str:
+    more = "".join(f", {e}(timestamp_rounded) AS s_{e}" for e in extra)
+    return f"""
+slots AS (
+  SELECT bus_nbr AS s_line, CAST(direction_id AS VARCHAR) AS s_way, stop_sequence AS s_stop,
+         isodow(timestamp_rounded) - 1 AS s_day, hour(timestamp_rounded) AS s_hour{more},
+         count(*) AS n_matches, max({{'t': timestamp_rounded, 'i': id, 'd': departure_delay}}) AS last
+  FROM transport_rt WHERE bus_nbr = '541' GROUP BY ALL),
+found AS (
+  SELECT id, n_matches, last.d AS actual_delay, last.t AS observed_at
+  FROM prediction_logs JOIN slots
+    ON (bus_nbr, CAST(direction_id AS VARCHAR), stop_sequence, day_of_week, hour{"".join(f", {e}" for e in extra)})
+     = (s_line, s_way, s_stop, s_day, s_hour{"".join(f", s_{e}" for e in extra)}))"""
+
+
+@query("join_ground_truth", oracle=f"WITH {_slots_sql()} SELECT id, n_matches FROM found")
 def join_ground_truth(v):
     """Predictions x observations on (bus, direction, stop, weekday, hour):
     number of matching observations per prediction (computed per slot, so
@@ -37,34 +39,26 @@ def join_ground_truth(v):
     return mon.match_predictions(v.prediction_logs, v.transport_rt).select("id", "n_matches")
 
 
-@query("win_latest_per_prediction", oracle=f"""WITH {_MATCH_SQL}, {_LATEST_SQL}
-SELECT id, departure_delay AS actual_delay, timestamp_rounded AS observed_at FROM l""")
+@query("win_latest_per_prediction", oracle=f"WITH {_slots_sql()} SELECT id, actual_delay, observed_at FROM found")
 def win_latest_per_prediction(v):
     return mon.match_predictions(v.prediction_logs, v.transport_rt).select("id", "actual_delay", "observed_at")
 
 
-@query("join_ground_truth_month", oracle="""
-WITH m AS (SELECT p.id, r.departure_delay, r.timestamp_rounded, r.id AS obs_id
-      FROM prediction_logs p JOIN transport_rt r ON
-        p.bus_nbr = r.bus_nbr AND CAST(p.direction_id AS VARCHAR) = CAST(r.direction_id AS VARCHAR)
-        AND p.stop_sequence = r.stop_sequence AND p.month = month(r.timestamp_rounded)
-        AND p.day_of_week = (dayofweek(r.timestamp_rounded) + 6) % 7 AND p.hour = hour(r.timestamp_rounded)
-      WHERE p.bus_nbr = '541'),
-l AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY timestamp_rounded DESC, obs_id DESC) AS rn FROM m) x WHERE rn = 1)
-SELECT id, departure_delay AS actual_delay FROM l""")
+@query("join_ground_truth_month", oracle=f"WITH {_slots_sql('month')} SELECT id, actual_delay FROM found")
 def join_ground_truth_month(v):
     return mon.match_predictions(v.prediction_logs, v.transport_rt, match="month_dow_hour").select("id", "actual_delay")
 
 
 @query("join_anti_synced", oracle="""
-SELECT p.id FROM prediction_logs p WHERE NOT EXISTS (SELECT 1 FROM ground_truth g WHERE g.prediction_log_id = p.id)""")
+SELECT id FROM prediction_logs ANTI JOIN ground_truth ON id = prediction_log_id""")
 def join_anti_synced(v):
     return mon.not_yet_synced(v.prediction_logs, v.ground_truth).select("id")
 
 
-@query("drift_ground_truth_sync", oracle=f"""WITH {_MATCH_SQL}, {_LATEST_SQL}
-SELECT id AS prediction_log_id, departure_delay AS actual_delay, (SELECT max(timestamp) FROM prediction_logs) AS created_at
-FROM l WHERE NOT EXISTS (SELECT 1 FROM ground_truth g WHERE g.prediction_log_id = l.id)""")
+@query("drift_ground_truth_sync", oracle=f"""WITH {_slots_sql()}
+SELECT id AS prediction_log_id, actual_delay, newest AS created_at
+FROM found CROSS JOIN (SELECT max(timestamp) AS newest FROM prediction_logs)
+WHERE id NOT IN (SELECT prediction_log_id FROM ground_truth WHERE prediction_log_id IS NOT NULL)""")
 def drift_ground_truth_sync(v):
     as_of = rel.max_of(v.prediction_logs, "timestamp")
     return mon.ground_truth_sync(v.prediction_logs, v.transport_rt, v.ground_truth, as_of)

@@ -173,12 +173,24 @@ def dq_volume_anomaly(v):
 
 
 @query("dq_schema_drift", oracle="""
-SELECT * FROM (VALUES ('status', 'string', NULL, 'removed'), ('amount', 'decimal(15,2)', 'double', 'retyped'),
-                      ('ingested_at', NULL, 'date', 'added')) t(column_name, old_type, new_type, change)""")
+SELECT 'status' AS column_name, 'string' AS old_type, NULL AS new_type, 'removed' AS change,
+       count(status) AS old_values, NULL AS new_values FROM tx
+UNION ALL SELECT 'amount', 'decimal(15,2)', 'double', 'retyped', count(amount), count(TRY_CAST(amount AS DOUBLE)) FROM tx
+UNION ALL SELECT 'ingested_at', NULL, 'date', 'added', NULL, count(CAST(timestamp AS DATE)) FROM tx""")
 def dq_schema_drift(v):
+    """Columns that came, went or changed type, with the values that each
+    side's rows hold in them (a retyping that loses values shows)."""
     new = v.tx.drop("status").withColumn("amount", F.col("amount").cast("double")) \
         .withColumn("ingested_at", F.to_date("timestamp"))
-    return pf.schema_drift(v.spark, v.tx, new)
+    drift = pf.schema_drift(v.spark, v.tx, new)
+
+    def values(df, name):
+        wide = df.agg(*[F.count(c).alias(c) for c in df.columns])
+        return wide.select(F.explode(F.map_from_arrays(
+            F.array(*[F.lit(c) for c in df.columns]), F.array(*df.columns))).alias("column_name", name))
+
+    return drift.join(values(v.tx, "old_values"), "column_name", "left").join(
+        values(new, "new_values"), "column_name", "left")
 
 
 @query("dq_feature_jump", oracle="""

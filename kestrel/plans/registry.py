@@ -19,7 +19,6 @@ class Entry:
     key: str
     build: Callable[[Views], DataFrame]
     oracle: str | None
-    headline: bool = False
 
     def run(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         return self.build(views(spark, sf_dir))
@@ -28,13 +27,13 @@ class Entry:
 _REGISTRY: dict[str, Entry] = {}
 
 
-def query(key: str, oracle: str | None = None, headline: bool = False):
+def query(key: str, oracle: str | None = None):
     """Register ``fn(v: Views) -> DataFrame`` under ``key``."""
 
     def deco(fn):
         if key in _REGISTRY:
             raise ValueError(f"duplicate query key {key}")
-        _REGISTRY[key] = Entry(key, fn, oracle, headline)
+        _REGISTRY[key] = Entry(key, fn, oracle)
         return fn
 
     return deco
@@ -43,7 +42,7 @@ def query(key: str, oracle: str | None = None, headline: bool = False):
 def _load_all():
     # import side effects fill the registry
     from kestrel.plans import (  # noqa: F401
-        fraud, transit, monitoring, warehouse, documents, relational, modeling,
+        fraud, transit, monitoring, warehouse, documents, modeling,
         quality, governance, io, streams,
     )
 
@@ -59,7 +58,3 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def all_oracles() -> dict[str, str]:
     return {k: with_views(e.oracle) for k, e in entries().items() if e.oracle}
-
-
-def headline_keys() -> list[str]:
-    return [k for k, e in entries().items() if e.headline]

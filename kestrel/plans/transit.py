@@ -26,13 +26,9 @@ def transport_weather(v) -> DataFrame:
     """Transport rows left-joined to hourly weather on the rounded hour.
 
     The weather side is one row per clock hour of the data span (8 760 rows
-    a year per location); it is broadcast after a bounded count confirms
-    it stays under a million rows, otherwise the join is left to AQE.
+    a year per location); AQE broadcasts it when its measured size is small.
     """
-    from kestrel.operators.joins import broadcast_if_small
-    # the size check runs once per data folder (memoised on the views)
-    w = v._get("weather_side", lambda: broadcast_if_small(
-        v.weather_hourly.select("timestamp_rounded", *WEATHER_COLS), 1_000_000))
+    w = v.weather_hourly.select("timestamp_rounded", *WEATHER_COLS)
     return (v.transport_rt.join(w, "timestamp_rounded", "left")
             .withColumn("day_of_week", cal.weekday0(F.col("timestamp_rounded"))))
 
@@ -143,13 +139,11 @@ def join_semi_trips(v):
 @query("join_lookup_broadcast", oracle=f"""WITH {_GTFS_SQL}
 SELECT e.event_id, t.route_id, t.direction_id FROM events e JOIN trips t ON e.user_id = t.trip_id""")
 def join_lookup_broadcast(v):
-    """trip -> (route, direction) lookup.  The trip table is a daily schedule
-    (bounded by the timetable, not by the feed volume); broadcast it only
-    after checking its size, else fall back to a shuffle join."""
-    from kestrel.operators.joins import broadcast_if_small
+    """trip -> (route, direction) lookup; AQE broadcasts the timetable when
+    its measured size is small."""
     feed = v.t.events.select("event_id", F.col("user_id").alias("trip_id"))
     lookup = gtfs_trips(v)
-    return feed.join(broadcast_if_small(lookup, max_rows=2_000_000), "trip_id").select(
+    return feed.join(lookup, "trip_id").select(
         "event_id", "route_id", "direction_id")
 
 
@@ -402,12 +396,21 @@ def project_numeric_only(v):
     return rel.numeric_only(v.transport_rt)
 
 
-@query("set_columns_diff", oracle="""
-SELECT * FROM (VALUES ('bus_nbr', 1), ('direction_id', 2), ('event_ts', 3), ('hour', 4), ('stop_sequence', 5)) t(column_name, position)""")
+@query("set_columns_diff", oracle="\nUNION ALL ".join(
+    f"SELECT '{c}' AS column_name, {i} AS position, count({c}) AS n_values, count(DISTINCT {c}) AS n_distinct "
+    "FROM transport_rt" for i, c in enumerate(["bus_nbr", "direction_id", "event_ts", "hour", "stop_sequence"], 1)))
 def set_columns_diff(v):
-    cols = rel.columns_minus(v.transport_rt, ["id", "timestamp_rounded", "departure_delay"])
-    rows = [(c, i + 1) for i, c in enumerate(sorted(cols))]
-    return v.spark.createDataFrame(rows, "column_name string, position int")
+    """The columns that a contract doesn't list, with what they hold in all
+    rows (values and different values)."""
+    t = v.transport_rt
+    cols = sorted(rel.columns_minus(t, ["id", "timestamp_rounded", "departure_delay"]))
+    long = t.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(i).alias("position"),
+                                                 F.col(c).cast("string").alias("value"))
+                                        for i, c in enumerate(cols, 1)])).alias("x")).select("x.*")
+    # counts per value first, so that a common value is one row per task
+    per_value = long.groupBy("column_name", "position", "value").agg(F.count("value").alias("n"))
+    return per_value.groupBy("column_name", "position").agg(
+        F.sum("n").alias("n_values"), F.count("value").alias("n_distinct"))
 
 
 # -- exploratory aggregates -----------------------------------------------------
@@ -418,7 +421,7 @@ def agg_span(v):
     return agg.span(delays(v), "timestamp_rounded")
 
 
-@query("agg_describe", headline=True, oracle=dsql("""
+@query("agg_describe", oracle=dsql("""
 SELECT count(departure_delay) AS count, round(avg(departure_delay), 6) AS mean, round(stddev_samp(departure_delay), 6) AS std,
        min(departure_delay) AS min, round(quantile_cont(departure_delay, 0.25), 6) AS p25,
        round(quantile_cont(departure_delay, 0.5), 6) AS p50, round(quantile_cont(departure_delay, 0.75), 6) AS p75,

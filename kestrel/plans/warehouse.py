@@ -13,10 +13,12 @@ from kestrel.plans.registry import query
 PERIOD = (1997, 1)  # the report month (order dates span 1995-2001)
 
 
-@query("join_star_region", headline=True, oracle=f"""
-SELECT d.full_date, g.region, sum(f.gross_amount) AS total_brut, sum(f.net_revenue) AS total_net, count(*) AS nb_tx
-FROM fact_transactions f JOIN dim_date d ON f.date_key = d.date_key JOIN dim_geography g ON f.geography_key = g.geography_key
-WHERE d.year = {PERIOD[0]} AND d.month = {PERIOD[1]} GROUP BY 1, 2 ORDER BY 1 DESC, 3 DESC""")
+@query("join_star_region", oracle=f"""
+WITH days AS (SELECT date_key, full_date FROM dim_date WHERE (year, month) = {PERIOD}),
+per_place AS (SELECT date_key, geography_key, sum(gross_amount) AS gross, sum(net_revenue) AS net, count(*) AS n
+              FROM fact_transactions SEMI JOIN days USING (date_key) GROUP BY ALL)
+SELECT full_date, region, sum(gross) AS gross_total, sum(net) AS net_total, CAST(sum(n) AS BIGINT) AS n_transactions
+FROM per_place JOIN days USING (date_key) JOIN dim_geography USING (geography_key) GROUP BY full_date, region""")
 def join_star_region(v):
     return wh.revenue_by_day_region(v.fact_transactions, v.dim_date, v.dim_geography, *PERIOD)
 
@@ -27,10 +29,12 @@ def filter_period(v):
     return v.dim_date.where((F.col("year") == PERIOD[0]) & (F.col("month") == PERIOD[1])).select("date_key", "full_date")
 
 
-@query("join_star_cohort", headline=True, oracle="""
-SELECT c.signup_cohort_month, d.month AS mois_activite, sum(f.gross_amount) AS depenses_cohorte
-FROM fact_transactions f JOIN dim_customer c ON f.customer_key = c.customer_key JOIN dim_date d ON f.date_key = d.date_key
-WHERE d.full_date >= c.signup_cohort_month GROUP BY 1, 2 ORDER BY 1, 2""")
+@query("join_star_cohort", oracle="""
+WITH spent AS (SELECT customer_key, full_date, month AS activity_month, sum(gross_amount) AS spend
+               FROM fact_transactions JOIN dim_date USING (date_key) GROUP BY ALL)
+SELECT signup_cohort_month, activity_month, sum(spend) AS cohort_spend
+FROM spent JOIN dim_customer USING (customer_key)
+WHERE signup_cohort_month <= full_date GROUP BY signup_cohort_month, activity_month""")
 def join_star_cohort(v):
     return wh.cohort_spend(v.fact_transactions, v.dim_customer, v.dim_date)
 

@@ -47,10 +47,12 @@ def ks_columns(ref: DataFrame, cur: DataFrame, cols: Sequence[str], alpha: float
                       F.coalesce(F.sum("t_cur").over(before), F.lit(0)).alias("o_cur"))  # one row per column
     cum = running_sums(counts, [F.col("column_name"), F.col("value")], {"c_ref": F.col("n_ref"), "c_cur": F.col("n_cur")})
     cum = cum.join(F.broadcast(offs), "column_name")
-    gap = F.abs((F.col("c_ref") - F.col("o_ref")) / F.col("t_ref") - (F.col("c_cur") - F.col("o_cur")) / F.col("t_cur"))
+    # an empty side has no distribution: statistic and verdict are NULL
+    gap = F.abs(F.try_divide(F.col("c_ref") - F.col("o_ref"), F.col("t_ref"))
+                - F.try_divide(F.col("c_cur") - F.col("o_cur"), F.col("t_cur")))
     d = cum.groupBy("column_name").agg(F.max(gap).alias("_d"), F.first("t_ref").alias("n_ref"),
                                       F.first("t_cur").alias("n_cur"))
-    ne = F.col("n_ref") * F.col("n_cur") / (F.col("n_ref") + F.col("n_cur"))
+    ne = F.try_divide(F.col("n_ref") * F.col("n_cur"), F.col("n_ref") + F.col("n_cur"))
     # p-value in its own projection: the series' lambda must see the raw
     # statistic, not the rounded output column
     d = d.withColumn("_p", kolmogorov_pvalue(F.sqrt(ne) * F.col("_d")))

@@ -97,7 +97,7 @@ def drift_ratio_dag(logs: DataFrame, truth: DataFrame, bus: str = "541", limit:
     j = p.join(truth, p.id == truth.prediction_log_id)
     m1 = j.select(mae(F.col("prediction_P50"), F.col("actual_delay")).alias("mae_weekly"))
     m2 = p.select(F.avg(F.abs(F.col("prediction_P50"))).alias("mae_avg"))
-    r = m1.crossJoin(m2).withColumn("drift_ratio", F.col("mae_weekly") / F.col("mae_avg"))
+    r = m1.crossJoin(m2).withColumn("drift_ratio", F.try_divide(F.col("mae_weekly"), F.col("mae_avg")))
     return r.select(F.round("mae_weekly", 6).alias("mae_weekly"), F.round("mae_avg", 6).alias("mae_avg"),
                     F.round("drift_ratio", 6).alias("drift_ratio"), (F.col("drift_ratio") > limit).alias("alert"))
 

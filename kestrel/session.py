@@ -43,7 +43,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
     builder = (builder
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", os.environ.get("KESTREL_DRIVER_MEM", "16g"))
-               .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="kestrel-wh-")))
+               )
+    if master.startswith("local"):  # on a cluster the warehouse is the cluster's
+        builder = builder.config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="kestrel-wh-"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
@@ -74,6 +76,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - unset key
             conf_dir = None
     if not conf_dir:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="kestrel-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir

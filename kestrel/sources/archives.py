@@ -9,6 +9,7 @@ row with a reason instead of failing the job.
 
 from __future__ import annotations
 
+import csv
 import io
 import zipfile
 from collections.abc import Iterator, Sequence
@@ -70,39 +71,42 @@ def archive_entries(archives: DataFrame, suffixes: Sequence[str] = PAYLOAD_SUFFI
     return archives.select("path", "content", "kind").mapInPandas(lambda it: _zip_entries(it, sfx), ENTRY_SCHEMA)
 
 
-def split_good_bad(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return entries.where(F.col("error").isNull()), entries.where(F.col("error").isNotNull())
+CSV_SCHEMA = "path string, line_no long, fields map<string,string>, error string"
 
 
-CSV_SCHEMA = "path string, line_no long, line string, error string"
-
-
-def _zip_text_lines(batches: Iterator[pd.DataFrame], member: str) -> Iterator[pd.DataFrame]:
+def _zip_records(batches: Iterator[pd.DataFrame], member: str) -> Iterator[pd.DataFrame]:
+    """Records of ``member`` with their header's names, in chunks (quoted
+    fields may hold line breaks)."""
     for pdf in batches:
-        out = []
         for p, content in zip(pdf["path"], pdf["content"]):
+            out, n = [], 0
             try:
-                with zipfile.ZipFile(io.BytesIO(content)) as zf:
-                    text = zf.read(member).decode("utf-8")
-                for i, line in enumerate(text.splitlines()):
-                    out.append((p, i, line, None))
-            except (zipfile.BadZipFile, KeyError, OSError, ValueError) as e:
+                with zipfile.ZipFile(io.BytesIO(content)) as zf, zf.open(member) as f:
+                    for rec in csv.DictReader(io.TextIOWrapper(f, encoding="utf-8-sig", newline="")):
+                        n += 1
+                        out.append((p, n, {k: v for k, v in rec.items() if k is not None}, None))
+                        if len(out) == 10_000:
+                            yield pd.DataFrame(out, columns=["path", "line_no", "fields", "error"])
+                            out = []
+            except (zipfile.BadZipFile, KeyError, OSError, ValueError, csv.Error) as e:
                 out.append((p, None, None, f"{type(e).__name__}: {e}"))
-        yield pd.DataFrame(out, columns=["path", "line_no", "line", "error"])
+            yield pd.DataFrame(out, columns=["path", "line_no", "fields", "error"])
 
 
 def read_zip_csv(spark: SparkSession, path: str, member: str, schema: str) -> tuple[DataFrame, DataFrame]:
-    """``<member>`` CSV (header, all strings) inside every zip under ``path``.
+    """``<member>`` CSV inside every zip under ``path``; columns are taken by
+    the names of each archive's own header (a missing column is NULL).
 
-    Lines are extracted per archive in ``mapInPandas``; parsing the CSV text
-    is Spark's own ``from_csv``.  Returns (rows, bad archives).
+    Returns (rows, bad archives); one read of the archives serves both.
     """
+    from pyspark.sql.types import StructType
     arch = scan_archives(spark, path)
-    lines = arch.select("path", "content").mapInPandas(lambda it: _zip_text_lines(it, member), CSV_SCHEMA)
-    bad = lines.where(F.col("error").isNotNull()).select("path", "error")
-    good = lines.where(F.col("error").isNull() & (F.col("line_no") > 0))
-    parsed = good.select(F.from_csv("line", schema).alias("r")).select("r.*")
-    return parsed, bad
+    records = arch.select("path", "content").mapInPandas(lambda it: _zip_records(it, member), CSV_SCHEMA)
+    bad = records.where(F.col("error").isNotNull()).select("path", "error")
+    field = F.col("fields")
+    rows = records.where(F.col("error").isNull()).select(
+        *[field[f.name].try_cast(f.dataType).alias(f.name) for f in StructType.fromDDL(schema).fields])
+    return rows, bad
 
 
 def _write_zip_group(pdf: pd.DataFrame, base: str, member: str, header: str, corrupt: bool) -> pd.DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,21 +37,6 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_jdbc_query(spark: SparkSession, url: str, query: str, properties: dict[str, str],
-                    partition_column: str | None = None, lower: int | None = None, upper: int | None = None,
-                    num_partitions: int = 8) -> DataFrame:
-    """SQL text run by a relational database (needs its JDBC driver jar on
-    the classpath).  With ``partition_column`` the read is split into
-    ``num_partitions`` parallel range queries instead of one connection."""
-    reader = spark.read.format("jdbc").option("url", url).options(**properties)
-    if partition_column:
-        reader = (reader.option("dbtable", f"({query}) q").option("partitionColumn", partition_column)
-                  .option("lowerBound", lower).option("upperBound", upper).option("numPartitions", num_partitions))
-    else:
-        reader = reader.option("query", query)
-    return reader.load()
-
-
 def run_sql(spark: SparkSession, text: str, views: dict[str, DataFrame]) -> DataFrame:
     """Run SQL text over named DataFrames (temporary views)."""
     for name, df in views.items():
@@ -72,8 +58,8 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_b
     w.parquet(path)
 
 
-def append_chunked(df: DataFrame, path: str, chunk_rows: int = 10_000) -> None:
-    """Append; ``chunk_rows`` bounds the rows per written file."""
+def append_chunked(df: DataFrame, path: str, chunk_rows: int = 0) -> None:
+    """Append; ``chunk_rows`` bounds the rows per written file (0: no bound)."""
     df.write.mode("append").option("maxRecordsPerFile", chunk_rows).parquet(path)
 
 
@@ -111,17 +97,19 @@ def insert_if_absent(spark: SparkSession, batch: DataFrame, target_path: str, ke
     try:
         existing = spark.read.parquet(target_path).select(*keys)
         new = new.join(existing, list(keys), "left_anti")
-    except Exception as e:  # noqa: BLE001 - empty / missing target
-        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+    except AnalysisException as e:  # no target yet
+        if e.getCondition() != "PATH_NOT_FOUND":
             raise
     new.write.mode("append").parquet(target_path)
 
 
 def write_report(df: DataFrame, base: str, report_date, fmt: str = "csv") -> None:
-    """Dated report under ``report_date=YYYY-MM-DD`` (parallel part files)."""
+    """Dated report under ``report_date=YYYY-MM-DD`` (parallel part files); a
+    report of the same date is replaced, other dates stay."""
     out = df.withColumn("report_date", F.lit(report_date).cast("date") if not isinstance(report_date, Column)
                         else report_date.cast("date"))
-    out.write.mode("append").partitionBy("report_date").option("header", True).format(fmt).save(base)
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("report_date") \
+        .option("header", True).format(fmt).save(base)
 
 
 def latest_report(spark: SparkSession, base: str, schema: T.StructType, fmt: str = "csv") -> DataFrame:

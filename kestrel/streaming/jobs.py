@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -171,8 +172,10 @@ def split_late(spark: SparkSession, on_time: str, late: str, progress: str, ts:
         try:
             prior = (spark.read.parquet(progress).where(F.col("batch_id") < batch_id)
                      .agg(F.max("max_ts")).first()[0])
-        except Exception:  # noqa: BLE001 - first batch: no progress yet
-            prior = None
+        except AnalysisException as e:
+            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+            prior = None  # first batch: no progress yet
         if prior is None:
             flagged = batch.withColumn("_late", F.lit(False))
         else:

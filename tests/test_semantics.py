@@ -259,13 +259,6 @@ def test_stratified_split_keeps_class_ratio(spark):
     assert got[(0, "train")] == 720 and got[(0, "val")] == 90 and got[(0, "test")] == 90
 
 
-def test_broadcast_if_small_checks_bound(spark):
-    small = spark.range(5)
-    big = spark.range(100)
-    assert "broadcast" in jn.broadcast_if_small(small, 10)._jdf.queryExecution().logical().toString().lower()
-    assert jn.broadcast_if_small(big, 10) is big
-
-
 def test_sql_functions_match_column_builders(spark):
     from kestrel.functions.sql import register_functions
     from kestrel.plans.transit import DELAY_EDGES, DELAY_LABELS
