@@ -15,46 +15,11 @@ def run(spark, key):
     return Q[key](spark, SF_SMALL)
 
 
-def test_stream_velocity_equals_batch_twin(spark):
-    s = {(r.event_id, r.last_1h_count) for r in run(spark, "stream_velocity_state").collect()}
-    b = {(r.event_id, r.last_1h_txn_count) for r in run(spark, "win_velocity_1h").collect()}
-    # events within the watermark delay of the end are still pending when the
-    # finite stream stops; everything emitted equals the batch window
-    assert s and s <= b
-    assert len(s) >= 0.9 * len(b)
-
-
-def test_stream_dedupe_one_row_per_transaction(spark, views):
-    out = run(spark, "stream_dedupe")
-    assert out.count() == out.select("transaction_id").distinct().count() == views.tx.count()
-
-
-def test_stream_late_split_partitions_rows(spark, views):
-    out = run(spark, "stream_late_split")
-    assert out.count() == views.t.events.count()
-    assert out.where("is_late").count() > 0
-
-
-def test_stream_sessions_equal_batch_twin(spark, views):
+def test_streams_close_their_last_windows(spark, views):
+    """The other streams are held against DuckDB in test_oracle.py."""
     out = run(spark, "stream_sessions")
-    assert out.agg(F.sum("n_events")).first()[0] <= views.t.events.count()
-    batch = (views.t.events.withColumn("ts", F.col("ts").cast("timestamp"))
-             .groupBy(F.session_window("ts", "30 minutes").alias("s"), "user_id")
-             .agg(F.count(F.lit(1)).alias("n_events"))
-             .select("user_id", F.col("s.start").alias("session_start"), F.col("s.end").alias("session_end"), "n_events"))
-    cols = ["user_id", "session_start", "session_end", "n_events"]
-    # every session the stream emitted (closed by the watermark) is a batch session
-    assert out.count() > 0
-    assert out.select(cols).exceptAll(batch.select(cols)).count() == 0
-
-
-def test_stream_tumbling_counts_bounded_by_batch(spark, views):
-    out = run(spark, "stream_tumbling_counters")
-    batch = (views.t.events.groupBy(F.window(F.col("ts").cast("timestamp"), "1 minute").alias("w"), "event_type")
-             .count().select(F.col("w.start").alias("window_start"), "event_type", F.col("count").alias("n")))
-    joined = out.join(batch, ["window_start", "event_type"])
-    assert joined.count() == out.count()
-    assert joined.where(out["n"] != batch["n"]).count() == 0
+    assert out.agg(F.sum("n_events")).first()[0] == views.t.events.count()
+    assert run(spark, "stream_late_split").where("is_late").count() > 0
 
 
 def test_stream_score_conserves_records(spark, views):
@@ -100,14 +65,14 @@ def test_insert_if_absent_is_idempotent(spark, tmp_path):
 def test_quantile_boost_coverage_and_order(spark, views):
     from kestrel.plans import modeling as m
     from kestrel.modeling import evaluate as ev
-    d, models = m.fit_delay_quantiles(views, rounds=4)
+    d, models = m.fit_delay_quantiles(views)
     train = d.where(F.col("split") == "train")
     for name, mdl in models.items():
         train = mdl.transform(train, out=f"p_{name}")
     r = train.agg(*[ev.coverage(F.col("label"), F.col(f"p_{n}")).alias(n) for n in m.QUANTILES],
                   *[F.avg(f"p_{n}").alias(f"m_{n}") for n in m.QUANTILES]).first()
     for n, a in m.QUANTILES.items():
-        assert abs(r[n] - a) < 0.08, (n, r[n])
+        assert abs(r[n] - a) < 0.03, (n, r[n])
     assert r["m_P50"] <= r["m_P80"] <= r["m_P90"]
 
 
@@ -127,9 +92,46 @@ def test_request_scoring_behaviours(spark, views):
     assert e[1].est_weekend == 1
 
 
+def test_request_for_a_date_that_does_not_exist_is_quarantined(spark, views):
+    from kestrel.modeling import scoring
+    req = spark.createDataFrame([(1, 0, 2, 30, 8, 3), (2, 1, 2, 28, 8, 3)],
+                                "id int, direction_id int, month int, day int, hour int, day_of_week int")
+    good, bad = scoring.prepare_requests(req, 2024)
+    assert [r.id for r in good.collect()] == [2]
+    assert [(r.id, r.missing_fields) for r in bad.collect()] == [(1, ["date"])]
+
+
+def test_zip_columns_are_taken_by_header_name(spark, tmp_path):
+    import zipfile
+    from kestrel.sources.archives import read_zip_csv
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
+        z.writestr("trips.txt", 'route_id,service_id,trip_id,note\nR1,S9,77,"two\nlines"\n')
+    rows, bad = read_zip_csv(spark, str(tmp_path), "trips.txt", "trip_id long, route_id string, direction_id string")
+    assert [tuple(r) for r in rows.collect()] == [(77, "R1", None)] and bad.count() == 0
+
+
+def test_report_of_a_date_is_replaced(spark, tmp_path):
+    from kestrel.sources.files import write_report
+    base = str(tmp_path / "r")
+    for day, n in (("2024-01-01", 2), ("2024-01-02", 1), ("2024-01-01", 3)):
+        write_report(spark.range(n).withColumnRenamed("id", "k"), base, day)
+    got = spark.read.option("header", True).csv(base).groupBy("report_date").count().orderBy("report_date").collect()
+    assert [r["count"] for r in got] == [3, 1]
+
+
+def test_divisions_by_zero_are_null(spark):
+    from kestrel.modeling import evaluate as ev
+    from kestrel.modeling import features as fe
+    from kestrel.operators.aggregates import equal_width_histogram
+    flat = spark.createDataFrame([(5.0, 4.0, 0), (5.0, 6.0, 0)], "y double, p double, label int")
+    assert ev.regression_metrics(flat, "y", "p").first().r2 is None
+    assert fe.class_weight(flat, "label").first().scale_pos_weight is None
+    assert [(r.bucket, r["count"]) for r in equal_width_histogram(flat, "y", 5).collect()] == [(1, 2)]
+
+
 def test_round_trips_keep_rows(spark, views):
     assert run(spark, "sink_replace_keyed").count() == views.weather_hourly.count()
-    assert run(spark, "sink_csv_report").count() >= 0
+    assert run(spark, "sink_csv_report").count() > 0
     u = run(spark, "fn_uuid")
     assert u.select("observation_uuid").distinct().count() == u.count()
 
