@@ -10,7 +10,8 @@ from kestrel.quality import governance as gov
 
 SALT = "salt-"
 ACCESS_SUBJECTS = [1, 2, 3]
-CLASSIFIED_TABLES = ["region", "nation", "customer", "supplier", "orders", "lineitem", "events", "documents"]
+CLASSIFIED_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+                     "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
 @query("gov_tokenise", oracle=f"""
@@ -38,14 +39,24 @@ _RULES_SQL = """CASE WHEN table_name IN ('region', 'nation') THEN 'N1'
 
 
 @query("gov_classify", oracle=f"""
-WITH c AS (SELECT table_name, column_name, {_RULES_SQL} AS level FROM information_schema.columns
-           WHERE table_name IN ({", ".join(f"'{t}'" for t in CLASSIFIED_TABLES)}))
-SELECT table_name, column_name, level, CASE level WHEN 'N4' THEN 'encrypt and mask' WHEN 'N3' THEN 'restricted access'
+WITH held AS ({" UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, column_name, n_values FROM "
+    f"(UNPIVOT (SELECT COUNT(COLUMNS(*)) AS '\\0' FROM {t}) ON COLUMNS(*) INTO NAME column_name VALUE n_values)"
+    for t in CLASSIFIED_TABLES)}),
+c AS (SELECT *, {_RULES_SQL} AS level FROM held)
+SELECT table_name, column_name, n_values, level, CASE level WHEN 'N4' THEN 'encrypt and mask' WHEN 'N3' THEN 'restricted access'
        WHEN 'N2' THEN 'internal' ELSE 'public' END AS control FROM c""")
 def gov_classify(v):
-    rows = [(t, f.name) for t in CLASSIFIED_TABLES for f in v.t.table(t).schema.fields]
-    cols = v.spark.createDataFrame(rows, "table_name string, column_name string")  # schema metadata only
-    return gov.classify(cols)
+    """Level and control of every column of every table, with the values that
+    its rows hold (an empty column needs no control yet)."""
+    held = None
+    for t in CLASSIFIED_TABLES:
+        df = v.t.table(t)
+        counts = df.agg(*[F.count(c).alias(c) for c in df.columns])
+        long = counts.select(F.explode(F.map_from_arrays(F.array(*[F.lit(c) for c in df.columns]), F.array(*df.columns)))
+                             .alias("column_name", "n_values")).withColumn("table_name", F.lit(t))
+        held = long if held is None else held.unionByName(long)
+    return gov.classify(held).join(held, ["table_name", "column_name"])
 
 
 @query("gov_access_request", oracle=f"""
@@ -69,7 +80,8 @@ WITH er AS (SELECT c_custkey FROM customer WHERE c_custkey % 50 = 0),
 c2 AS (SELECT * FROM customer WHERE c_custkey NOT IN (SELECT c_custkey FROM er)),
 t2 AS (SELECT * FROM tx WHERE client_id NOT IN (SELECT c_custkey FROM er)),
 p2 AS (SELECT * FROM preds WHERE transaction_id IN (SELECT transaction_id FROM t2))
-SELECT 'customer' AS table_name, (SELECT count(*) FROM customer) AS n_before, (SELECT count(*) FROM c2) AS n_after, 0 AS n_orphans
+SELECT 'customer' AS table_name, (SELECT count(*) FROM customer) AS n_before, (SELECT count(*) FROM c2) AS n_after,
+       (SELECT count(*) FROM c2 WHERE c_nationkey NOT IN (SELECT n_nationkey FROM nation)) AS n_orphans
 UNION ALL SELECT 'transactions', (SELECT count(*) FROM tx), (SELECT count(*) FROM t2),
        (SELECT count(*) FROM t2 WHERE client_id NOT IN (SELECT c_custkey FROM c2))
 UNION ALL SELECT 'predictions', (SELECT count(*) FROM preds), (SELECT count(*) FROM p2),
@@ -77,8 +89,8 @@ UNION ALL SELECT 'predictions', (SELECT count(*) FROM preds), (SELECT count(*) F
 def gov_erase(v):
     cust = v.t.customer
     erased = cust.where(F.col("c_custkey") % 50 == 0).select("c_custkey")
-    c2 = cust.join(erased, "c_custkey", "left_anti")
-    t2 = v.tx.join(erased.withColumnRenamed("c_custkey", "client_id"), "client_id", "left_anti")
+    left = gov.erase_subjects(cust, "c_custkey", [("transactions", v.tx, "client_id")], erased)
+    c2, t2 = left["parent"], left["transactions"]
     p2 = v.preds.join(t2.select("transaction_id"), "transaction_id", "left_semi")
 
     def counts(name, before, after, orphans):
@@ -89,7 +101,7 @@ def gov_erase(v):
 
     o_t = t2.join(c2.withColumnRenamed("c_custkey", "client_id"), "client_id", "left_anti")
     o_p = p2.join(t2.select("transaction_id"), "transaction_id", "left_anti")
-    return (counts("customer", cust, c2, cust.limit(0))
+    return (counts("customer", cust, c2, c2.join(v.t.nation, c2["c_nationkey"] == v.t.nation["n_nationkey"], "left_anti"))
             .unionByName(counts("transactions", v.tx, t2, o_t))
             .unionByName(counts("predictions", v.preds, p2, o_p)))
 

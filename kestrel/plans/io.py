@@ -11,6 +11,7 @@ from kestrel.functions import calendar as cal
 from kestrel.functions import weather as wx
 from kestrel.operators import relational as rel
 from kestrel.plans.registry import query
+from kestrel.plans.transit import _GTFS_SQL
 from kestrel.session import shared_path
 from kestrel.sources import archives as arc
 from kestrel.sources import feed
@@ -126,17 +127,25 @@ def sink_truncate_load(v):
     return v.spark.read.parquet(path).select("id", "departure_delay")
 
 
-@query("sink_replace_keyed")
+@query("sink_replace_keyed", oracle="""
+SELECT timestamp_rounded, temperature_2m, weather_code, 36 AS key_chars, 1 AS rows_of_key FROM weather_hourly""")
 def sink_replace_keyed(v):
     path = shared_path(v.spark, "weather-keyed")
     fs.replace_keyed(_weather_features(v), path)
-    return v.spark.read.parquet(path)
+    stored = v.spark.read.parquet(path)
+    per_key = stored.groupBy("observation_uuid").agg(F.count(F.lit(1)).alias("rows_of_key"))
+    return stored.join(per_key, "observation_uuid").select(
+        "timestamp_rounded", "temperature_2m", "weather_code", F.length("observation_uuid").alias("key_chars"), "rows_of_key")
 
 
-@query("fn_uuid")
+@query("fn_uuid", oracle="""
+SELECT timestamp_rounded, true AS is_uuid, md5(strftime(timestamp_rounded, '%Y-%m-%d %H:%M:%S')) AS observation_key
+FROM weather_hourly""")
 def fn_uuid(v):
-    """Random row id per observation (and the deterministic variant)."""
-    return v.weather_hourly.select("timestamp_rounded", F.expr("uuid()").alias("observation_uuid"),
+    """Random row id per observation (its form is reported, its value differs
+    in every run) and the deterministic variant."""
+    own = F.expr("uuid()").rlike("^[0-9a-f]{8}-[0-9a-f]{4}-4[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$")
+    return v.weather_hourly.select("timestamp_rounded", own.alias("is_uuid"),
                                    F.md5(F.col("timestamp_rounded").cast("string")).alias("observation_key"))
 
 
@@ -176,7 +185,11 @@ def _daily_report_rows(v, day_offset: int):
     return rows.select(*[f.name for f in _REPORT_SCHEMA.fields]), day
 
 
-@query("sink_csv_report")
+@query("sink_csv_report", oracle="""
+SELECT t.transaction_id, t.timestamp, t.amount, t.category, p.prediction_score, p.is_alerted,
+       CAST(t.timestamp AS DATE) AS report_date
+FROM tx t LEFT JOIN preds p ON t.transaction_id = p.transaction_id
+WHERE CAST(t.timestamp AS DATE) = (SELECT CAST(max(timestamp) AS DATE) - 1 FROM tx)""")
 def sink_csv_report(v):
     """Yesterday's scored transactions as a dated CSV report."""
     base = shared_path(v.spark, "reports")
@@ -200,6 +213,10 @@ def scan_latest_report(v):
     return fs.latest_report(v.spark, base, _REPORT_SCHEMA)
 
 
+def _file_name():
+    return F.element_at(F.split("path", "/"), -1).alias("file")
+
+
 def _staged_archives(v):
     base = shared_path(v.spark, "gtfs-static")
     from kestrel.plans.transit import gtfs_trips
@@ -213,7 +230,17 @@ def _staged_archives(v):
     return base
 
 
-@query("scan_zip_csv")
+_ARCHIVE_SQL = f"""WITH {_GTFS_SQL},
+a AS (SELECT *, CAST(trip_id % 8 + floor(trip_id / 10000) * 8 AS BIGINT) AS archive_id, trip_id % 8 = 7 AS corrupt FROM trips),
+f AS (SELECT 'archive_' || lpad(CAST(archive_id AS VARCHAR), 5, '0') || '.zip' AS file, archive_id, corrupt,
+             length('trip_id,route_id,direction_id') + 1
+             + sum(length(CAST(trip_id AS VARCHAR)) + length(route_id) + length(direction_id) + 3) AS bytes
+      FROM a GROUP BY archive_id, corrupt)"""
+
+
+@query("scan_zip_csv", oracle=f"""{_ARCHIVE_SQL}
+SELECT trip_id, route_id, direction_id, NULL AS error FROM a WHERE NOT corrupt
+UNION ALL SELECT NULL, NULL, NULL, 'BadZipFile: File is not a zip file' FROM f WHERE corrupt""")
 def scan_zip_csv(v):
     """``trips.txt`` read out of every static archive; unreadable archives
     are reported, not fatal."""
@@ -224,20 +251,25 @@ def scan_zip_csv(v):
                                 F.lit(None).cast("string").alias("direction_id"), "error"))
 
 
-@query("scan_archive_entries")
+@query("scan_archive_entries", oracle=f"""{_ARCHIVE_SQL}
+SELECT file, 'feed_' || lpad(CAST(archive_id AS VARCHAR), 5, '0') || '.pb' AS entry, CAST(bytes AS BIGINT) AS size, NULL AS error
+FROM f WHERE NOT corrupt
+UNION ALL SELECT file, NULL, NULL, 'unsupported archive kind: unknown' FROM f WHERE corrupt""")
 def scan_archive_entries(v):
     """Archives sniffed by magic bytes; payload entries (.pb/.protobuf/.bin)
     emitted, other entries skipped, bad archives quarantined with a reason."""
     base = _staged_archives(v)
     entries = arc.archive_entries(arc.scan_archives(v.spark, base))
-    return entries.select("path", "entry", F.length("payload").alias("size"), "error")
+    return entries.select(_file_name(), "entry", F.length("payload").cast("long").alias("size"), "error")
 
 
-@query("fn_magic_bytes")
+@query("fn_magic_bytes", oracle=f"""{_ARCHIVE_SQL}
+SELECT file, CASE WHEN corrupt THEN hex('trip') ELSE '504B0304' END AS magic, CASE WHEN corrupt THEN 'unknown' ELSE 'zip' END AS kind
+FROM f""")
 def fn_magic_bytes(v):
     base = _staged_archives(v)
     a = arc.scan_archives(v.spark, base)
-    return a.select("path", F.hex(F.substring("content", 1, 4)).alias("magic"), "kind")
+    return a.select(_file_name(), F.hex(F.substring("content", 1, 4)).alias("magic"), "kind")
 
 
 _FEED_SQL = """u AS (
