@@ -35,13 +35,51 @@ LAST_ID = (1 << 63) - 1
 
 # -- verification ---------------------------------------------------------------
 
-def _shared(a: str, b: str, longest: int = 1 << 16) -> Column:
-    """Characters that two columns share at their start, by halving steps (of
+def _let(value: Column, then) -> Column:
+    """``then(value)`` with the value worked out once."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def _shared(a: Column, b: Column, longest: int = 1 << 16) -> Column:
+    """Characters that two texts share at their start, by halving steps (of
     longer shared starts only ``2 * longest`` characters are found)."""
     steps = F.array(*[F.lit(1 << k) for k in range(longest.bit_length() - 1, -1, -1)])
     limit = F.least(F.length(a), F.length(b))
     return F.aggregate(steps, F.lit(0), lambda n, s: F.when(
-        (n + s <= limit) & (F.substring(F.col(a), n + 1, s) == F.substring(F.col(b), n + 1, s)), n + s).otherwise(n))
+        (n + s <= limit) & (F.substring(a, n + 1, s) == F.substring(b, n + 1, s)), n + s).otherwise(n))
+
+
+def _rests(a: Column, b: Column, then) -> Column:
+    """``then`` of a struct (x, y): what differs once the shared start and end
+    are cut off, read backwards."""
+    def cut(text, n):
+        return F.substring(text, n + 1, F.length(text))
+
+    return _let(_shared(a, b), lambda head: _let(
+        F.struct(F.reverse(cut(a, head)).alias("x"), F.reverse(cut(b, head)).alias("y")), lambda p: _let(
+            _shared(p["x"], p["y"]), lambda tail: _let(
+                F.struct(cut(p["x"], tail).alias("x"), cut(p["y"], tail).alias("y")), then))))
+
+
+def plausible(a: Column, b: Column, threshold: int) -> Column:
+    """False only if more than ``threshold`` edits lie between two texts; cheap
+    enough for a join's condition.  What is left after the shared ends are cut
+    off begins and ends with an edit, so of a longer rest everything else must
+    agree when there are but two."""
+    def test(p):
+        x, y = p["x"], p["y"]
+        m, n = F.length(x), F.length(y)
+        ok = F.greatest(m, n) <= threshold
+        if threshold == 2:
+            edit = ((1, 1), (0, 1), (1, 0))  # characters of x and y that one edit takes
+            for first in edit:
+                for last in edit:
+                    u, v = first[0] + last[0], first[1] + last[1]
+                    ok = ok | ((m >= u) & (m - u == n - v) & (F.substring(x, F.lit(1 + first[0]), m - u)
+                                                              == F.substring(y, F.lit(1 + first[1]), n - v)))
+        return ok if threshold <= 2 else F.lit(True)
+
+    return (F.abs(F.length(a) - F.length(b)) <= threshold) & _rests(a, b, test)
 
 
 def _automaton(xs: str, ys: str, threshold: int) -> Column:
@@ -75,18 +113,14 @@ def _automaton(xs: str, ys: str, threshold: int) -> Column:
 def verified(pairs: DataFrame, threshold: int, a: str = "line_a", b: str = "line_b") -> DataFrame:
     """The pairs whose texts ``a`` and ``b`` are within ``threshold`` edits.
     What they share at their ends is cut off first (that changes no distance);
-    the rest goes through the banded automaton.  Columns are added step by
-    step, so that nothing is worked out twice."""
-    p = pairs.where(F.abs(F.length(a) - F.length(b)) <= threshold).withColumn("_head", _shared(a, b))
-    p = p.withColumns({"_x": F.reverse(F.substring(F.col(a), F.col("_head") + 1, F.length(a))),
-                       "_y": F.reverse(F.substring(F.col(b), F.col("_head") + 1, F.length(b)))})
-    p = p.withColumn("_tail", _shared("_x", "_y"))
+    the rest goes through the banded automaton."""
     # split gives one empty string for an empty text
-    p = p.withColumns({c: F.filter(F.split(F.substring(F.col(c), F.col("_tail") + 1, F.length(c)), ""),
-                                   lambda ch: ch != "") for c in ("_x", "_y")})
+    chars = lambda t: F.filter(F.split(t, ""), lambda ch: ch != "")
+    p = pairs.where(plausible(F.col(a), F.col(b), threshold)).withColumn("_r", _rests(
+        F.col(a), F.col(b), lambda r: F.struct(chars(r["x"]).alias("x"), chars(r["y"]).alias("y"))))
     # written, so that the optimizer doesn't put these expressions into the
     # automaton's steps
-    p = stored(p.drop("_head", "_tail", a, b), "line-pairs")
+    p = stored(p.withColumns({"_x": F.col("_r.x"), "_y": F.col("_r.y")}).drop("_r", a, b), "line-pairs")
     few = F.greatest(F.size("_x"), F.size("_y")) <= threshold
     bit = F.get(F.array(*[F.lit(1 << d) for d in range(2 * threshold + 1)]), F.size("_x") - F.size("_y") + threshold)
     return p.where(F.when(few, True).otherwise(_automaton("_x", "_y", threshold).bitwiseAND(bit) != 0)
@@ -148,7 +182,7 @@ def line_links(distinct: DataFrame, threshold: int, near_chars: int) -> DataFram
     a, b = opened.where("NOT linked").alias("a"), opened.alias("b")
     rest = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.component") != F.col("b.component"))
                   & (F.col("a.own") | F.col("b.own"))
-                  & (F.abs(F.length("a.line") - F.length("b.line")) <= threshold))
+                  & plausible(F.col("a.line"), F.col("b.line"), threshold))
     rest = rest.select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), F.col("a.line").alias("line_a"),
                        F.col("b.line").alias("line_b"))
     return star.union(verified(rest, threshold).select("a", "b").distinct())
