@@ -134,21 +134,29 @@ def segment_keys(line: Column, threshold: int) -> Column:
     line can meet a segment of a line as long or up to ``threshold`` shorter;
     ``own`` marks the line's own segments (its entries in the index)."""
     parts = threshold + 1
-    chars = F.length(line)
-    out = []
-    for shorter in range(threshold + 1):
-        size = chars - shorter                    # length of the indexed line
-        least = F.floor(size / parts).cast("int")
-        longer = size - least * parts             # so many last segments have one more
-        for i in range(parts):
-            width = least + F.when(F.lit(i) >= parts - longer, 1).otherwise(0)
-            begin = least * i + F.greatest(F.lit(i) - (parts - longer), F.lit(0))
-            # edits before a segment shift it by at most i, edits after it by
-            # at most threshold - i against the end
-            for shift in range(max(-i, shorter - (threshold - i)), min(i, shorter + threshold - i) + 1):
-                key = F.xxhash64(F.lit(i), size, F.substring(line, begin + shift + 1, width))
-                out.append(F.struct(key.alias("key"), F.lit(shorter == 0 and shift == 0).alias("own")))
-    return F.array(*out)
+    # (segment, how much shorter the indexed line is, shift): edits before a
+    # segment shift it by at most its number, edits after it by at most the
+    # rest of the threshold against the end
+    places = F.array(*[
+        F.struct(F.lit(i).alias("i"), F.lit(short).alias("short"), F.lit(shift).alias("shift"))
+        for short in range(threshold + 1) for i in range(parts)
+        for shift in range(max(-i, short - (threshold - i)), min(i, short + threshold - i) + 1)])
+
+    def keys(x):
+        def one(p):
+            size = x["chars"] - p["short"]       # length of the indexed line
+            longer = size % parts                # so many last segments have one more
+            least = ((size - longer) / parts).cast("int")
+            first_longer = F.lit(parts) - longer
+            width = least + (p["i"] >= first_longer).cast("int")
+            begin = least * p["i"] + F.greatest(p["i"] - first_longer, F.lit(0)) + p["shift"]
+            return F.struct(F.xxhash64(p["i"], size, F.substring(x["wide"], 4 * begin + 1, 4 * width)).alias("key"),
+                            ((p["short"] == 0) & (p["shift"] == 0)).alias("own"))
+
+        return F.transform(places, one)
+
+    # four bytes a character, so that a place in the line is found at once
+    return _let(F.struct(F.encode(line, "UTF-32").alias("wide"), F.length(line).alias("chars")), keys)
 
 
 def line_links(distinct: DataFrame, threshold: int, near_chars: int) -> DataFrame:
@@ -159,7 +167,8 @@ def line_links(distinct: DataFrame, threshold: int, near_chars: int) -> DataFram
     bucket; only lines that this leaves apart meet the others of the bucket,
     and only those of other classes.  No group's pairs are listed."""
     long_lines = distinct.where(F.length("line") >= near_chars)
-    rows = long_lines.select("id", F.explode(segment_keys(F.col("line"), threshold)).alias("k")).select("id", "k.*")
+    rows = stored(long_lines.select("id", F.explode(segment_keys(F.col("line"), threshold)).alias("k"))
+                  .select("id", "k.*"), "line-keys")
     heads = rows.groupBy("key").agg(F.min(F.when(F.col("own"), F.col("id"))).alias("first"),
                                     F.min("id").alias("lo"), F.max("id").alias("hi"))
     heads = heads.where("first IS NOT NULL AND lo < hi").select("key", "first")
