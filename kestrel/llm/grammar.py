@@ -51,39 +51,53 @@ DOCUMENTS = ("shard long, segment int, doc_id long, start_in_segment long, n_tok
 def compress(ids: np.ndarray, doc_sizes: np.ndarray, base: int, rounds: int = ROUNDS, min_count: int = MIN_COUNT,
              max_rules: int = MAX_RULES) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
     """(symbols, symbols per document, (left, right) rows of each round)."""
-    s = ids.astype(np.int64)
+    # a pair is one number; while all symbols fit 16 bits it has 32 (half the
+    # work of sorting)
+    half, kind = (16, np.uint32) if base + max_rules < (1 << 16) - 1 and ids.max(initial=0) < base else (32, np.uint64)
+    none = np.iinfo(kind).max
+    s = ids.astype(kind)
     last = np.zeros(len(s), dtype=bool)
     last[np.cumsum(doc_sizes[doc_sizes > 0]) - 1] = True
     made: list[np.ndarray] = []
     n_rules = 0
-    never = np.iinfo(np.int64).max
+    never = np.iinfo(np.int32).max
     for _ in range(rounds):
         if len(s) < 2 or n_rules == max_rules:
             break
-        key = (s[:-1] << 32) | s[1:]
-        key[last[:-1]] = -1
-        pairs, times = np.unique(key, return_counts=True)
-        if pairs[0] == -1:
-            pairs, times = pairs[1:], times[1:]
+        key = (s[:-1] << kind(half)) | s[1:]
+        key[last[:-1]] = none
+        ordered = np.sort(key)
+        new = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+        pairs, times = ordered[new], np.diff(new, append=len(ordered))
+        if pairs[-1] == none:
+            pairs, times = pairs[:-1], times[:-1]
         if not len(times) or times.max() < min_count:
             break
         frequent = np.flatnonzero(times >= max(min_count, times.max() // WIDE))
         frequent = frequent[np.argsort(-times[frequent], kind="stable")][:max_rules - n_rules]
         chosen = pairs[frequent]                      # by rank
-        by_key = np.argsort(chosen)
-        at = np.minimum(np.searchsorted(chosen[by_key], key), len(chosen) - 1)
-        rank = np.where(chosen[by_key][at] == key, by_key[at], never)
+        by_key = np.argsort(chosen).astype(np.int32)
+        in_order = chosen[by_key]
+        # most pairs are out by their first symbol alone
+        begins = np.zeros(int(s.max()) + 1, dtype=bool)
+        begins[(chosen >> kind(half)).astype(np.int64)] = True
+        may = np.flatnonzero(begins[s[:-1]])
+        at = np.minimum(np.searchsorted(in_order, key[may]), len(chosen) - 1)
+        rank = np.full(len(key), never, dtype=np.int32)
+        rank[may] = np.where(in_order[at] == key[may], by_key[at], never)
         before, after = np.concatenate([[never], rank[:-1]]), np.concatenate([rank[1:], [never]])
-        run_start = np.flatnonzero(np.concatenate([[True], rank[1:] != rank[:-1]]))
-        odd = np.arange(len(rank)) - np.repeat(run_start, np.diff(run_start, append=len(rank)))
-        take = (rank < never) & (odd % 2 == 0) & ((odd > 0) | (rank < before)) & (rank <= after)
-        where = np.flatnonzero(take)
-        s[where] = base + n_rules + rank[where]
+        # only places with a rank need a look: how far is each in a run of its own pair
+        some = np.flatnonzero(rank < never)
+        fresh = np.flatnonzero(np.concatenate([[True], (np.diff(some) > 1) | (rank[some[1:]] != rank[some[:-1]])]))
+        odd = np.arange(len(some)) - np.repeat(fresh, np.diff(fresh, append=len(some)))
+        own = rank[some]
+        where = some[(odd % 2 == 0) & ((odd > 0) | (own < before[some])) & (own <= after[some])]
+        s[where] = (base + n_rules + rank[where]).astype(kind)
         last[where] = last[where + 1]
         keep = np.ones(len(s), dtype=bool)
         keep[where + 1] = False
         s, last = s[keep], last[keep]
-        made.append(np.stack([chosen >> 32, chosen & 0xFFFFFFFF], axis=1))
+        made.append(np.stack([chosen >> kind(half), chosen & kind((1 << half) - 1)], axis=1).astype(np.int64))
         n_rules += len(chosen)
     ends = np.flatnonzero(last) + 1
     per = np.zeros(len(doc_sizes), dtype=np.int64)
