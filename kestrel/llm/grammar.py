@@ -219,7 +219,7 @@ def write(docs: DataFrame, tokenizer: str, end_id: int = 2, base: int = 50_257,
                     if held:
                         yield close()
                     shard, segment = int(shards[a]), 0
-                for first, texts in P.text_batches(batch.column(2).slice(a, b - a).to_pylist(), 1 << 21):
+                for first, texts in P.text_batches(batch.column(2).slice(a, b - a), 1 << 20):
                     flat, per, *_ = memo.encode(texts)
                     sizes = per + 1
                     ids = np.full(int(sizes.sum()), end_id, dtype=np.int32)

@@ -40,7 +40,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int,
         memo = P.byte_bpe(tokenizer)
         for batch in batches:
             keys = batch.column(0)
-            for first, texts in P.text_batches(batch.column(1).to_pylist()):
+            for first, texts in P.text_batches(batch.column(1)):
                 flat, per, *_ = memo.encode(texts)
                 total = per + 1
                 ids = np.full(int(total.sum()), end_id, dtype="<u4")

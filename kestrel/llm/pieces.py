@@ -161,17 +161,19 @@ class ChunkMemo:
         return flat, per_text, starts, lens, cnt
 
 
-def text_batches(values: list, max_bytes: int = 1 << 22) -> Iterator[tuple[int, list[bytes]]]:
-    """Cut a column of bytes/None into runs of about ``max_bytes`` (a longer
-    text makes a run of its own); yields (row of the first, texts)."""
+def text_batches(column, max_bytes: int = 1 << 21) -> Iterator[tuple[int, list[bytes]]]:
+    """Cut an Arrow column of binaries into runs of about ``max_bytes`` (a
+    longer text makes a run of its own; null is empty), a few rows out of Arrow
+    at a time; yields (row of the first, texts)."""
     run, size, first = [], 0, 0
-    for i, v in enumerate(values):
-        v = v or b""
-        if run and size + len(v) > max_bytes:
-            yield first, run
-            run, size, first = [], 0, i
-        run.append(v)
-        size += len(v)
+    for at in range(0, len(column), 256):
+        for i, v in enumerate(column.slice(at, 256).to_pylist(), at):
+            v = v or b""
+            if run and size + len(v) > max_bytes:
+                yield first, run
+                run, size, first = [], 0, i
+            run.append(v)
+            size += len(v)
     if run:
         yield first, run
 

@@ -133,7 +133,7 @@ def measure(docs: DataFrame, vocabularies: list[str], doc_id: str = "doc_id", te
         symbol = np.zeros(256, dtype=bool)
         symbol[list(SYMBOLS)] = True
         for batch in batches:
-            for first, texts in P.text_batches(batch.column(1).to_pylist(), 1 << 21):
+            for first, texts in P.text_batches(batch.column(1), 1 << 20):
                 out = {n: [] for n in names[2:8]}
                 chars = []
                 for t in texts:

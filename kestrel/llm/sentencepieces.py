@@ -278,7 +278,7 @@ def encode(docs: DataFrame, model: str, doc_id: str = "doc_id", text: str = "tex
         enc = encoder(model)
         for batch in batches:
             keys = batch.column(0)
-            for first, texts in P.text_batches(batch.column(1).to_pylist(), 1 << 21):
+            for first, texts in P.text_batches(batch.column(1), 1 << 20):
                 flat, per, align = enc.ids(texts)
                 begin, end = enc.spans(texts, flat, per, align)
                 bounds = np.concatenate([[0], np.cumsum(per)]).astype(np.int32)
