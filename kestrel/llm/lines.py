@@ -199,6 +199,11 @@ def line_links(distinct: DataFrame, threshold: int, near_chars: int) -> DataFram
 
 # -- the operator -------------------------------------------------------------------
 
+def counts(line: Column, min_chars: int = MIN_CHARS) -> Column:
+    """Whether a line is one of those that go when repeated."""
+    return F.length(line) >= min_chars
+
+
 def removals(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, near_chars: int = NEAR_CHARS,
              doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc, removed): the lines that go, per document, as an array of
@@ -206,7 +211,7 @@ def removals(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_C
     doc_id, or the largest long for a null one."""
     doc = F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST_ID)).alias("doc")
     lines = docs.select(doc, F.posexplode(F.split(F.col(text), "\n")).alias("line_no", "line")).where(
-        F.length("line") >= min_chars)
+        counts(F.col("line"), min_chars))
     counted = lines.groupBy("line").agg(F.count(F.lit(1)).alias("n"))
     distinct = stored(counted.withColumn("id", F.monotonically_increasing_id()), "distinct-lines")
     links = line_links(distinct.select("id", "line"), threshold, near_chars)
