@@ -40,13 +40,17 @@ def _let(value: Column, then) -> Column:
     return F.get(F.transform(F.array(value), then), F.lit(0))
 
 
-def _shared(a: Column, b: Column, longest: int = 1 << 16) -> Column:
-    """Characters that two texts share at their start, by halving steps (of
-    longer shared starts only ``2 * longest`` characters are found)."""
-    steps = F.array(*[F.lit(1 << k) for k in range(longest.bit_length() - 1, -1, -1)])
-    limit = F.least(F.length(a), F.length(b))
-    return F.aggregate(steps, F.lit(0), lambda n, s: F.when(
-        (n + s <= limit) & (F.substring(a, n + 1, s) == F.substring(b, n + 1, s)), n + s).otherwise(n))
+def _shared(a: Column, b: Column) -> Column:
+    """Characters that two texts share at their start, by halving steps from
+    the highest power of two in the shorter length."""
+    steps = F.array(*[F.lit(1 << k) for k in range(30, -1, -1)])
+
+    def count(limit):
+        bits = F.length(F.bin(limit))
+        return F.aggregate(F.slice(steps, F.lit(32) - bits, bits), F.lit(0), lambda n, s: F.when(
+            (n + s <= limit) & (F.substring(a, n + 1, s) == F.substring(b, n + 1, s)), n + s).otherwise(n))
+
+    return _let(F.least(F.length(a), F.length(b)), count)
 
 
 def _rests(a: Column, b: Column, then) -> Column:

@@ -23,3 +23,17 @@ def test_every_different_line_stays_once(spark):
     left = sorted(line for _, t in out for line in t.split("\n"))
     assert left == sorted({line for _, t in rows for line in t.split("\n")})
     assert 9 not in dict(out)
+
+
+def test_edits_of_very_long_lines(spark):
+    def with_edits(n, *places):
+        text = list("abcdefghij" * (n // 10))
+        for p in places:
+            text[p] = "Z"
+        return "".join(text)
+
+    rows = [(n + len(at), with_edits(n), with_edits(n, *at)) for n, at in (
+        (10, (5,)), (131080, (65540,)), (262200, (131100,)), (300000, (150000,)), (400000, (1, 399998)),
+        (200000, (150000, 160000)), (300000, (100000, 150000, 200000)))]
+    pairs = spark.createDataFrame(rows, "i int, line_a string, line_b string")
+    assert {r.i for r in lines.verified(pairs, 2).collect()} == {i for i, *_ in rows} - {300003}
