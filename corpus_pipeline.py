@@ -18,11 +18,11 @@ from kestrel.llm.tables import stored
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the fertility rules reject go (rows that share a doc_id
-    go if all of them are rejected)."""
-    rated = quality.rate(docs, fertility_vocabularies())
-    gone = rated.groupBy("doc_id").agg(F.max("kept").alias("any")).where(~F.col("any")).select("doc_id")
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["doc_id"]), "left_anti")
+    """Rows that the fertility rules reject go."""
+    rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "quality-rows")
+    rated = quality.rate(rows, fertility_vocabularies(), doc_id="_row")
+    gone = rated.where(~F.col("kept")).select(F.col("doc_id").alias("_row"))
+    return rows.join(gone, "_row", "left_anti").select(docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

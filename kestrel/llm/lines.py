@@ -13,9 +13,11 @@ line (smallest doc_id, then line number) stays.  DataFrame functions only.
 Lines shorter than ``min_chars`` (marks, headings, single words) are no
 passages and always stay.
 
-Defined cases: a null text stays null and has no lines; rows that share a
-doc_id (repeated rows) count as one document, whose first lines stay in all
-its rows; a null doc_id comes after all others; a document that loses all its
+Defined cases: a null text stays null and has no lines; rows with the same
+doc_id and text (repeated rows) count as one document, whose first lines stay
+in all its rows; other rows are documents of their own, also under one doc_id
+(then in the order of their texts' hashes) and without a doc_id (these come
+after all others, in the order of their stored row numbers); a document that loses all its
 lines keeps the empty text.  Columns besides the two named are left alone.
 """
 
@@ -208,13 +210,23 @@ def counts(line: Column, min_chars: int = MIN_CHARS) -> Column:
     return F.length(line) >= min_chars
 
 
-def removals(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, near_chars: int = NEAR_CHARS,
-             doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc, removed): the lines that go, per document, as an array of
-    (line_no, first_doc, first_line), line numbers from 0.  ``doc`` is the
-    doc_id, or the largest long for a null one."""
-    doc = F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST_ID)).alias("doc")
-    lines = docs.select(doc, F.posexplode(F.split(F.col(text), "\n")).alias("line_no", "line")).where(
+def keyed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc, part, whole): every row as a struct ``whole`` with the name of its
+    document: the doc_id and the text's hash, or the largest long and a stored
+    row number for a null doc_id."""
+    named = F.col(f"`{doc_id}`").cast("long")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole")
+    unnamed = docs.where(named.isNull()).select(
+        F.lit(LAST_ID).alias("doc"), F.monotonically_increasing_id().alias("part"), whole)
+    return docs.where(named.isNotNull()).select(
+        named.alias("doc"), F.xxhash64(F.col(f"`{text}`")).alias("part"), whole).union(stored(unnamed, "line-unnamed"))
+
+
+def removals(rows: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, near_chars: int = NEAR_CHARS,
+             text: str = "text") -> DataFrame:
+    """(doc, part, removed): the lines that go, per document of ``keyed`` rows,
+    as an array of (line_no, first_doc, first_line), line numbers from 0."""
+    lines = rows.select("doc", "part", F.posexplode(F.split(F.col(f"whole.`{text}`"), "\n")).alias("line_no", "line")).where(
         counts(F.col("line"), min_chars))
     counted = lines.groupBy("line").agg(F.count(F.lit(1)).alias("n"))
     distinct = stored(counted.withColumn("id", F.monotonically_increasing_id()), "distinct-lines")
@@ -224,12 +236,12 @@ def removals(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_C
     name = [F.xxhash64("line").alias("h1"), F.xxhash64("line", F.lit(1)).alias("h2")]
     repeated = (distinct.join(classes, "id", "left").where("class IS NOT NULL OR n > 1")
                 .select(*name, F.coalesce("class", "id").alias("class")))
-    seen = stored(lines.select("doc", "line_no", *name).join(repeated, ["h1", "h2"]).drop("h1", "h2"), "line-places")
-    first = seen.groupBy("class").agg(F.min(F.struct("doc", "line_no")).alias("first"))
-    gone = (seen.join(first, "class").where(F.struct("doc", "line_no") != F.col("first")).distinct()
-            .select("doc", F.struct("line_no", F.col("first.doc").alias("first_doc"),
+    seen = stored(lines.select("doc", "part", "line_no", *name).join(repeated, ["h1", "h2"]).drop("h1", "h2"), "line-places")
+    first = seen.groupBy("class").agg(F.min(F.struct("doc", "part", "line_no")).alias("first"))
+    gone = (seen.join(first, "class").where(F.struct("doc", "part", "line_no") != F.col("first")).distinct()
+            .select("doc", "part", F.struct("line_no", F.col("first.doc").alias("first_doc"),
                                     F.col("first.line_no").alias("first_line")).alias("line")))
-    return gone.groupBy("doc").agg(F.array_sort(F.collect_list("line")).alias("removed"))  # one document's lines
+    return gone.groupBy("doc", "part").agg(F.array_sort(F.collect_list("line")).alias("removed"))  # one document's lines
 
 
 def drop_repeated(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS,
@@ -237,11 +249,9 @@ def drop_repeated(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int =
     """One row a document: ``doc`` (a struct of all its columns, the text
     without the repeated lines), ``removed`` (array of line_no, first_doc,
     first_line) and ``chars_before`` (characters of the whole text)."""
-    gone = stored(removals(docs, threshold, min_chars, near_chars, doc_id, text), "line-removals")
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
-    key = F.coalesce(F.col(f"doc.`{doc_id}`").cast("long"), F.lit(LAST_ID))
-    gone = gone.withColumnRenamed("doc", "gone_doc")
-    joined = whole.withColumn("key", key).join(gone, F.col("key") == F.col("gone_doc"), "left")
+    rows = keyed(docs, doc_id, text)
+    gone = stored(removals(rows, threshold, min_chars, near_chars, text), "line-removals")
+    joined = rows.join(gone, ["doc", "part"], "left").select(F.col("whole").alias("doc"), "removed")
     body = F.col(f"doc.`{text}`")
     numbers = F.transform("removed", lambda r: r["line_no"])
     kept = F.array_join(F.filter(F.split(body, "\n"), lambda line, i: ~F.array_contains(numbers, i)), "\n")

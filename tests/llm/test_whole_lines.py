@@ -37,3 +37,25 @@ def test_edits_of_very_long_lines(spark):
         (200000, (150000, 160000)), (300000, (100000, 150000, 200000)))]
     pairs = spark.createDataFrame(rows, "i int, line_a string, line_b string")
     assert {r.i for r in lines.verified(pairs, 2).collect()} == {i for i, *_ in rows} - {300003}
+
+
+def test_rows_without_or_with_one_doc_id_are_separate(spark):
+    shared = "this line is shared by all of the documents here"
+    own = {w: f"{w} is what only this row has to say about it" for w in ("first", "second", "third", "fourth")}
+    rows = [(1, shared), (None, f"{shared}\n{own['first']}"), (None, f"{own['second']}\n{shared}"),
+            (7, f"{shared}\n{own['third']}"), (7, f"{own['fourth']}\nwith one more line of its own text")]
+    alike = "both rows without a name hold this line at number zero"
+    rows += [(None, alike + "\nthe one row goes on like this"), (None, alike + "\nwhile the other ends otherwise")]
+    out = line_stage(spark, rows)
+    left = sorted(line for _, t in out for line in t.split("\n"))
+    assert left == sorted({line for _, t in rows for line in t.split("\n")})
+    assert len(out) == len(rows)
+
+
+def test_quality_rules_reject_by_row(spark):
+    good = " ".join(f"{a}{b}" for a in "time water house music letter".split() for b in "abcdefghijklmno")
+    rows = [(None, good), (None, "too short"), (3, good), (3, "short too"), (4, "short")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], SCHEMA)
+    out = corpus_pipeline.quality_rules(spark, docs, "")
+    assert out.columns == docs.columns
+    assert sorted((str(r.doc_id), r.text) for r in out.collect()) == [("3", good), ("None", good)]
