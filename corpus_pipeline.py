@@ -29,7 +29,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines go, but for the first of each class; so does a document
     that loses lines and has none of its own left (a copy of others).  What
     is left of lines that count is unique or the first of its class."""
-    kept = lines.drop_repeated(docs)
+    kept = lines.drop_repeated(docs, one_edit_chars=lines.ONE_EDIT_CHARS)
     own = (F.size("removed") == 0) | F.exists(F.split("doc.text", "\n"), lambda line: lines.counts(line))
     return kept.where(own).select("doc.*")
 

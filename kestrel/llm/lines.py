@@ -1,7 +1,8 @@
 """Line dedup by a segment-partition edit join.
 
 Method: two lines are linked if equal, or if both have ``near_chars``
-characters and at most ``threshold`` edits turn one into the other.  Each
+characters and at most ``threshold`` edits turn one into the other, or if both
+have ``one_edit_chars`` and one edit does.  Each
 distinct line is cut into threshold + 1 segments; by the pigeonhole principle
 one of them stays whole in any line within the threshold.  Lines probe the
 segments of lines as long or up to ``threshold`` shorter with the substrings
@@ -10,8 +11,8 @@ shares a segment is verified with a bit-parallel automaton over the band of
 2 * threshold + 1 diagonals.  Linked lines form classes; only a class's first
 line (smallest doc_id, then line number) stays.  DataFrame functions only.
 
-Lines shorter than ``min_chars`` (marks, headings, single words) are no
-passages and always stay.
+Lines shorter than ``min_chars`` always stay, and so do marks: lines without
+a letter or digit that are shorter than ``MARK_CHARS``.
 
 Defined cases: a null text stays null and has no lines; rows with the same
 doc_id and text (repeated rows) count as one document, whose first lines stay
@@ -30,8 +31,10 @@ from kestrel.llm.components import components
 from kestrel.llm.tables import stored
 
 THRESHOLD = 2
-MIN_CHARS = 24
+MIN_CHARS = 1
+MARK_CHARS = 24
 NEAR_CHARS = 64
+ONE_EDIT_CHARS = 24
 LAST_ID = (1 << 63) - 1
 
 
@@ -165,14 +168,17 @@ def segment_keys(line: Column, threshold: int) -> Column:
     return _let(F.struct(F.encode(line, "UTF-32").alias("wide"), F.length(line).alias("chars")), keys)
 
 
-def line_links(distinct: DataFrame, threshold: int, near_chars: int) -> DataFrame:
+def line_links(distinct: DataFrame, threshold: int, near_chars: int, most_chars: int | None = None) -> DataFrame:
     """Links (a, b) between ids of ``distinct`` (id, line), with the classes
-    that all links within the threshold give.
+    that all links within the threshold give, of lines with ``near_chars`` to
+    ``most_chars`` characters.
 
     Every line is first verified against the first indexed line of its
     bucket; only lines that this leaves apart meet the others of the bucket,
     and only those of other classes.  No group's pairs are listed."""
     long_lines = distinct.where(F.length("line") >= near_chars)
+    if most_chars is not None:
+        long_lines = long_lines.where(F.length("line") <= most_chars)
     rows = stored(long_lines.select("id", F.explode(segment_keys(F.col("line"), threshold)).alias("k"))
                   .select("id", "k.*"), "line-keys")
     heads = rows.groupBy("key").agg(F.min(F.when(F.col("own"), F.col("id"))).alias("first"),
@@ -207,7 +213,7 @@ def line_links(distinct: DataFrame, threshold: int, near_chars: int) -> DataFram
 
 def counts(line: Column, min_chars: int = MIN_CHARS) -> Column:
     """Whether a line is one of those that go when repeated."""
-    return F.length(line) >= min_chars
+    return (F.length(line) >= min_chars) & ((F.length(line) >= MARK_CHARS) | line.rlike(r"[\p{L}\p{N}]"))
 
 
 def keyed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -223,7 +229,7 @@ def keyed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
 
 
 def removals(rows: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, near_chars: int = NEAR_CHARS,
-             text: str = "text") -> DataFrame:
+             one_edit_chars: int | None = None, text: str = "text") -> DataFrame:
     """(doc, part, removed): the lines that go, per document of ``keyed`` rows,
     as an array of (line_no, first_doc, first_line), line numbers from 0."""
     lines = rows.select("doc", "part", F.posexplode(F.split(F.col(f"whole.`{text}`"), "\n")).alias("line_no", "line")).where(
@@ -231,6 +237,8 @@ def removals(rows: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_C
     counted = lines.groupBy("line").agg(F.count(F.lit(1)).alias("n"))
     distinct = stored(counted.withColumn("id", F.monotonically_increasing_id()), "distinct-lines")
     links = line_links(distinct.select("id", "line"), threshold, near_chars)
+    if one_edit_chars is not None:  # a line of near_chars may be one edit from a shorter one
+        links = links.union(line_links(distinct.select("id", "line"), 1, one_edit_chars, near_chars))
     classes = stored(components(links).withColumnRenamed("component", "class"), "line-classes")
     # 128 bits name a line from here on
     name = [F.xxhash64("line").alias("h1"), F.xxhash64("line", F.lit(1)).alias("h2")]
@@ -245,12 +253,13 @@ def removals(rows: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_C
 
 
 def drop_repeated(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS,
-                  near_chars: int = NEAR_CHARS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+                  near_chars: int = NEAR_CHARS, one_edit_chars: int | None = None, doc_id: str = "doc_id",
+                  text: str = "text") -> DataFrame:
     """One row a document: ``doc`` (a struct of all its columns, the text
     without the repeated lines), ``removed`` (array of line_no, first_doc,
     first_line) and ``chars_before`` (characters of the whole text)."""
     rows = keyed(docs, doc_id, text)
-    gone = stored(removals(rows, threshold, min_chars, near_chars, text), "line-removals")
+    gone = stored(removals(rows, threshold, min_chars, near_chars, one_edit_chars, text), "line-removals")
     joined = rows.join(gone, ["doc", "part"], "left").select(F.col("whole").alias("doc"), "removed")
     body = F.col(f"doc.`{text}`")
     numbers = F.transform("removed", lambda r: r["line_no"])

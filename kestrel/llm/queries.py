@@ -40,7 +40,8 @@ def op1_pruned_graph_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op2_line_edit_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = lines.drop_repeated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    d = lines.drop_repeated(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                            one_edit_chars=lines.ONE_EDIT_CHARS)
     gone = F.concat_ws(",", F.transform("removed", lambda r: F.concat_ws(
         ":", *[r[c].cast("string") for c in ("line_no", "first_doc", "first_line")])))
     return d.select("doc.doc_id", F.size("removed").cast("long").alias("n_removed"), gone.alias("removed"),

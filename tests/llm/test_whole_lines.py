@@ -59,3 +59,15 @@ def test_quality_rules_reject_by_row(spark):
     out = corpus_pipeline.quality_rules(spark, docs, "")
     assert out.columns == docs.columns
     assert sorted((str(r.doc_id), r.text) for r in out.collect()) == [("3", good), ("None", good)]
+
+
+def test_short_lines(spark):
+    rows = [(1, "Contents\n---\nyes 1\nthe sea was calm in the morning\n日本語の文章はここに続きます。長い文章ですから切らない。"),
+            (2, "Contents\n---\nyes 2\nthe sea was calm in the mornings\n日本語の文章はここに続きます。長い文章ですから切らなぃ。"),
+            (3, "the sea is calm in the evenings\nyes 1\nown line\n\n---"),
+            (4, "x" * 40 + "abc" * 8 + "\n" + "y" * 63), (5, "x" * 40 + "abc" * 7 + "zzz\n" + "y" * 64)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], SCHEMA)
+    got = {r.doc.doc_id: r.doc.text for r in lines.drop_repeated(docs, one_edit_chars=lines.ONE_EDIT_CHARS).collect()}
+    assert got == {1: rows[0][1], 2: "---\nyes 2", 3: "the sea is calm in the evenings\nown line\n\n---",
+                   4: rows[3][1], 5: "x" * 40 + "abc" * 7 + "zzz"}
+    assert dict(line_stage(spark, rows[:1] + [(2, "Contents\n---\n" + rows[0][1])])) == dict(rows[:1])
