@@ -12,7 +12,8 @@ or too many words in repeated three-word windows.
 
 Defined cases: a null text has no words (base rules reject it); a null
 language uses the text's script; groups with fewer than ``MIN_TEXTS``
-different texts have no band and reject nothing; repeated rows get equal
+different texts take the band of the first wider group that has as many (see
+``_pools``), at last that of all texts; repeated rows get equal
 verdicts.  Columns besides the named ones are not read.
 """
 
@@ -32,7 +33,7 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 SYMBOLS = b"#*$%&|<>"
 WIDTH = 4.0           # spreads allowed on either side of the median
-MIN_TEXTS = 30        # different texts that a band needs
+MIN_TEXTS = 30        # different texts that a group's own band needs
 #: Measure -> (grid step of its counts, least spread, sides that reject).
 MEASURES = {
     "chars_per_token": (0.005, 0.06, "both"),
@@ -45,6 +46,9 @@ SCRIPTS = ((0x41, "latin"), (0x370, "greek"), (0x400, "cyrillic"), (0x530, "arme
            (0x1E00, "latin"), (0x2000, "other"), (0x3040, "kana"), (0x3100, "other"), (0x3400, "han"),
            (0xA000, "other"), (0xAC00, "hangul"), (0xD7B0, "other"))
 
+CELL = ["grp", "script", "size_class"]
+LAST_POOL = 5         # all texts
+
 BASE = ("doc_id long, lang string, script string, n_words long, word_chars long, n_symbols long, "
         "n_dup_lines long, n_repeat_words long")
 
@@ -155,20 +159,22 @@ def measure(docs: DataFrame, vocabularies: list[str], doc_id: str = "doc_id", te
 
 
 def bands(measured: DataFrame, vocabularies: int, width: float = WIDTH) -> DataFrame:
-    """(grp, size_class, measure, low, high) from grid counts over all texts.
-    A group has at most as many grid rows as its measure has steps."""
+    """(grp, script, size_class, measure, low, high) from grid counts over all
+    texts.  A group has at most as many grid rows as its measure has steps."""
     names = [f"{m}_{i}" for i in range(vocabularies) for m in MEASURES]
     different = measured.where("n_tokens_0 > 0").select(
-        _group(), _size_class(), "n_words", "word_chars", *names).distinct()
+        _group(), "script", _size_class(), "n_words", "word_chars", *names).distinct()
     steps = {f"{m}_{i}": s for i in range(vocabularies) for m, (s, *_) in MEASURES.items()}
-    long = different.select("grp", "size_class", F.explode(F.array(*[
+    long = different.select(*CELL, F.explode(F.array(*[
         F.struct(F.lit(n).alias("measure"), F.round(F.col(n) / F.lit(steps[n])).cast("long").alias("step"))
-        for n in names])).alias("m")).select("grp", "size_class", "m.*")
-    grid = long.groupBy("grp", "size_class", "measure", "step").agg(F.count(F.lit(1)).alias("n"))
-    own = Window.partitionBy("grp", "size_class", "measure")
-    cum = grid.withColumn("upto", F.sum("n").over(own.orderBy("step"))).withColumn("all", F.sum("n").over(own))
+        for n in names])).alias("m")).select(*CELL, "m.*")
+    grid = stored(long.groupBy(*CELL, "measure", "step").agg(F.count(F.lit(1)).alias("n")), "fertility-grid")
+    pooled = (grid.select(F.explode(_pools(1)).alias("pool"), "measure", "step", "n")
+              .groupBy("pool", "measure", "step").agg(F.sum("n").alias("n")))
+    own = Window.partitionBy("pool", "measure")
+    cum = pooled.withColumn("upto", F.sum("n").over(own.orderBy("step"))).withColumn("all", F.sum("n").over(own))
     at = {q: F.min(F.when(F.col("upto") >= F.col("all") * q, F.col("step"))) for q in (0.25, 0.5, 0.75)}
-    out = cum.groupBy("grp", "size_class", "measure").agg(
+    out = cum.groupBy("pool", "measure").agg(
         *[v.alias(f"q{int(100 * q)}") for q, v in at.items()], F.first("all").alias("texts"))
     step, least, high_only = F.lit(None).cast("double"), F.lit(None).cast("double"), F.lit(False)
     for n in names:
@@ -179,10 +185,25 @@ def bands(measured: DataFrame, vocabularies: int, width: float = WIDTH) -> DataF
     # a normal spread is its inter-quartile range over 1.349
     spread = F.greatest((F.col("q75") - F.col("q25")) * step / 1.349, least)
     middle = F.col("q50") * step
-    return out.where(F.col("texts") >= MIN_TEXTS).select(
-        "grp", "size_class", "measure",
-        F.when(high_only, F.lit(float("-inf"))).otherwise(middle - width * spread).alias("low"),
+    out = out.where((F.col("texts") >= MIN_TEXTS) | (F.col("pool.level") == LAST_POOL)).select(
+        "pool", "measure", F.when(high_only, F.lit(float("-inf"))).otherwise(middle - width * spread).alias("low"),
         (middle + width * spread).alias("high"))
+    cells = grid.select(*CELL).distinct().select(*CELL, F.explode(_pools(0)).alias("pool"))
+    return cells.join(out, "pool").groupBy(*CELL, "measure").agg(
+        F.min(F.struct("pool.level", "low", "high")).alias("b")).select(*CELL, "measure", "b.low", "b.high")
+
+
+def _pools(around: int):
+    """The pools (level, of, size) that a cell takes its band from, first its
+    own group; with ``around`` 1 those whose counts it is part of (the pools of
+    neighbouring length classes too)."""
+    def pool(level, of, size):
+        return F.struct(F.lit(level).alias("level"), of.alias("of"), size.cast("int").alias("size"))
+
+    grp, script, size, every = F.col("grp"), F.col("script"), F.col("size_class"), F.lit(-1)
+    near = [size + d for d in range(-around, around + 1)]
+    return F.array(pool(0, grp, size), *[pool(1, grp, s) for s in near], pool(2, grp, every),
+                   *[pool(3, script, s) for s in near], pool(4, script, every), pool(LAST_POOL, F.lit(""), every))
 
 
 def _group():
@@ -197,7 +218,7 @@ def verdicts(measured: DataFrame, band: DataFrame, vocabularies: int) -> DataFra
     """``measured`` with base_failed, n_outside (measures outside their band)
     and kept."""
     names = [f"{m}_{i}" for i in range(vocabularies) for m in MEASURES]
-    wide = band.groupBy("grp", "size_class").agg(*[
+    wide = band.groupBy(*CELL).agg(*[
         F.max(F.when(F.col("measure") == n, F.col(side))).alias(f"{n}_{side}")
         for n in names for side in ("low", "high")])
     base_failed = ((F.col("n_words") < MIN_WORDS)
@@ -205,7 +226,7 @@ def verdicts(measured: DataFrame, band: DataFrame, vocabularies: int) -> DataFra
     outside = sum(F.coalesce(((F.col(n) < F.col(f"{n}_low")) | (F.col(n) > F.col(f"{n}_high"))).cast("int"),
                              F.lit(0)) for n in names)
     out = (measured.withColumns({"grp": _group(), "size_class": _size_class()})
-           .join(wide, ["grp", "size_class"], "left")
+           .join(wide, CELL, "left")
            .withColumns({"base_failed": base_failed, "n_outside": outside}))
     return out.withColumn("kept", ~F.col("base_failed") & (F.col("n_outside") == 0)).select(
         *measured.columns, "base_failed", "n_outside", "kept")
