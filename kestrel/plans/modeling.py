@@ -349,7 +349,7 @@ def ml_batch_score(v):
     from kestrel.modeling.models import load_quantile_bundle, save_quantile_bundle
     from kestrel.modeling import scoring
     from kestrel.session import shared_path
-    _, models = fit_delay_quantiles(v, rounds=2)
+    _, models = fit_delay_quantiles(v)
     path = shared_path(v.spark, "quantile-bundle")
     save_quantile_bundle(models, path)
     models = load_quantile_bundle(path)
