@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import chat, classifier, grammar, lines, neighbours, packing, quality, secrets, sentencepieces, simhash
+from kestrel.llm import chat, classifier, grammar, licences, lines, neighbours, packing, quality, secrets
+from kestrel.llm import sentencepieces, simhash, trie, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -103,3 +104,25 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"),
         # the borders of all pieces, in a sum that any change of a span changes
         F.xxhash64("begin", "end").alias("spans_xxhash64"))
+
+
+@query
+def op11_licence_expressions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licences.scan(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"), "score", "freedom",
+        F.array_join("expressions", "; ").alias("expressions"))
+
+
+@query
+def op12_block_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.nodes(table(spark, sf_dir, "conversations"))
+
+
+ORACLES["op13_prefix_trie"] = trie.ORACLE
