@@ -17,12 +17,18 @@ from kestrel.llm.queries import fertility_vocabularies, table, vocabulary
 from kestrel.llm.tables import stored
 
 
+def by_row(docs: DataFrame, name: str) -> DataFrame:
+    """(row, doc): every row of ``docs`` as a struct with a stored number."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    return stored(docs.select(F.monotonically_increasing_id().alias("row"), whole), name, "snappy")
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that the fertility rules reject go."""
-    rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "quality-rows")
-    rated = quality.rate(rows, fertility_vocabularies(), doc_id="_row")
-    gone = rated.where(~F.col("kept")).select(F.col("doc_id").alias("_row"))
-    return rows.join(gone, "_row", "left_anti").select(docs.columns)
+    rows = by_row(docs, "quality-rows")
+    rated = quality.rate(rows.select("row", "doc.text", "doc.lang"), fertility_vocabularies(), doc_id="row")
+    gone = rated.where(~F.col("kept")).select(F.col("doc_id").alias("row"))
+    return rows.join(gone, "row", "left_anti").select("doc.*")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,17 +41,16 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays: the one with the
-    smallest doc_id, and of its repeated rows one.  Rows without a doc_id
-    can't be named by a group and stay."""
-    found = stored(simhash.near_duplicates(docs).where("doc_id IS NOT NULL").groupBy("doc_id").agg(
-        F.max(F.col("doc_id") == F.col("component_id")).alias("stays"), F.count(F.lit(1)).alias("n")), "near-groups")
-    kept = docs.join(found.where(~F.col("stays")).select("doc_id"), "doc_id", "left_anti").select(docs.columns)
-    twice = found.where(F.col("stays") & (F.col("n") > 1)).select("doc_id")
-    if twice.isEmpty():
-        return kept
-    return kept.join(twice, "doc_id", "left_anti").select(docs.columns).unionByName(
-        kept.join(twice, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"]))
+    """One row of each group of near duplicates stays: one with the smallest
+    doc_id (rows without one come last).  Groups are of rows, so different
+    texts under one doc_id are apart, and so are rows without a doc_id."""
+    rows = by_row(docs, "near-rows")
+    groups = simhash.near_duplicates(rows.select("row", "doc.text"), doc_id="row").select(
+        F.col("doc_id").alias("row"), "component_id")
+    place = F.struct(F.col("doc.doc_id").isNull(), F.col("doc.doc_id"), F.col("row").alias("row"))
+    first = rows.select("row", place.alias("place")).join(groups, "row").groupBy("component_id").agg(
+        F.min("place").alias("first")).select("first.row")
+    return rows.join(first, "row", "left_semi").select("doc.*")
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
