@@ -113,7 +113,8 @@ def _fertility(vocabulary: str):
         row = np.repeat(np.arange(len(texts)), per)
         key, times = np.unique((row << 32) | flat, return_counts=True)
         share = times / n[key >> 32]
-        entropy = np.bincount(key >> 32, weights=-share * np.log2(share), minlength=len(texts))
+        # sums over no token at all come out as whole numbers
+        entropy = np.bincount(key >> 32, weights=-share * np.log2(share), minlength=len(texts)).astype(np.float64)
         alone = np.bincount(row, weights=lonely[flat], minlength=len(texts)) / n
         return per, chars / n, alone, entropy
 
