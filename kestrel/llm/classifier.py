@@ -16,7 +16,8 @@ covers every row.
 
 Defined cases: a null text scores as an empty one; labels that are null take
 no part, and of repeated labels of a document the smallest counts; a null
-doc_id is never labelled; without two classes of labels every score is 0.5;
+doc_id is never labelled; of several texts under a labelled doc_id the one
+with the smallest hash is learnt from; without two classes of labels every score is 0.5;
 repeated rows score alike.  Columns besides the named ones are not read.
 """
 
@@ -116,7 +117,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: str
     sample = known.orderBy(F.xxhash64("_id"), "_id").limit(max_train)
     # at most max_train rows, so the broadcast has a bound
     rows = docs.select(F.col(doc_id).cast("long").alias("_id"), F.col(text).cast("binary").alias("t")).join(
-        F.broadcast(sample), "_id").dropDuplicates(["_id"]).select("_id", "t", "y")
+        F.broadcast(sample), "_id")
+    rows = rows.groupBy("_id", "y").agg(F.min(F.struct(F.sha2("t", 256).alias("h"), "t")).alias("least")).select(
+        "_id", "least.t", "y")
 
     def extract(batches):
         import pyarrow as pa
