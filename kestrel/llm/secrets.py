@@ -2,9 +2,11 @@
 
 Method: patterns find candidates in every whole text; each candidate value's
 hash is counted over the corpus by distinct repositories (documents) and
-owners.  A value that many owners hold is a widely copied example; one that
-few hold and that looks random is a live credential.  Pattern kinds of
-``EXTRA`` are only reported where their value is live.  DataFrame functions
+owners.  A value that many owners hold is a widely copied example.  One that
+few hold is a live credential if it stands after a key word, or if it looks
+random: if its entropy has at least ``MIN_SHARE`` of the most that its length
+and its kind's alphabet allow.  Pattern kinds of ``EXTRA`` are only reported
+where their value is live.  DataFrame functions
 only: matches and the gaps between them give the places, as code points.
 
 Defined cases: a null text has no spans; a null owner counts as an owner of
@@ -33,14 +35,49 @@ EXTRA = {
 }
 KINDS = {**BASE, **EXTRA}
 EXAMPLE_OWNERS = 3       # a value held by so many owners is an example
-MIN_ENTROPY = 2.5        # bits a character of a live-looking value
+MIN_SHARE = 0.6          # of the possible entropy, in a live-looking value
+#: Characters that values of a kind are made of; kinds not named stand after a key word.
+ALPHABET = {"access": 36, "hex": 16, "mixed": 64, "private_key": 64}
+SUM_BLOCK = 256          # numbers that a running result is worked out over at a time
 
 
-def _entropy(value: Column) -> Column:
+def _random(value: Column, kind_no: Column) -> Column:
+    """Does a value look random, or does its kind not ask for it?"""
     chars = F.split(value, "")
     n = F.size(chars).cast("double")
     share = lambda c: F.size(F.filter(chars, lambda x: x == c)) / n
-    return F.aggregate(F.array_distinct(chars), F.lit(0.0), lambda acc, c: acc - share(c) * F.log2(share(c)))
+    entropy = F.aggregate(F.array_distinct(chars), F.lit(0.0), lambda acc, c: acc - share(c) * F.log2(share(c)))
+    letters = F.get(F.array(*[F.lit(float(ALPHABET.get(k, 0))) for k in KINDS]), kind_no)
+    return F.when(letters == 0, True).otherwise(entropy >= MIN_SHARE * F.log2(F.least(n, letters)))
+
+
+def _running(numbers: Column, start: int, step) -> Column:
+    """For each number the fold ``step`` of those before it, from ``start``.
+    Arrays only grow by copying, so the folds run inside blocks and over the
+    blocks' results."""
+    none = F.array().cast("array<int>")
+
+    def fold(xs, first):
+        return F.aggregate(xs, first, step)
+
+    def folds(xs, first):
+        return F.aggregate(xs, F.struct(first.alias("at"), none.alias("out")), lambda acc, x: F.struct(
+            step(acc["at"], x).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")))["out"]
+
+    def whole(xs):
+        return F.transform(F.sequence(F.lit(0), F.floor((F.size(xs) - 1) / SUM_BLOCK).cast("int")),
+                           lambda b: F.slice(xs, b * SUM_BLOCK + 1, F.lit(SUM_BLOCK)))
+
+    def of_blocks(blocks):
+        heads = folds(F.transform(blocks, lambda xs: fold(xs, F.lit(start))), F.lit(start))
+        return F.flatten(F.zip_with(blocks, heads, folds))
+
+    return F.when(F.size(numbers) > 0, _let(numbers, lambda xs: _let(whole(xs), of_blocks))).otherwise(none)
+
+
+def _let(value: Column, then) -> Column:
+    """``then(value)`` with the value worked out once."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
 
 
 def _matches(text: Column, number: int, kind: str) -> Column:
@@ -48,18 +85,17 @@ def _matches(text: Column, number: int, kind: str) -> Column:
     pattern, group, least = KINDS[kind]
     gaps, hits = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     values = hits if group == 0 else F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-    none = F.array().cast("array<struct<start:int,kind_no:int,end:int,value:string>>")
     # a match begins where the gaps and matches before it end
-    walk = F.aggregate(
-        F.arrays_zip(gaps.alias("gap"), hits.alias("hit"), values.alias("value")),
-        F.struct(F.lit(0).alias("at"), none.alias("found")),
-        lambda acc, x: F.struct(
-            (acc["at"] + F.length(x["gap"]) + F.coalesce(F.length(x["hit"]), F.lit(0))).alias("at"),
-            F.when(F.length(x["value"]) >= least, F.concat(acc["found"], F.array(F.struct(
-                (acc["at"] + F.length(x["gap"])).alias("start"), F.lit(number).alias("kind_no"),
-                (acc["at"] + F.length(x["gap"]) + F.length(x["hit"])).alias("end"), x["value"].alias("value")))))
-            .otherwise(acc["found"]).alias("found")))["found"]
-    return F.when(text.rlike(pattern), walk).otherwise(none)
+    parts = F.arrays_zip(gaps.alias("gap"), hits.alias("hit"), values.alias("value"))
+    sized = F.transform(parts, lambda x: F.struct(
+        F.length(x["gap"]).alias("gap"), F.coalesce(F.length(x["hit"]), F.lit(0)).alias("hit"), x["value"].alias("value")))
+    found = _let(sized, lambda xs: F.zip_with(
+        xs, _running(F.transform(xs, lambda x: x["gap"] + x["hit"]), 0, lambda a, x: a + x),
+        lambda x, before: F.struct(
+            (before + x["gap"]).alias("start"), F.lit(number).alias("kind_no"),
+            (before + x["gap"] + x["hit"]).alias("end"), x["value"].alias("value"))))
+    none = F.array().cast("array<struct<start:int,kind_no:int,end:int,value:string>>")
+    return F.when(text.rlike(pattern), F.filter(found, lambda m: F.length(m["value"]) >= least)).otherwise(none)
 
 
 def candidates(text: Column) -> Column:
@@ -68,7 +104,7 @@ def candidates(text: Column) -> Column:
     found = F.array_sort(F.concat(*[_matches(text, i, k) for i, k in enumerate(KINDS)]))
     return F.transform(found, lambda x: F.struct(
         x["start"].alias("start"), x["kind_no"].alias("kind_no"), x["end"].alias("end"),
-        F.sha2(x["value"], 256).alias("hash"), (_entropy(x["value"]) >= MIN_ENTROPY).alias("random")))
+        F.sha2(x["value"], 256).alias("hash"), _random(x["value"], x["kind_no"]).alias("random")))
 
 
 def ownership(found: DataFrame) -> DataFrame:
@@ -129,13 +165,18 @@ def mask(docs: DataFrame, text: str = "text", owner: str = "source", tag: str =
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(owner).alias("owner"),
         found.alias("found"), F.monotonically_increasing_id().alias("row")), "secret-documents")
     judged = _judged(with_hits).select("row", F.filter("spans", lambda s: s["live"]).alias("live"))
-    body = F.col(f"doc.{text}")
-    walk = F.aggregate("live", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), lambda acc, s: F.when(
-        s["start"] >= acc["at"], F.struct(
-            s["end"].alias("at"),
-            F.concat(acc["out"], F.substring(body, acc["at"] + 1, s["start"] - acc["at"]), F.lit(tag)).alias("out")))
-        .otherwise(F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out"))))
-    whole = F.concat(walk["out"], F.substring(body, walk["at"] + 1, F.length(body)))
+    body = F.struct(F.encode(F.col(f"doc.`{text}`"), "UTF-32").alias("wide"), F.col("live"))
+
+    def masked_text(x):  # four bytes a character, so that a place is found at once
+        part = lambda a, n: F.decode(F.substring(x["wide"], 4 * a + 1, 4 * n), "UTF-32")
+        done = _running(F.transform(x["live"], lambda s: s["end"]), 0, lambda a, b: F.greatest(a, b))
+        apart = F.filter(F.zip_with(x["live"], done, lambda s, d: F.struct(s["start"].alias("start"), d.alias("done"))),
+                         lambda s: s["start"] >= s["done"])     # what earlier spans cover is gone
+        pieces = F.transform(apart, lambda s: part(s["done"], s["start"] - s["done"]))
+        tail = part(F.array_max(F.transform(x["live"], lambda s: s["end"])), F.length(x["wide"]))
+        return F.array_join(F.concat(pieces, F.array(tail)), tag)
+
+    whole = _let(body, masked_text)
     masked = with_hits.join(judged, "row", "left").select(
         F.when(F.size("live") > 0, F.col("doc").withField(f"`{text}`", whole)).otherwise(F.col("doc")).alias("doc"))
     masked = masked.select("doc.*")
