@@ -20,7 +20,7 @@ from pyspark.ml.regression import (DecisionTreeRegressionModel, DecisionTreeRegr
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.operators.ordering import exact_quantiles
+from kestrel.operators.selection import quantiles
 
 
 # -- baselines ---------------------------------------------------------------
@@ -28,14 +28,13 @@ def quantile_baseline(df: DataFrame, y: str, segment: Sequence[str], parent: Seq
                       probs=(0.5, 0.8, 0.9), min_rows: int = 5) -> DataFrame:
     """Exact quantiles per segment, falling back to the parent group's when
     the segment has fewer than ``min_rows`` rows."""
-    q = F.percentile(F.col(y), F.array(*[F.lit(p) for p in probs]))
-    seg = df.groupBy(*segment).agg(F.count(F.lit(1)).alias("n"), q.alias("_s"))
-    par = df.groupBy(*parent).agg(q.alias("_p"))
-    j = seg.join(par, list(parent))
-    use = F.col("n") >= min_rows
     names = [f"p{int(round(p * 100))}" for p in probs]
-    cols = [F.round(F.when(use, F.col("_s")[i]).otherwise(F.col("_p")[i]), 6).alias(n) for i, n in enumerate(names)]
-    return j.select(*segment, "n", *cols, F.when(use, "segment").otherwise(parent[0]).alias("level"))
+    seg = quantiles(df, y, probs, [f"_s_{n}" for n in names], segment)
+    par = quantiles(df, y, probs, [f"_p_{n}" for n in names], parent).drop("n")
+    use = F.col("n") >= min_rows
+    cols = [F.round(F.when(use, F.col(f"_s_{n}")).otherwise(F.col(f"_p_{n}")), 6).alias(n) for n in names]
+    return seg.join(par, list(parent)).select(
+        *segment, "n", *cols, F.when(use, "segment").otherwise(parent[0]).alias("level"))
 
 
 def shadow_compare(old: DataFrame, new: DataFrame, key: str, score: str, threshold: float) -> DataFrame:

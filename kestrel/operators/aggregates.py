@@ -1,7 +1,8 @@
-"""Generic statistical aggregates expressed as single-pass ``agg`` plans.
+"""Generic statistical aggregates, most of them single-pass ``agg`` plans.
 
-Every function here compiles to a partial + final hash aggregate (one
-shuffle of pre-aggregated rows).  Many-column results (correlations) unnest
+They compile to a partial + final hash aggregate (one shuffle of
+pre-aggregated rows); exact quantiles take a few such passes
+(``selection``).  Many-column results (correlations) unnest
 each row into (pair, x, y) records inside the task and run one grouped
 aggregate, never one job per column.
 """
@@ -13,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kestrel.operators.selection import mode, quantiles
+
 R = 6  # fixed rounding of floating results (stable across engines)
 
 
@@ -21,23 +24,21 @@ def rnd(c: Column, digits: int = R) -> Column:
 
 
 def describe(df: DataFrame, col: str) -> DataFrame:
-    """count, mean, sample std, min, exact quartiles, max (pandas describe).
-
-    ``percentile`` is exact; it keeps a value -> count map per task, which is
-    small for a bounded-domain measure such as a delay in seconds.
-    """
+    """count, mean, sample std, min, exact quartiles, max (pandas describe);
+    the quartiles by ``selection.quantiles``."""
     c = F.col(col)
-    q = F.percentile(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    return df.agg(F.count(c).alias("count"), rnd(F.avg(c)).alias("mean"), rnd(F.stddev_samp(c)).alias("std"),
-                  F.min(c).cast("double").alias("min"), q.alias("_q"), F.max(c).cast("double").alias("max")) \
-        .select("count", "mean", "std", "min", rnd(F.col("_q")[0]).alias("p25"),
-                rnd(F.col("_q")[1]).alias("p50"), rnd(F.col("_q")[2]).alias("p75"), "max")
+    plain = df.agg(F.count(c).alias("count"), rnd(F.avg(c)).alias("mean"), rnd(F.stddev_samp(c)).alias("std"),
+                   F.min(c).cast("double").alias("min"), F.max(c).cast("double").alias("max"))
+    q = quantiles(df, col, (0.25, 0.5, 0.75), ("p25", "p50", "p75"))
+    return plain.crossJoin(F.broadcast(q)).select(  # one row each
+        "count", "mean", "std", "min", rnd(F.col("p25")).alias("p25"), rnd(F.col("p50")).alias("p50"),
+        rnd(F.col("p75")).alias("p75"), "max")
 
 
 def median_mode(df: DataFrame, col: str) -> DataFrame:
     """Median and the smallest most frequent value (pandas ``mode()[0]``)."""
-    c = F.col(col)
-    return df.agg(rnd(F.median(c)).alias("median"), F.mode(c, True).cast("double").alias("mode"))
+    q = quantiles(df, col, (0.5,), ("median",)).select(rnd(F.col("median")).alias("median"))
+    return q.crossJoin(F.broadcast(mode(df, col)))  # one row each
 
 
 def conditional_stats(df: DataFrame, col: str, cond: Column, scale: float = 60.0) -> DataFrame:
@@ -57,10 +58,9 @@ def conditional_stats(df: DataFrame, col: str, cond: Column, scale: float = 60.0
 
 def five_numbers(df: DataFrame, col: str, group: Column) -> DataFrame:
     """Boxplot numbers (min, q1, median, q3, max) per class."""
-    c = F.col(col)
-    q = F.percentile(c, F.array(*[F.lit(p) for p in (0.0, 0.25, 0.5, 0.75, 1.0)]))
-    return df.groupBy(group.alias("class")).agg(F.count(c).alias("n"), q.alias("_q")).select(
-        "class", "n", *[rnd(F.col("_q")[i]).alias(n) for i, n in enumerate(["min", "q1", "median", "q3", "max"])])
+    names = ["min", "q1", "median", "q3", "max"]
+    q = quantiles(df.withColumn("class", group), col, (0.0, 0.25, 0.5, 0.75, 1.0), names, ["class"])
+    return q.select("class", "n", *[rnd(F.col(n)).alias(n) for n in names])
 
 
 def span(df: DataFrame, ts: str) -> DataFrame:

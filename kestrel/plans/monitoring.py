@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from kestrel.modeling import evaluate as ev
 from kestrel.operators import relational as rel
+from kestrel.operators.selection import quantiles
 from kestrel.plans.registry import query
 from kestrel.quality import monitoring as mon
 
@@ -204,13 +205,13 @@ SELECT count(*) AS n, round(avg(e), 6) AS mean_error, round(stddev_samp(e), 6) A
        count(*) FILTER (WHERE e > 0) AS n_over, count(*) FILTER (WHERE e < 0) AS n_under FROM j""")
 def dq_regression_report(v):
     j = _joined(v).withColumn("e", F.col("prediction_P50") - F.col("actual_delay"))
-    q = F.percentile(F.col("e"), F.array(F.lit(0.05), F.lit(0.5), F.lit(0.95)))
     r = j.agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("e"), 6).alias("mean_error"),
-              F.round(F.stddev_samp("e"), 6).alias("std_error"), q.alias("_q"),
-              F.count_if(F.col("e") > 0).alias("n_over"), F.count_if(F.col("e") < 0).alias("n_under"))
-    return r.select("n", "mean_error", "std_error", F.round(F.col("_q")[0], 6).alias("error_p05"),
-                    F.round(F.col("_q")[1], 6).alias("error_p50"), F.round(F.col("_q")[2], 6).alias("error_p95"),
-                    "n_over", "n_under")
+              F.round(F.stddev_samp("e"), 6).alias("std_error"), F.count_if(F.col("e") > 0).alias("n_over"),
+              F.count_if(F.col("e") < 0).alias("n_under"))
+    names = ["error_p05", "error_p50", "error_p95"]
+    q = quantiles(j, "e", (0.05, 0.5, 0.95), names).drop("n")
+    return r.crossJoin(F.broadcast(q)).select(  # one row each
+        "n", "mean_error", "std_error", *[F.round(n, 6).alias(n) for n in names], "n_over", "n_under")
 
 
 # -- evaluation: fraud scores against labels ---------------------------------

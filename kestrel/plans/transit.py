@@ -11,6 +11,7 @@ from kestrel.functions import weather as wx
 from kestrel.operators import aggregates as agg
 from kestrel.operators import relational as rel
 from kestrel.operators import windows as win
+from kestrel.operators.selection import quantiles
 from kestrel.plans.registry import query
 
 WEATHER_COLS = ["temperature_2m", "precipitation", "snowfall", "wind_speed_10m", "weather_code"]
@@ -464,8 +465,8 @@ SELECT count(*) AS n, round(quantile_cont(departure_delay / 60, 0.5), 6) AS medi
 WHERE departure_delay / 60 >= 0 AND departure_delay / 60 <= 5"""))
 def agg_boxplot_zoom(v):
     m = F.col("departure_delay") / 60
-    d = delays(v).where((m >= 0) & (m <= 5))
-    return d.agg(F.count(F.lit(1)).alias("n"), F.round(F.median(m), 6).alias("median"))
+    d = delays(v).withColumn("delay_minutes", m).where((m >= 0) & (m <= 5))
+    return quantiles(d, "delay_minutes", (0.5,), ("median",)).select("n", F.round("median", 6).alias("median"))
 
 
 @query("agg_bin_shares", oracle=dsql(f"""
