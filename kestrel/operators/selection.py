@@ -3,7 +3,8 @@
 A wanted rank lies in a *bracket*, at first the whole range of its group.  One
 pass counts the rows of every bracket in ``CELLS`` cells of equal width, with
 each cell's least and greatest value; the cell that holds the rank is the next
-bracket.  A bracket is done when its values are equal, or when it holds at
+bracket.  Every other pass takes the width on a logarithmic scale, so values of
+many orders of magnitude need few passes too.  A bracket is done when its values are equal, or when it holds at
 most ``KEEP`` rows, which a last pass sorts.  So no row is sorted, shuffled or
 written as a whole, and no map of values is kept: what moves is a cell's count,
 and what is stored between passes is a row per bracket.
@@ -14,9 +15,11 @@ there are at most ``FEW`` of them; more are joined by a shuffle.
 
 from __future__ import annotations
 
+import itertools
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kestrel.session import ensure_checkpoint_dir
@@ -24,6 +27,7 @@ from kestrel.session import ensure_checkpoint_dir
 CELLS = 1024
 KEEP = 4096
 FEW = 10_000
+TINY = 1e-300
 _G = "_group"
 
 
@@ -36,6 +40,23 @@ def _in_brackets(rows: DataFrame, brackets: DataFrame) -> DataFrame:
     return rows.join(b, here).drop("_bg")
 
 
+def _half(c: Column) -> Column:
+    """Halves keep the differences of very large values finite."""
+    return c / 2
+
+
+def _log(c: Column) -> Column:
+    """Ascending in the value, with a step for each order of magnitude."""
+    return F.signum(c) * (F.log(F.abs(c) + TINY) - F.lit(math.log(TINY)))
+
+
+def _place(scale) -> Column:
+    """Where a row's value lies between its bracket's ends, from 0 to 1; null
+    if the scale doesn't tell the ends apart."""
+    v, lo, hi = (scale(F.col(c)) for c in ("_v", "lo", "hi"))
+    return F.try_divide(v - lo, hi - lo)
+
+
 def values_at(rows: DataFrame, ranks: DataFrame, cells: int = CELLS, keep: int = KEEP) -> DataFrame:
     """(_group, rank, value): the values at 0-based ranks.
 
@@ -44,17 +65,13 @@ def values_at(rows: DataFrame, ranks: DataFrame, cells: int = CELLS, keep: int =
     ensure_checkpoint_dir(rows.sparkSession)
     brackets = ranks.checkpoint()
     done = None
-    while True:
+    for turn in itertools.count():
         wide = (F.col("lo") < F.col("hi")) & (F.col("n") > keep)
         closed, wider = brackets.where(~wide), brackets.where(wide)
         done = closed if done is None else done.unionByName(closed)
         if wider.isEmpty():
             break
-        # halves keep the differences of very large values finite; those of the
-        # smallest ones may be equal, then only the least value is in the first cell
-        half = {c: F.col(c) / 2 for c in ("_v", "lo", "hi")}
-        place = F.coalesce(F.try_divide(half["_v"] - half["lo"], half["hi"] - half["lo"]),
-                           (F.col("_v") > F.col("lo")).cast("double"))
+        place = F.coalesce(_place(_log if turn % 2 else _half), (F.col("_v") > F.col("lo")).cast("double"))
         cell = F.least(F.floor(place * cells), F.lit(cells - 1))
         bracket = [_G, "lo", "hi", "below", "ranks"]
         counted = _in_brackets(rows, wider).groupBy(*bracket, cell.alias("cell")).agg(
