@@ -1,6 +1,6 @@
-"""Model jobs on MLlib: quantile baselines, quantile gradient boosting,
-soft-voting classifier ensemble, model comparisons, importances, model
-bundles and batch scoring.
+"""Model jobs: quantile baselines, and on MLlib the soft-voting classifier
+ensemble, model comparisons and pipelines (quantile gradient boosting is in
+``quantile_boost``).
 
 Training data never leaves the cluster; only model parameters (trees,
 per-leaf values bounded by 2^depth, thresholds) are held on the driver.
@@ -9,14 +9,12 @@ per-leaf values bounded by 2^depth, thresholds) are held on the driver.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import (DecisionTreeRegressionModel, DecisionTreeRegressor, GBTRegressor,
-                                   LinearRegression, RandomForestRegressor)
+from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,75 +44,6 @@ def shadow_compare(old: DataFrame, new: DataFrame, key: str, score: str, thresho
                  F.count_if(~a_old & a_new).alias("n_only_new"))
 
 
-# -- quantile gradient boosting ---------------------------------------------
-@dataclass
-class QuantileBoostModel:
-    alpha: float
-    init: float
-    learning_rate: float
-    trees: list = field(default_factory=list)        # DecisionTreeRegressionModel per round
-    leaf_values: list = field(default_factory=list)  # {leaf index: update} per round
-
-    def transform(self, df: DataFrame, features_col: str = "features", out: str = "prediction") -> DataFrame:
-        """Sum of per-round leaf values; each round adds one tree's leaf
-        index and a literal-map lookup (no join, no UDF)."""
-        acc = F.lit(self.init)
-        cur = df
-        for m, (tree, values) in enumerate(zip(self.trees, self.leaf_values)):
-            leaf = f"_leaf{m}"
-            t = tree.copy()
-            t.setFeaturesCol(features_col).setPredictionCol(f"_tp{m}").setLeafCol(leaf)
-            cur = t.transform(cur).drop(f"_tp{m}")
-            lut = F.create_map(*[x for k, v in sorted(values.items()) for x in (F.lit(float(k)), F.lit(float(v)))]) \
-                if values else F.create_map()
-            acc = acc + F.lit(self.learning_rate) * F.coalesce(F.element_at(lut, F.col(leaf)), F.lit(0.0))
-        cur = cur.withColumn(out, acc)
-        return cur.drop(*[f"_leaf{m}" for m in range(len(self.trees))])
-
-
-def fit_quantile_boost(df: DataFrame, alpha: float, features_col: str = "features", label: str = "label",
-                       rounds: int = 20, depth: int = 5, learning_rate: float = 0.05,
-                       checkpoint_every: int = 5, seed: int = 42) -> QuantileBoostModel:
-    """Gradient boosting for the pinball loss.
-
-    Round m: the negative gradient of the pinball loss (alpha where y > f,
-    alpha - 1 elsewhere) is fitted with an MLlib regression tree; each leaf
-    then gets the alpha-quantile of the residuals y - f of its rows (per-leaf
-    ``percentile_approx`` with high accuracy: a bounded sketch per leaf, so
-    one leaf holding most rows is still one bounded aggregate).  Leaf values
-    are broadcast back (at most 2^depth rows).  Lineage is cut with a
-    reliable ``checkpoint()`` every ``checkpoint_every`` rounds.
-    """
-    from kestrel.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    base = df.select(features_col, F.col(label).cast("double").alias("_y"))
-    init = exact_quantiles(base, "_y", [alpha], ["q"]).first()["q"]
-    model = QuantileBoostModel(alpha=alpha, init=float(init), learning_rate=learning_rate)
-    cur = base.withColumn("_f", F.lit(float(init))).checkpoint(eager=True).persist()
-    for m in range(rounds):
-        g = cur.withColumn("_g", F.when(F.col("_y") > F.col("_f"), F.lit(alpha)).otherwise(F.lit(alpha - 1.0)))
-        tree = DecisionTreeRegressor(featuresCol=features_col, labelCol="_g", maxDepth=depth, seed=seed + m,
-                                     leafCol="_leaf", predictionCol="_tp").fit(g)
-        leafed = tree.transform(g).drop("_tp")
-        upd = leafed.groupBy("_leaf").agg(
-            F.percentile_approx(F.col("_y") - F.col("_f"), alpha, 20000).alias("_u"))
-        values = {int(r["_leaf"]): float(r["_u"]) for r in upd.collect()}  # <= 2^depth rows
-        model.trees.append(tree)
-        model.leaf_values.append(values)
-        lut = F.create_map(*[x for k, v in sorted(values.items()) for x in (F.lit(float(k)), F.lit(v))])
-        nxt = leafed.withColumn("_f", F.col("_f") + F.lit(learning_rate) * F.coalesce(
-            F.element_at(lut, F.col("_leaf")), F.lit(0.0))).drop("_leaf", "_g")
-        # keep one materialised generation in memory; every few rounds write
-        # it to the shared checkpoint folder so a lost executor only replays
-        # the rounds since then
-        nxt = (nxt.checkpoint(eager=True) if (m + 1) % checkpoint_every == 0 else nxt).persist()
-        nxt.count()
-        cur.unpersist()
-        cur = nxt
-    cur.unpersist()
-    return model
-
-
 # -- classifiers / regressors ---------------------------------------------
 def assemble(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataFrame:
     return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="keep").transform(df)
@@ -163,45 +92,8 @@ def regressors(label: str, seed: int = 42, n_trees: int = 20, forest: int | None
     }
 
 
-def importances(model, feature_names: Sequence[str]) -> list[tuple[str, float]]:
-    """Feature importances of a fitted tree model (driver-side vector of
-    length = number of features)."""
-    imp = model.featureImportances.toArray()
-    return sorted(((n, float(v)) for n, v in zip(feature_names, imp)), key=lambda t: (-t[1], t[0]))
-
-
 def fit_pipeline(train: DataFrame, feature_cols: Sequence[str], label: str, n_trees: int = 20,
                  seed: int = 42) -> PipelineModel:
     stages = [VectorAssembler(inputCols=list(feature_cols), outputCol="features", handleInvalid="keep"),
               GBTClassifier(labelCol=label, maxIter=n_trees, maxDepth=4, seed=seed)]
     return Pipeline(stages=stages).fit(train)
-
-
-def save_quantile_bundle(models: dict[str, QuantileBoostModel], path: str) -> None:
-    """Persist a {name: QuantileBoostModel} bundle: each tree with MLlib's
-    writer, leaf values and constants as a small Parquet table."""
-    rows = []
-    for name, mdl in models.items():
-        for m, (tree, values) in enumerate(zip(mdl.trees, mdl.leaf_values)):
-            tree.write().overwrite().save(f"{path}/{name}/tree_{m:04d}")
-            for k, v in values.items():
-                rows.append((name, mdl.alpha, mdl.init, mdl.learning_rate, m, int(k), float(v)))
-    from pyspark.sql import SparkSession
-    spark = SparkSession.getActiveSession()
-    spark.createDataFrame(rows, "name string, alpha double, init double, learning_rate double, round int, "
-                                "leaf int, value double").write.mode("overwrite").parquet(f"{path}/leaf_values")
-
-
-def load_quantile_bundle(path: str) -> dict[str, QuantileBoostModel]:
-    from pyspark.sql import SparkSession
-    spark = SparkSession.getActiveSession()
-    lv = spark.read.parquet(f"{path}/leaf_values").collect()  # bounded: rounds x 2^depth rows
-    out: dict[str, QuantileBoostModel] = {}
-    for r in sorted(lv, key=lambda r: (r["name"], r["round"], r["leaf"])):
-        mdl = out.setdefault(r["name"], QuantileBoostModel(r["alpha"], r["init"], r["learning_rate"]))
-        while len(mdl.leaf_values) <= r["round"]:
-            mdl.leaf_values.append({})
-        mdl.leaf_values[r["round"]][r["leaf"]] = r["value"]
-    for name, mdl in out.items():
-        mdl.trees = [DecisionTreeRegressionModel.load(f"{path}/{name}/tree_{m:04d}") for m in range(len(mdl.leaf_values))]
-    return out

@@ -46,14 +46,33 @@ def prepare_requests(requests: DataFrame, year: int | Column) -> tuple[DataFrame
     return good.where(F.col("request_ts").isNotNull()), bad
 
 
+#: Levels in string order, of which the first has no column (fixed values).
+DUMMY_LEVELS = {"direction_id": ["0", "1"],
+                "weather_code": ["0", "1", "2", "3", "51", "53", "55", "61", "63", "65", "71", "73", "75"]}
+DELAY_FEATURES = ["stop_sequence", "hour", "day_of_week", "month", "day",
+                  "hour_sin", "hour_cos", "day_sin", "day_cos", "month_sin", "month_cos",
+                  "temperature_2m", "precipitation", "snowfall", "wind_speed_10m",
+                  *[f"{col}_{level}" for col, levels in DUMMY_LEVELS.items() for level in levels[1:]]]
+
+
+def delay_terms(df: DataFrame) -> DataFrame:
+    """The delay models' derived terms: hour, weekday and month on a circle,
+    and 0/1 columns of direction and weather code less their first levels (a
+    level not named gives zeros)."""
+    terms = {}
+    for col, short, period in (("hour", "hour", 24), ("day_of_week", "day", 7), ("month", "month", 12)):
+        terms[f"{short}_sin"], terms[f"{short}_cos"] = cal.cyclic(F.col(col), period)
+    for col, levels in DUMMY_LEVELS.items():
+        for level in levels[1:]:
+            terms[f"{col}_{level}"] = F.coalesce((F.col(col).cast("string") == level).cast("int"), F.lit(0))
+    return df.withColumns(terms)
+
+
 def enrich(good: DataFrame, weather_hourly: DataFrame) -> DataFrame:
     """Calendar flags and the weather of the request's hour."""
     w = weather_hourly.withColumnRenamed("timestamp_rounded", "request_ts")
     e = good.join(w, "request_ts", "left")
-    hs, hc = cal.cyclic(F.col("hour"), 24)
-    ds, dc = cal.cyclic(F.col("day_of_week"), 7)
-    return e.withColumns({
-        "hour_sin": hs, "hour_cos": hc, "day_sin": ds, "day_cos": dc,
+    return delay_terms(e).withColumns({
         "est_weekend": F.col("day_of_week").isin(5, 6).cast("int"),
         "vacances_scolaires": cal.school_holiday(F.col("request_ts")),
         **wx.weather_risks(F.col("temperature_2m"), F.col("weather_code")),
