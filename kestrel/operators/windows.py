@@ -4,9 +4,10 @@
   ``WindowGroupLimit`` *before* the shuffle, so a hot key ships at most n
   rows per map task;
 * latest-per-key uses ``max_by`` aggregation (partial aggregation);
-* time-range windows (velocity, 7 / 30 day rollups) and SCD2 version
-  building split every entity's history into time buckets, so one hot
-  entity is spread over many tasks instead of one.
+* short time-range windows (velocity) and SCD2 version building split every
+  entity's history into time buckets, long ones (7 / 30 day rollups) into
+  panes with partial aggregates, so one hot entity is spread over many tasks
+  instead of one.
 """
 
 from __future__ import annotations
@@ -74,6 +75,67 @@ def rolling_time_agg(df: DataFrame, key: str, ts: str, seconds: int,
     return out.drop("_t", "_own", "_b", "_is_own")
 
 
+def pane_rows(df: DataFrame, key: str, ts: str, seconds: int, pane_seconds: int) -> DataFrame:
+    """Every row twice: in its own pane (``_own``), and as context ``seconds``
+    later, where windows may begin in the middle of its pane."""
+    t = epoch_seconds(F.col(ts))
+    twice = F.explode(F.array(F.struct(t.alias("at"), F.lit(True).alias("own")),
+                              F.struct((t + seconds).alias("at"), F.lit(False).alias("own"))))
+    rows = df.select("*", twice.alias("_c")).select("*", F.col("_c.at").alias("_at"), F.col("_c.own").alias("_own"))
+    return rows.drop("_c").withColumn("_pane", F.floor(F.col("_at") / pane_seconds))
+
+
+def pane_time_agg(df: DataFrame, key: str, ts: str, seconds: int, aggs: dict[str, tuple[str, str | None]],
+                  pane_seconds: int = 86400) -> DataFrame:
+    """As ``rolling_time_agg``, for windows of many panes (``seconds`` is a
+    multiple of ``pane_seconds``).
+
+    A window has three parts: its own pane up to the row, the end of the pane
+    that it begins in, and the whole panes between.  These are partial
+    aggregates per (entity, pane) and a window over them; only the first two
+    need rows, so a task holds rows of two panes of an entity, however long the
+    window is."""
+    if seconds % pane_seconds:
+        raise ValueError("the window must be a whole number of panes")
+    n_panes = seconds // pane_seconds
+    # what each function adds up: partial name -> (combine, column)
+    parts = {}
+    for name, (fn, col) in aggs.items():
+        c = F.col(col) if col else F.lit(1)
+        wanted = {"count": ("count",), "sum": ("sum", "count"), "avg": ("sum", "count"), "max": ("max",), "min": ("min",)}[fn]
+        parts |= {f"_{name}_{w}": (w, c) for w in wanted}
+    first = {"count": F.count, "sum": F.sum, "max": F.max, "min": F.min}
+    again = {"count": F.sum, "sum": F.sum, "max": F.max, "min": F.min}
+
+    panes = df.groupBy(key, F.floor(epoch_seconds(F.col(ts)) / pane_seconds).alias("_pane")).agg(
+        *[first[w](c).alias(p) for p, (w, c) in parts.items()])
+    between = Window.partitionBy(key).orderBy("_pane").rangeBetween(-(n_panes - 1), -1)  # one row a pane
+    between = panes.select(key, "_pane", *[again[w](p).over(between).alias(f"{p}_mid") for p, (w, _) in parts.items()])
+
+    rows = pane_rows(df, key, ts, seconds, pane_seconds).unionByName(between, allowMissingColumns=True)
+    whole = Window.partitionBy(key, "_pane")
+    upto = whole.orderBy("_at").rangeBetween(Window.unboundedPreceding, 0)
+    since = whole.orderBy(F.col("_at").desc()).rangeBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumns({p: first[w](F.when(F.col("_own"), c)).over(upto) for p, (w, c) in parts.items()})
+    rows = rows.withColumns({f"{p}_old": first[w](F.when(~F.col("_own"), c)).over(since) for p, (w, c) in parts.items()})
+    rows = rows.withColumns({f"{p}_mid": F.max(f"{p}_mid").over(whole) for p in parts}).where("_own")
+
+    def joined(p):
+        three = [F.col(p), F.col(f"{p}_old"), F.col(f"{p}_mid")]
+        if parts[p][0] in ("max", "min"):
+            return {"max": F.greatest, "min": F.least}[parts[p][0]](*three)
+        return sum(F.coalesce(x, F.lit(0)) for x in three)
+
+    def result(name, fn):
+        if fn in ("count", "max", "min"):
+            return joined(f"_{name}_{fn}")
+        n = joined(f"_{name}_count")
+        total = F.when(n > 0, joined(f"_{name}_sum"))
+        return total if fn == "sum" else F.try_divide(total, n)
+
+    return rows.select(*df.columns, *[result(name, fn).alias(name) for name, (fn, _) in aggs.items()])
+
+
 def share_of_total(df: DataFrame, count_col: str = "count", out: str = "share") -> DataFrame:
     """``count / sum(count)`` over an already-aggregated (bounded) frame."""
     return df.withColumn(out, F.round(F.col(count_col) / F.sum(count_col).over(Window.partitionBy()), 6))

@@ -131,7 +131,7 @@ def win_velocity_1h(v):
 @query("win_tx_count_7d", oracle=f"""
 SELECT event_id, user_id, {_range_sql('count(*)', 604800, 'tx_count_7d')} FROM events WHERE event_type = 'purchase'""")
 def win_tx_count_7d(v):
-    return win.rolling_time_agg(_purchases(v), "user_id", "ts", 604800, {"tx_count_7d": ("count", None)}) \
+    return win.pane_time_agg(_purchases(v), "user_id", "ts", 604800, {"tx_count_7d": ("count", None)}) \
         .select("event_id", "user_id", "tx_count_7d")
 
 
@@ -139,7 +139,7 @@ def win_tx_count_7d(v):
 SELECT event_id, user_id, round(avg_spend_30d, 6) AS avg_spend_30d FROM (
   SELECT event_id, user_id, {_range_sql('avg(value)', 2592000, 'avg_spend_30d')} FROM events WHERE event_type = 'purchase') x""")
 def win_avg_spend_30d(v):
-    r = win.rolling_time_agg(_purchases(v), "user_id", "ts", 2592000, {"avg_spend_30d": ("avg", "value")})
+    r = win.pane_time_agg(_purchases(v), "user_id", "ts", 2592000, {"avg_spend_30d": ("avg", "value")})
     return r.select("event_id", "user_id", F.round("avg_spend_30d", 6).alias("avg_spend_30d"))
 
 
