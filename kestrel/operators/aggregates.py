@@ -105,28 +105,30 @@ def equal_width_histogram(df: DataFrame, col: str, n_bins: int, by: Column | Non
 
 
 def _pairwise_corr(df: DataFrame, pairs: Sequence[tuple[str, str]], flag: Column) -> DataFrame:
-    """corr(a, b) per (pair, flag) in long form: every row is unnested into
-    one (a, b, x, y) record per pair inside the task, then a single grouped
-    ``corr`` with a handful of groups runs (partial aggregation; the shuffle
-    carries one buffer per group and task).  Compared with one wide
-    aggregate of 2 * len(pairs) ``corr`` expressions this keeps the
-    generated code small."""
-    recs = F.explode(F.array(*[F.struct(F.lit(a).alias("var_a"), F.lit(b).alias("var_b"),
-                                        F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
-                               for a, b in pairs])).alias("r")
-    long = df.select(flag.alias("g"), recs).select("g", "r.*")
-    return long.groupBy("var_a", "var_b", "g").agg(F.corr("x", "y").alias("c"))
-
-
-def _by_flag(c: DataFrame) -> DataFrame:
-    return c.groupBy("var_a", "var_b").agg(F.max(F.when(F.col("g") == 0, F.col("c"))).alias("c0"),
-                                           F.max(F.when(F.col("g") == 1, F.col("c"))).alias("c1"))
+    """(var_a, var_b, c0, c1): correlation of each pair where ``flag`` is 0 and
+    1.  One pass with a mergeable co-moment buffer per pair and group; rows are
+    not multiplied.  Rows with a null in a pair don't count for that pair, and
+    a constant column has no correlation (null)."""
+    used = list(dict.fromkeys(c for p in pairs for c in p))
+    rows = df.select(flag.alias("g"), *[F.col(c).cast("double").alias(f"_c{i}") for i, c in enumerate(used)])
+    x = {c: F.col(f"_c{i}") for i, c in enumerate(used)}
+
+    def corr(a, b):  # ``F.corr`` fails on a constant column
+        var = [F.var_pop(F.when(other.isNotNull(), own)) for own, other in ((a, b), (b, a))]
+        return F.try_divide(F.covar_pop(a, b), F.sqrt(var[0]) * F.sqrt(var[1]))
+
+    wide = rows.groupBy("g").agg(*[corr(x[a], x[b]).alias(f"_r{k}") for k, (a, b) in enumerate(pairs)])
+    each = F.explode(F.array(*[F.struct(F.lit(a).alias("var_a"), F.lit(b).alias("var_b"), F.col(f"_r{k}").alias("c"))
+                               for k, (a, b) in enumerate(pairs)])).alias("r")
+    long = wide.select("g", each).select("g", "r.*")  # a row a pair and group
+    return long.groupBy("var_a", "var_b").agg(F.max(F.when(F.col("g") == 0, F.col("c"))).alias("c0"),
+                                              F.max(F.when(F.col("g") == 1, F.col("c"))).alias("c1"))
 
 
 def corr_with_target(df: DataFrame, features: Sequence[str], target: str, flag: Column) -> DataFrame:
     """Pearson correlation of each feature with ``target`` separately where
     ``flag`` is 0 and 1, and their difference."""
-    w = _by_flag(_pairwise_corr(df, [(f, target) for f in features], flag))
+    w = _pairwise_corr(df, [(f, target) for f in features], flag)
     return w.select(F.col("var_a").alias("feature"), rnd(F.col("c0")).alias("corr_without"),
                     rnd(F.col("c1")).alias("corr_with"), rnd(F.col("c1") - F.col("c0")).alias("difference"))
 
@@ -135,7 +137,7 @@ def corr_matrix(df: DataFrame, cols: Sequence[str], flag: Column) -> DataFrame:
     """Full correlation matrix per group (flag 0 / 1) and their difference
     (each unordered pair computed once, mirrored)."""
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    w = _by_flag(_pairwise_corr(df, pairs, flag))
+    w = _pairwise_corr(df, pairs, flag)
     # mirror inside each (tiny) result row instead of re-reading the result
     both = F.explode(F.array(F.struct(F.col("var_a").alias("a"), F.col("var_b").alias("b")),
                              F.struct(F.col("var_b").alias("a"), F.col("var_a").alias("b"))))

@@ -9,6 +9,7 @@ shuffle joins unless they are measured small.
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -21,9 +22,17 @@ def money_sum(col: str) -> Column:
     return F.sum(col).cast("decimal(38,2)")
 
 
+def in_month(dim_date: DataFrame, year: int, month: int, date: str = "full_date") -> DataFrame:
+    """Rows of a month, by a range of the date itself (a predicate on derived
+    year and month columns can't be pushed to the scan)."""
+    first = datetime.date(year, month, 1)
+    following = datetime.date(year + month // 12, month % 12 + 1, 1)
+    return dim_date.where((F.col(date) >= F.lit(first)) & (F.col(date) < F.lit(following)))
+
+
 def revenue_by_day_region(fact: DataFrame, dim_date: DataFrame, dim_geo: DataFrame,
                           year: int, month: int) -> DataFrame:
-    d = dim_date.where((F.col("year") == year) & (F.col("month") == month)).select("date_key", "full_date")
+    d = in_month(dim_date, year, month).select("date_key", "full_date")
     g = dim_geo.select("geography_key", "region")
     # the same period as a range on the fact's own date key: on a fact table
     # partitioned by date_key this prunes partitions statically, and on a

@@ -26,7 +26,8 @@ def join_star_region(v):
 @query("filter_period", oracle=f"""
 SELECT date_key, full_date FROM dim_date WHERE year = {PERIOD[0]} AND month = {PERIOD[1]}""")
 def filter_period(v):
-    return v.dim_date.where((F.col("year") == PERIOD[0]) & (F.col("month") == PERIOD[1])).select("date_key", "full_date")
+    """The month as a range of dates, which reaches the scan."""
+    return wh.in_month(v.dim_date, *PERIOD).select("date_key", "full_date")
 
 
 @query("join_star_cohort", oracle="""

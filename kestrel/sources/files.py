@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kestrel.session import shared_path
+
 
 # -- sources -----------------------------------------------------------------
 def read_csv_indexed(spark: SparkSession, path: str, schema: T.StructType, index_col: str = "_c0") -> DataFrame:
@@ -68,15 +70,17 @@ def truncate_load(df: DataFrame, path: str) -> None:
 
 
 def replace_keyed(df: DataFrame, path: str, key: str = "observation_uuid") -> None:
-    """Replace a table; add a random UUID key when absent; refuse to write
-    when the key is not unique (checked before anything is written)."""
+    """Replace a table; add a random UUID key when absent; refuse to replace
+    it when the key is not unique.  The rows are written to the shared folder
+    first: the check and the table then see the same drawn keys."""
     if key not in df.columns:
         df = df.withColumn(key, F.expr("uuid()"))
-    df = df.select(key, *[c for c in df.columns if c != key])
-    dup = df.groupBy(key).count().where(F.col("count") > 1).limit(1).count()
-    if dup:
+    staged = shared_path(df.sparkSession, "replace-keyed")
+    df.select(key, *[c for c in df.columns if c != key]).write.parquet(staged)
+    rows = df.sparkSession.read.parquet(staged)
+    if not rows.groupBy(key).count().where(F.col("count") > 1).isEmpty():
         raise ValueError(f"primary key {key} is not unique")
-    df.write.mode("overwrite").parquet(path)
+    rows.write.mode("overwrite").parquet(path)
 
 
 def first_per_key(batch: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
