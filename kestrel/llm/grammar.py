@@ -1,10 +1,11 @@
 """Token ids in grammar-compressed files with random access.
 
-Method (Re-Pair, in rounds): a shard holds the documents of one block of
-doc_ids in ascending order.  Over its ids, pairs of neighbours are counted;
-frequent pairs become nonterminals and are replaced wherever they stand (in
-places that compete, the more frequent pair wins); this repeats until no pair
-is frequent.  No rule reaches over a document's end.  A container stores the
+Method (Re-Pair, in rounds): a shard holds the documents of one range of
+doc_ids in ascending order, and shards follow each other likewise.  Over the
+ids of a container, pairs of neighbours are counted; frequent pairs (those
+that occur ``MIN_COUNT`` times) become nonterminals and are replaced wherever
+they stand (in places that compete, the more frequent pair wins); this repeats
+until no pair is frequent.  No rule reaches over a document's end.  A container stores the
 rules, the length each expands to, each document's id and symbol counts, and
 the symbols, so any document, or any stretch of one, decodes alone.
 
@@ -15,7 +16,7 @@ flag, u32 ids and u32 symbols of each document; symbols.
 
 Defined cases: a null text is the end id alone; a null doc_id sorts before
 all others; repeated rows are stored as often as they occur, ties in the
-order of their texts; an empty table gives no container.  Columns besides the
+order of their texts' hashes; an empty table gives no container.  Columns besides the
 two named are not read.
 """
 
@@ -34,12 +35,10 @@ from kestrel.llm.tables import stored
 from kestrel.operators.ordering import running_sums
 
 MAGIC = b"RPG1"
-DOCS_PER_SHARD = 4096       # doc_ids of one shard's block
-SEGMENT_IDS = 1 << 20       # a container is closed once it holds this many ids
-ROUNDS = 8
+DOCS_PER_CONTAINER = 4096   # a container is closed once it holds so many documents
+SEGMENT_IDS = 1 << 20       # or so many ids
 MIN_COUNT = 16              # least count of a pair that gets a rule
 WIDE = 8                    # a round takes pairs down to the most frequent count over this
-MAX_RULES = 15_000          # with the vocabulary's ids, symbols stay within 16 bits
 
 CONTAINERS = "shard long, segment int, n_docs int, n_ids long, n_symbols long, payload binary"
 DOCUMENTS = ("shard long, segment int, doc_id long, start_in_segment long, n_tokens long, ids_crc32 long, "
@@ -48,22 +47,20 @@ DOCUMENTS = ("shard long, segment int, doc_id long, start_in_segment long, n_tok
 
 # -- one container ----------------------------------------------------------------
 
-def compress(ids: np.ndarray, doc_sizes: np.ndarray, base: int, rounds: int = ROUNDS, min_count: int = MIN_COUNT,
-             max_rules: int = MAX_RULES) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+def compress(ids: np.ndarray, doc_sizes: np.ndarray, base: int, min_count: int = MIN_COUNT
+             ) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
     """(symbols, symbols per document, (left, right) rows of each round)."""
     # a pair is one number; while all symbols fit 16 bits it has 32 (half the
-    # work of sorting)
-    half, kind = (16, np.uint32) if base + max_rules < (1 << 16) - 1 and ids.max(initial=0) < base else (32, np.uint64)
-    none = np.iinfo(kind).max
+    # work of sorting), later 64
+    half, kind = (16, np.uint32) if base < 1 << 16 and ids.max(initial=0) < base else (32, np.uint64)
     s = ids.astype(kind)
     last = np.zeros(len(s), dtype=bool)
     last[np.cumsum(doc_sizes[doc_sizes > 0]) - 1] = True
     made: list[np.ndarray] = []
     n_rules = 0
     never = np.iinfo(np.int32).max
-    for _ in range(rounds):
-        if len(s) < 2 or n_rules == max_rules:
-            break
+    while len(s) >= 2:
+        none = np.iinfo(kind).max
         key = (s[:-1] << kind(half)) | s[1:]
         key[last[:-1]] = none
         ordered = np.sort(key)
@@ -74,7 +71,11 @@ def compress(ids: np.ndarray, doc_sizes: np.ndarray, base: int, rounds: int = RO
         if not len(times) or times.max() < min_count:
             break
         frequent = np.flatnonzero(times >= max(min_count, times.max() // WIDE))
-        frequent = frequent[np.argsort(-times[frequent], kind="stable")][:max_rules - n_rules]
+        if half == 16 and base + n_rules + len(frequent) >= (1 << 16) - 1:
+            half, kind = 32, np.uint64
+            s = s.astype(kind)
+            continue
+        frequent = frequent[np.argsort(-times[frequent], kind="stable")]
         chosen = pairs[frequent]                      # by rank
         by_key = np.argsort(chosen).astype(np.int32)
         in_order = chosen[by_key]
@@ -189,51 +190,45 @@ class Container:
 # -- tables of containers -----------------------------------------------------------
 
 def write(docs: DataFrame, tokenizer: str, end_id: int = 2, base: int = 50_257, doc_id: str = "doc_id",
-          text: str = "text", docs_per_shard: int = DOCS_PER_SHARD, segment_ids: int = SEGMENT_IDS) -> DataFrame:
+          text: str = "text", docs_per_shard: int = DOCS_PER_CONTAINER, segment_ids: int = SEGMENT_IDS) -> DataFrame:
     """Tokenise, append ``end_id``, compress, and write the containers
-    (``CONTAINERS``; in the order (shard, segment) they hold ascending
-    doc_ids).  Returns the written table."""
+    (``CONTAINERS``; in the order (shard, segment), which is that of the files,
+    they hold ascending doc_ids).  A shard is a range partition, so rows
+    without a doc_id are spread like any others.  Returns the written table."""
 
     def run(batches):
         import pyarrow as pa
+        from pyspark import TaskContext
         memo = P.byte_bpe(tokenizer)
-        shard, segment, held = None, 0, []
+        shard, segment, held, n_ids, n_docs = TaskContext.get().partitionId(), 0, [], 0, 0
 
         def close():
-            nonlocal segment, held
             sizes = np.concatenate([x[1] for x in held])
             payload, n = pack_container([d for x in held for d in x[0]], sizes,
                                         np.concatenate([x[2] for x in held]), base)
-            row = pa.RecordBatch.from_arrays(
+            return pa.RecordBatch.from_arrays(
                 [pa.array([shard], pa.int64()), pa.array([segment], pa.int32()), pa.array([len(sizes)], pa.int32()),
                  pa.array([int(sizes.sum())], pa.int64()), pa.array([n], pa.int64()), pa.array([payload], pa.binary())],
                 names=["shard", "segment", "n_docs", "n_ids", "n_symbols", "payload"])
-            segment, held = segment + 1, []
-            return row
 
         for batch in batches:
-            shards, keys = batch.column(0).to_numpy(), batch.column(1).to_pylist()
-            cuts = [0, *(np.flatnonzero(np.diff(shards)) + 1).tolist(), len(shards)]
-            for a, b in zip(cuts, cuts[1:]):
-                if b > a and shards[a] != shard:
-                    if held:
-                        yield close()
-                    shard, segment = int(shards[a]), 0
-                for first, texts in P.text_batches(batch.column(2).slice(a, b - a), 1 << 20):
-                    flat, per, *_ = memo.encode(texts)
-                    sizes = per + 1
-                    ids = np.full(int(sizes.sum()), end_id, dtype=np.int32)
-                    ids[P.ragged(np.cumsum(sizes) - sizes, per)] = flat
-                    held.append((keys[a + first:a + first + len(texts)], sizes, ids))
-                    if sum(len(x[2]) for x in held) >= segment_ids:
-                        yield close()
+            keys = batch.column(0).to_pylist()
+            for first, texts in P.text_batches(batch.column(1), 1 << 20):
+                flat, per, *_ = memo.encode(texts)
+                sizes = per + 1
+                ids = np.full(int(sizes.sum()), end_id, dtype=np.int32)
+                ids[P.ragged(np.cumsum(sizes) - sizes, per)] = flat
+                held.append((keys[first:first + len(texts)], sizes, ids))
+                n_ids, n_docs = n_ids + len(ids), n_docs + len(texts)
+                if n_ids >= segment_ids or n_docs >= docs_per_shard:
+                    yield close()
+                    segment, held, n_ids, n_docs = segment + 1, [], 0, 0
         if held:
             yield close()
 
-    sharded = docs.select(
-        F.coalesce(F.floor(F.col(doc_id).cast("long") / docs_per_shard), F.lit(-(1 << 62))).alias("shard"),
-        F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
-    ordered = sharded.repartition("shard").sortWithinPartitions("shard", "doc_id", "text")
+    named = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), F.col("text")]
+    ordered = named.repartitionByRange(*order[:2]).sortWithinPartitions(*order)
     return stored(ordered.mapInArrow(run, CONTAINERS), "grammar-files")
 
 

@@ -91,6 +91,37 @@ def test_grammar_files(docs, none, rows):
     assert grammar.read(grammar.write(none, R.BYTE_BPE)).count() == 0
 
 
+def test_grammar_repeats_until_no_pair_is_frequent():
+    r = np.random.default_rng(5)
+    runs = np.concatenate([np.full(20_000, 3), np.tile(r.integers(0, 40, 50), 400), r.integers(0, 60, 30_000)])
+    for base in (100, 65_500):                      # the rules soon need more than 16 bits
+        sizes = np.array([5, len(runs) - 5])
+        symbols, per, made = grammar.compress(runs, sizes, base)
+        assert per.sum() == len(symbols) and len(made) > 8
+        pairs = np.stack([symbols[:-1], symbols[1:]], axis=1)[np.arange(len(symbols) - 1) != per[0] - 1].astype(np.int64)
+        times = np.unique(pairs, axis=0, return_counts=True)[1]
+        run = np.unique(pairs[pairs[:, 0] == pairs[:, 1]], axis=0, return_counts=True)[1]
+        assert times.max() < 2 * grammar.MIN_COUNT and run.max(initial=0) < 2 * grammar.MIN_COUNT
+        blob, n = grammar.pack_container([1, 2], sizes, runs, base)
+        c = grammar.Container.open(blob)
+        assert n == len(symbols) and np.concatenate([c.document(0), c.document(1)]).tolist() == runs.tolist()
+
+
+def test_grammar_shards_are_ranges(spark):
+    """Files follow the doc_ids; sparse and missing ids share containers."""
+    rows = [(None, f"no name {i}") for i in range(300)] + [(i * 10_000_019, f"text {i} again") for i in range(300)]
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    w = grammar.write(d, R.BYTE_BPE, docs_per_shard=64)
+    parts = w.orderBy("shard", "segment").collect()
+    ids = [x for p in parts for x in grammar.Container.open(bytes(p.payload)).doc_ids]
+    assert ids == [None] * 300 + [r[0] for r in rows[300:]]
+    assert len(parts) < 40 and sum(p.n_docs for p in parts) == 600
+    got = grammar.read(w).orderBy("start").collect()
+    want = {r[0]: R.crc(x) for r, x in zip(rows[300:], R.token_ids([r[1] for r in rows[300:]]))}
+    assert [g.start for g in got] == np.cumsum([0] + [g.n_tokens for g in got])[:-1].tolist()
+    assert {g.doc_id: g.ids_crc32 for g in got if g.doc_id is not None} == want
+
+
 def test_grammar_random_access():
     r = np.random.default_rng(0)
     parts = [np.tile(r.integers(0, 50, size=7), k) for k in (0, 1, 30, 200)] + [np.full(301, 9), r.integers(0, 5, 999)]
