@@ -52,26 +52,41 @@ def compress(ids: np.ndarray, doc_sizes: np.ndarray, base: int, min_count: int =
     """(symbols, symbols per document, (left, right) rows of each round)."""
     # a pair is one number; while all symbols fit 16 bits it has 32 (half the
     # work of sorting), later 64
-    half, kind = (16, np.uint32) if base < 1 << 16 and ids.max(initial=0) < base else (32, np.uint64)
-    s = ids.astype(kind)
+    used = np.flatnonzero(np.bincount(ids, minlength=1))    # symbols are numbered anew: used ids, then rules
+    dense = np.zeros(int(ids.max(initial=0)) + 1, dtype=np.int64)
+    dense[used] = np.arange(len(used))
+    half, kind = (16, np.uint32) if len(used) < (1 << 16) - 1 else (32, np.uint64)
+    s = dense[ids].astype(kind)
     last = np.zeros(len(s), dtype=bool)
     last[np.cumsum(doc_sizes[doc_sizes > 0]) - 1] = True
     made: list[np.ndarray] = []
     n_rules = 0
     never = np.iinfo(np.int32).max
+    settled = None      # after a round that took all frequent pairs: (first new symbol, begins, ends)
     while len(s) >= 2:
         none = np.iinfo(kind).max
         key = (s[:-1] << kind(half)) | s[1:]
         key[last[:-1]] = none
-        ordered = np.sort(key)
+        counted = key
+        if settled is not None:
+            # other pairs than those with a new symbol or of the last round can't
+            # have become frequent; whether a place counts depends on its pair alone
+            fresh_from, begins, ends = settled
+            old = s < fresh_from
+            low = np.where(old, s, 0)
+            counted = key[~(old[:-1] & old[1:]) | (begins[low[:-1]] & ends[low[1:]])]
+            if not len(counted):
+                break
+        ordered = np.sort(counted)
         new = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
         pairs, times = ordered[new], np.diff(new, append=len(ordered))
         if pairs[-1] == none:
             pairs, times = pairs[:-1], times[:-1]
         if not len(times) or times.max() < min_count:
             break
-        frequent = np.flatnonzero(times >= max(min_count, times.max() // WIDE))
-        if half == 16 and base + n_rules + len(frequent) >= (1 << 16) - 1:
+        least = max(min_count, times.max() // WIDE)
+        frequent = np.flatnonzero(times >= least)
+        if half == 16 and len(used) + n_rules + len(frequent) >= (1 << 16) - 1:
             half, kind = 32, np.uint64
             s = s.astype(kind)
             continue
@@ -93,17 +108,22 @@ def compress(ids: np.ndarray, doc_sizes: np.ndarray, base: int, min_count: int =
         odd = np.arange(len(some)) - np.repeat(fresh, np.diff(fresh, append=len(some)))
         own = rank[some]
         where = some[(odd % 2 == 0) & ((odd > 0) | (own < before[some])) & (own <= after[some])]
-        s[where] = (base + n_rules + rank[where]).astype(kind)
+        s[where] = (len(used) + n_rules + rank[where]).astype(kind)
         last[where] = last[where + 1]
         keep = np.ones(len(s), dtype=bool)
         keep[where + 1] = False
         s, last = s[keep], last[keep]
         made.append(np.stack([chosen >> kind(half), chosen & kind((1 << half) - 1)], axis=1).astype(np.int64))
+        if least == min_count:
+            begin, end = (np.zeros(len(used) + n_rules, dtype=bool) for _ in range(2))
+            begin[made[-1][:, 0]] = end[made[-1][:, 1]] = True
+            settled = len(used) + n_rules, begin, end
         n_rules += len(chosen)
     ends = np.flatnonzero(last) + 1
     per = np.zeros(len(doc_sizes), dtype=np.int64)
     per[doc_sizes > 0] = np.diff(ends, prepend=0)
-    return s, per, made
+    back = np.concatenate([used, base + np.arange(n_rules)])
+    return back[s.astype(np.int64)], per, [back[rows] for rows in made]
 
 
 def pack_container(doc_ids: list[int | None], doc_sizes: np.ndarray, ids: np.ndarray, base: int) -> tuple[bytes, int]:
