@@ -56,8 +56,8 @@ def cohort_spend(fact: DataFrame, dim_customer: DataFrame, dim_date: DataFrame)
             .orderBy("signup_cohort_month", "activity_month"))
 
 
-def daily_revenue_merchant(fact: DataFrame) -> DataFrame:
-    return fact.groupBy("date_key", "merchant_key").agg(
+def daily_revenue_merchant(fact: DataFrame, extra_keys: Sequence[str] = ()) -> DataFrame:
+    return fact.groupBy(*extra_keys, "date_key", "merchant_key").agg(
         money_sum("gross_amount").alias("gross_amount"), money_sum("net_revenue").alias("net_revenue"),
         F.count(F.lit(1)).alias("nb_tx"))
 
@@ -98,14 +98,17 @@ def payment_mix(fact: DataFrame) -> DataFrame:
         money_sum("gross_amount").alias("gross_amount"), F.count(F.lit(1)).alias("nb_tx"))
 
 
+def latest_change(rows: DataFrame, keys: Sequence[str], version: str = "version", op: str = "op") -> DataFrame:
+    """Per key the row with the highest (version, op).  ``max_by`` is a partial
+    aggregate, so a key with many changes is reduced map-side."""
+    vals = [c for c in rows.columns if c not in keys]
+    latest = rows.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c) for c in vals]),
+                                              F.struct(F.col(version), F.col(op))).alias("_r"))
+    return latest.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in vals])
+
+
 def cdc_apply(base: DataFrame, changes: DataFrame, key: str, version: str = "version",
               op: str = "op", delete_op: str = "D") -> DataFrame:
-    """Apply insert/update/delete events: per key keep the row with the
-    highest (version, op) and drop deletes.  ``max_by`` is a partial
-    aggregate, so a key with many changes is reduced map-side."""
-    u = base.unionByName(changes)
-    vals = [c for c in u.columns if c != key]
-    latest = u.groupBy(key).agg(F.max_by(F.struct(*[F.col(c) for c in vals]),
-                                         F.struct(F.col(version), F.col(op))).alias("_r"))
-    out = latest.select(key, *[F.col(f"_r.{c}").alias(c) for c in vals])
-    return out.where(F.col(op) != delete_op)
+    """Apply insert/update/delete events to rows that aren't stored: the latest
+    change per key without the deletes (``sources.merge`` for stored tables)."""
+    return latest_change(base.unionByName(changes), [key], version, op).where(F.col(op) != delete_op)

@@ -16,6 +16,7 @@ from kestrel.session import shared_path
 from kestrel.sources import archives as arc
 from kestrel.sources import feed
 from kestrel.sources import files as fs
+from kestrel.sources import merge
 
 TX_CSV_SCHEMA = T.StructType([
     T.StructField("trans_num", T.LongType()), T.StructField("trans_date_trans_time", T.TimestampNTZType()),
@@ -339,23 +340,18 @@ def sink_documents(v):
 SELECT date_key, merchant_key, sum(gross_amount) AS gross_amount, sum(net_revenue) AS net_revenue, count(*) AS nb_tx
 FROM fact_transactions GROUP BY 1, 2""")
 def agg_incremental_preagg(v):
-    """Daily pre-aggregate kept up to date by partition (monthly partitions
-    of daily rows): built from the months before a cut-off, then only the
-    months from the cut-off are recomputed and overwritten (dynamic
-    partition overwrite), first from a stale snapshot, then fresh."""
+    """Daily pre-aggregate kept as partial sums per arrival batch: a run adds
+    the batches it hasn't seen and reads no other; late rows come in a later
+    batch and are added to their day when read."""
     from kestrel.operators.warehouse import daily_revenue_merchant
-    path = shared_path(v.spark, "agg-daily-revenue")
-    cut = 19990101
+    facts, path = shared_path(v.spark, "facts-arrived"), shared_path(v.spark, "agg-daily-revenue")
     f = v.fact_transactions
-
-    def agg(src):
-        return daily_revenue_merchant(src).withColumn("month_key", F.floor(F.col("date_key") / 100).cast("int"))
-
-    fs.refresh_partitions(agg(f.where(F.col("date_key") < cut)), path, "month_key")
-    fs.refresh_partitions(agg(f.where((F.col("date_key") >= cut) & F.col("is_fraud"))), path, "month_key")
-    fs.refresh_partitions(agg(f.where(F.col("date_key") >= cut)), path, "month_key")
-    out = v.spark.read.parquet(path)
-    return out.select("date_key", "merchant_key", "gross_amount", "net_revenue", "nb_tx")
+    late = F.col("is_fraud")  # stand-in: these rows arrive one batch late
+    batch = F.floor(F.col("date_key") / 10_000) + F.coalesce(late.cast("int"), F.lit(0))
+    f.withColumn("batch_id", batch.cast("int")).write.partitionBy("batch_id").parquet(facts)
+    merge.add_partials(facts, path, daily_revenue_merchant)
+    return merge.merged_partials(v.spark, path, ["date_key", "merchant_key"],
+                                 ["gross_amount", "net_revenue", "nb_tx"])
 
 
 @query("set_union_days", oracle="""

@@ -9,6 +9,8 @@ from kestrel.operators import joins as jn
 from kestrel.operators import warehouse as wh
 from kestrel.operators import windows as win
 from kestrel.plans.registry import query
+from kestrel.session import shared_path
+from kestrel.sources import merge
 
 PERIOD = (1997, 1)  # the report month (order dates span 1995-2001)
 
@@ -109,6 +111,8 @@ u AS (SELECT * FROM base UNION ALL SELECT * FROM ch),
 r AS (SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY version DESC, op DESC) AS rn FROM u)
 SELECT transaction_id, CAST(amount AS DECIMAL(16,2)) AS amount, CAST(version AS BIGINT) AS version, op FROM r WHERE rn = 1 AND op <> 'D'""")
 def cdc_apply(v):
+    """Change events merged into a stored table: only the partitions (ranges of
+    ids) with changed keys are rewritten."""
     tx = v.tx
     k = F.col("transaction_id")
     base = tx.select("transaction_id", F.col("amount").cast("decimal(16,2)").alias("amount"),
@@ -118,7 +122,10 @@ def cdc_apply(v):
         "transaction_id",
         F.when(is_del, F.col("amount")).otherwise(F.col("amount") + 1).cast("decimal(16,2)").alias("amount"),
         (k % 3).cast("long").alias("version"), F.when(is_del, "D").otherwise("U").alias("op"))
-    return wh.cdc_apply(base, ch, "transaction_id")
+    path, part = shared_path(v.spark, "cdc-tx"), merge.key_range("transaction_id", 1_000_000)
+    merge.create_keyed(base, path, part)
+    merge.merge_changes(ch, path, "transaction_id", part)
+    return merge.live_rows(v.spark, path)
 
 
 @query("join_orphans", oracle="""

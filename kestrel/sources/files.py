@@ -1,6 +1,6 @@
 """File sources and sinks: CSV with an index column, raw JSON (bronze),
 Parquet, append / truncate-load / keyed replace, insert-if-absent, dated
-CSV reports, partition refresh.
+CSV reports, partitions by listing.
 
 Sinks write with Spark's parallel writers (one file set per partition and
 task); nothing is funnelled through a single task or the driver.
@@ -116,18 +116,22 @@ def write_report(df: DataFrame, base: str, report_date, fmt: str = "csv") -> Non
         .option("header", True).format(fmt).save(base)
 
 
+def listed_partitions(spark: SparkSession, base: str, column: str) -> list:
+    """The values of a partition column, from the names of the files; no file
+    is opened.  One value per partition comes to the driver; no folder: none."""
+    try:
+        files = spark.read.format("binaryFile").load(base)  # lists; contents are read only if selected
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    return [r[0] for r in files.select(column).distinct().collect()]
+
+
 def latest_report(spark: SparkSession, base: str, schema: T.StructType, fmt: str = "csv") -> DataFrame:
-    """Open the newest report: the newest partition value is found first
-    (one scalar), then only that partition is read (partition pruning)."""
+    """Open the newest report: its date is found in the listing, then only that
+    partition is read."""
     full = T.StructType(list(schema.fields) + [T.StructField("report_date", T.DateType())])
     all_reports = spark.read.schema(full).option("header", True).format(fmt).load(base)
-    newest = all_reports.select(F.max("report_date")).first()[0]
-    return all_reports.where(F.col("report_date") == F.lit(newest))
-
-
-def refresh_partitions(df: DataFrame, path: str, partition_col: str) -> None:
-    """Overwrite only the partitions present in ``df`` (dynamic partition
-    overwrite); untouched partitions are kept."""
-    (df.repartition(partition_col)  # one writer task (one file) per touched partition
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_col).parquet(path))
+    dates = [d for d in listed_partitions(spark, base, "report_date") if d is not None]
+    return all_reports.where(F.col("report_date") == F.lit(max(dates, default=None)).cast("date"))
