@@ -8,14 +8,14 @@ driver: they are bounded by the number of distinct levels, never by rows.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import StringIndexer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from kestrel.operators.ordering import running_sums
+from kestrel.operators.selection import cut_keys, order_key
 
 
 def label_encode(df: DataFrame, col: str, out: str) -> DataFrame:
@@ -70,14 +70,29 @@ def standardise(df: DataFrame, cols: Sequence[str], stats_from: DataFrame | None
     return j.withColumns(scaled).drop(*[f"_m_{c}" for c in cols], *[f"_s_{c}" for c in cols])
 
 
+def _number(df: DataFrame, col: str) -> Column:
+    """A column as a number in the same order: times in microseconds."""
+    kind = df.schema[col].dataType
+    if isinstance(kind, T.TimestampNTZType):  # its own clock, whatever the session's zone
+        minutes = (F.unix_date(F.col(col).cast("date")).cast("long") * 24 + F.hour(col)) * 60 + F.minute(col)
+        return minutes * 60_000_000 + (F.date_part(F.lit("SECOND"), F.col(col)) * 1_000_000).cast("long")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(col)
+    return F.unix_date(col) if isinstance(kind, T.DateType) else F.col(col)
+
+
 def chrono_split(df: DataFrame, order: Sequence[str], test_share: float = 0.2) -> DataFrame:
-    """Last ``ceil(test_share * n)`` rows in ``order`` are 'test'.  Row
-    positions come from the range-partitioned prefix count (no single-task
-    window)."""
-    n = df.count()  # one scalar
-    n_test = math.ceil(test_share * n)
-    ranked = running_sums(df, [F.col(c) for c in order], {"_pos": F.lit(1)})
-    return ranked.withColumn("split", F.when(F.col("_pos") > n - n_test, "test").otherwise("train")).drop("_pos")
+    """Last ``ceil(test_share * n)`` rows in ``order`` (numbers, dates, times)
+    are 'test'.  Only the key of the first test row is looked for; a row's
+    label is a comparison with it.  Rows that tie with it in all of ``order``
+    are 'test' too."""
+    keys = [_number(df, c) for c in order]
+    n = F.count(F.lit(1))
+    ranks = df.agg(F.lit(0).alias("_group"), F.lit("test").alias("name"), (n - F.ceil(n * test_share)).alias("rank"))
+    cut = F.broadcast(cut_keys(df, keys, ranks).select(F.col("key").alias("_cut")))  # at most one row
+    # without a row to be tested (no rows, a share of 0) there is no cut
+    return df.join(cut, how="left").withColumn(
+        "split", F.when(order_key(keys) >= F.col("_cut"), "test").otherwise("train")).drop("_cut")
 
 
 def stratified_split(df: DataFrame, label: str, id_col: str, seed: str = "42",
@@ -86,22 +101,25 @@ def stratified_split(df: DataFrame, label: str, id_col: str, seed: str = "42",
     ``ceil(0.2 n_c)`` rows of each class are held out, the last half of
     those (rounded up) is 'test', the rest 'val'.
 
-    The per-class rank is a global prefix count over (label, hash, id) minus
-    the sizes of earlier classes, so the majority class is not ranked in one
-    task."""
+    Per class only the two keys are looked for at which 'val' and 'test' begin;
+    a row's label is a comparison with them.  Rows of one id are together.  A
+    null label is a class like others."""
     h = F.md5(F.concat(F.col(id_col).cast("string"), F.lit(seed)))
-    d = df.withColumn("_h", h)
-    ranked = running_sums(d, [F.col(label), F.col("_h"), F.col(id_col)], {"_pos": F.lit(1)})
-    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    from pyspark.sql import Window
-    before = Window.orderBy(label).rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))  # one row per class
-    j = ranked.join(F.broadcast(sizes), label)
-    r = F.col("_pos") - F.col("_off")
-    k_temp = F.ceil(F.col("_n") * temp_share)
-    k_test = F.ceil(k_temp / 2)
-    split = F.when(r <= F.col("_n") - k_temp, "train").when(r <= F.col("_n") - k_test, "val").otherwise("test")
-    return j.withColumn("split", split).drop("_h", "_pos", "_n", "_off")
+    # the hash in numbers that a double holds exactly: 12 + 12 + 8 digits
+    keys = [F.conv(F.substring(h, at, size), 16, 10).cast("long") for at, size in ((1, 12), (13, 12), (25, 8))]
+    group = F.struct(F.col(label).alias("label"))
+    n = F.count(F.lit(1))
+    n_temp = F.ceil(n * temp_share)
+    ranks = df.groupBy(group.alias("_group")).agg(F.explode(F.array(
+        F.struct(F.lit("val").alias("name"), (n - n_temp).alias("rank")),
+        F.struct(F.lit("test").alias("name"), (n - F.ceil(n_temp / 2)).alias("rank")))).alias("_r")).select("_group", "_r.*")
+    cuts = cut_keys(df, keys, ranks, group).groupBy("_group").agg(
+        F.max(F.when(F.col("name") == "val", F.col("key"))).alias("_val"),
+        F.max(F.when(F.col("name") == "test", F.col("key"))).alias("_test"))
+    j = df.join(F.broadcast(cuts), group.eqNullSafe(F.col("_group")), "left")  # a row per class
+    key = order_key(keys)
+    split = F.when(key >= F.col("_test"), "test").when(key >= F.col("_val"), "val").otherwise("train")
+    return j.withColumn("split", split).drop("_group", "_val", "_test")
 
 
 def class_weight(df: DataFrame, label: str) -> DataFrame:

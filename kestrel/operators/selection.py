@@ -123,3 +123,49 @@ def mode(df: DataFrame, value: str) -> DataFrame:
     """One row ``mode``: the smallest of the most frequent values."""
     counts = df.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
     return counts.agg(F.min_by("_v", F.struct(-F.col("_n"), F.col("_v"))).cast("double").alias("mode"))
+
+
+def cut_keys(df: DataFrame, order: Sequence[Column], ranks: DataFrame, group: Column | None = None) -> DataFrame:
+    """(_group, name, key): the order keys at 0-based ranks of each group.
+
+    ``ranks`` are (_group, name, rank), few per group; a rank outside its group
+    has no row.  ``order`` are numbers that doubles hold exactly, first those
+    that decide; a null comes before every number.  ``key`` is a struct of them,
+    to be compared with ``order_key``.  Part by part, the value at the rank is
+    found by narrowing and the rank is taken on among the rows that tie, so no
+    row is sorted or written."""
+    g = F.lit(0) if group is None else group
+    parts = [f"_p{i}" for i in range(len(order))]
+    rows = df.select(g.alias("_g0"), *[p.alias(n) for p, n in zip(_parts(order), parts)])
+    at = ranks.select(F.col(_G).alias("_g0"), "name", F.col("rank").cast("long").alias("rank"))
+    at = at.where(F.col("rank") >= 0)
+    for i, part in enumerate(parts):
+        prefix = ["_g0", *parts[:i]]
+        here = [F.col(f"r.{c}").eqNullSafe(F.col(f"a.{c}")) for c in prefix]
+        at = at.checkpoint()
+        tied = F.broadcast(at.select(*prefix).distinct())  # as few as there are ranks
+        left = rows.alias("r").join(tied.alias("a"), here, "left_semi")
+        left = left.select(F.struct(*prefix).alias(_G), F.col(part).alias("_v"))
+        size = left.groupBy(_G).agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi"))
+        wanted = at.groupBy(F.struct(*prefix).alias("_w")).agg(F.collect_set("rank").alias("ranks"))  # few
+        first = size.join(wanted, F.col(_G).eqNullSafe(F.col("_w"))).select(
+            _G, "lo", "hi", F.lit(0).cast("long").alias("below"), "n",
+            F.filter("ranks", lambda r: r < F.col("n")).alias("ranks"))
+        found = values_at(left, first).select(F.col(_G).alias("_fg"), F.col("rank").alias("_fr"), "value")
+        at = at.join(found, F.struct(*prefix).eqNullSafe(F.col("_fg")) & (F.col("rank") == F.col("_fr")))
+        at = at.select(*prefix, "name", "rank", F.col("value").alias(part)).checkpoint()
+        ends = F.broadcast(at.select(F.struct(*prefix).alias("_eg"), F.col(part).alias("_end")).distinct())
+        below = left.join(ends, F.col(_G).eqNullSafe(F.col("_eg")) & (F.col("_v") < F.col("_end"))).groupBy(
+            "_eg", "_end").agg(F.count(F.lit(1)).alias("_below"))
+        at = at.join(below, F.struct(*prefix).eqNullSafe(F.col("_eg")) & (F.col(part) == F.col("_end")), "left").select(
+            *prefix, part, "name", (F.col("rank") - F.coalesce("_below", F.lit(0))).alias("rank"))
+    return at.select(F.col("_g0").alias(_G), "name", F.struct(*parts).alias("key")).checkpoint()
+
+
+def _parts(order: Sequence[Column]) -> list[Column]:
+    return [F.coalesce(p.cast("double"), F.lit(-1.7e308)) for p in order]
+
+
+def order_key(order: Sequence[Column]) -> Column:
+    """A row's own key, comparable with those of ``cut_keys``."""
+    return F.struct(*[p.alias(f"_p{i}") for i, p in enumerate(_parts(order))])
