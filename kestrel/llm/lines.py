@@ -183,7 +183,8 @@ def line_links(distinct: DataFrame, threshold: int, near_chars: int, most_chars:
                   .select("id", "k.*"), "line-keys")
     heads = rows.groupBy("key").agg(F.min(F.when(F.col("own"), F.col("id"))).alias("first"),
                                     F.min("id").alias("lo"), F.max("id").alias("hi"))
-    heads = heads.where("first IS NOT NULL AND lo < hi").select("key", "first")
+    # written, so that the join is planned with their size: most keys have one line
+    heads = stored(heads.where("first IS NOT NULL AND lo < hi").select("key", "first"), "line-heads")
     shared = stored(rows.join(heads, "key").distinct(), "line-buckets")
 
     def texts(pairs: DataFrame) -> DataFrame:
