@@ -6,7 +6,10 @@ from pyspark.sql import functions as F
 
 from kestrel.operators import relational as rel
 from kestrel.plans.registry import query
+from kestrel.quality import erasure as er
 from kestrel.quality import governance as gov
+from kestrel.session import shared_path
+from kestrel.sources import merge
 
 SALT = "salt-"
 ACCESS_SUBJECTS = [1, 2, 3]
@@ -87,23 +90,22 @@ UNION ALL SELECT 'transactions', (SELECT count(*) FROM tx), (SELECT count(*) FRO
 UNION ALL SELECT 'predictions', (SELECT count(*) FROM preds), (SELECT count(*) FROM p2),
        (SELECT count(*) FROM p2 WHERE transaction_id NOT IN (SELECT transaction_id FROM t2))""")
 def gov_erase(v):
-    cust = v.t.customer
-    erased = cust.where(F.col("c_custkey") % 50 == 0).select("c_custkey")
-    left = gov.erase_subjects(cust, "c_custkey", [("transactions", v.tx, "client_id")], erased)
-    c2, t2 = left["parent"], left["transactions"]
-    p2 = v.preds.join(t2.select("transaction_id"), "transaction_id", "left_semi")
-
-    def counts(name, before, after, orphans):
-        return before.agg(F.count(F.lit(1)).alias("n_before")).crossJoin(
-            after.agg(F.count(F.lit(1)).alias("n_after"))).crossJoin(
-            orphans.agg(F.count(F.lit(1)).alias("n_orphans"))).select(
-            F.lit(name).alias("table_name"), "n_before", "n_after", "n_orphans")
-
-    o_t = t2.join(c2.withColumnRenamed("c_custkey", "client_id"), "client_id", "left_anti")
-    o_p = p2.join(t2.select("transaction_id"), "transaction_id", "left_anti")
-    return (counts("customer", cust, c2, c2.join(v.t.nation, c2["c_nationkey"] == v.t.nation["n_nationkey"], "left_anti"))
-            .unionByName(counts("transactions", v.tx, t2, o_t))
-            .unionByName(counts("predictions", v.preds, p2, o_p)))
+    """Erase customers from stored tables, with the rows that refer to them at
+    any depth; the counts are those of the files read back."""
+    def keyed(name, df, key):
+        path = shared_path(v.spark, f"erase-{name}")
+        merge.create_keyed(df, path, merge.key_range(key, 1_000_000))
+        return er.Table(path, key)
+
+    tables = {"nation": keyed("nation", v.t.nation, "n_nationkey"),
+              "customer": keyed("customer", v.t.customer, "c_custkey"),
+              "transactions": keyed("transactions", v.tx, "transaction_id"),
+              "predictions": keyed("predictions", v.preds, "transaction_id")}
+    links = [er.Link("customer", "c_nationkey", "nation"), er.Link("transactions", "client_id", "customer"),
+             er.Link("predictions", "transaction_id", "transactions")]
+    subjects = v.t.customer.where(F.col("c_custkey") % 50 == 0).select("c_custkey")
+    return er.erase(v.spark, tables, links, "customer", subjects).select(
+        "table_name", "n_before", "n_after", "n_orphans")
 
 
 @query("gov_ttl_purge", oracle="""

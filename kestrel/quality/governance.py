@@ -1,12 +1,9 @@
 """Privacy and governance operators on tables: tokenisation, masking,
-column classification, subject access, erasure with cascade, retention
-purge, request SLAs, alert backlog, extraction-volume anomalies and a
+column classification, subject access, retention purge, request SLAs, alert backlog, extraction-volume anomalies and a
 composite quality score.  All are column expressions and aggregates."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,20 +39,6 @@ def classify(columns: DataFrame) -> DataFrame:
     return columns.select("table_name", "column_name", level.alias("level"), control.alias("control"))
 
 
-def erase_subjects(parents: DataFrame, parent_key: str, children: Sequence[tuple[str, DataFrame, str]],
-                   erased: DataFrame) -> dict[str, DataFrame]:
-    """Remove erased subjects and cascade to child tables (left anti joins).
-
-    ``children``: (name, frame, foreign-key column).  Returns the rewritten
-    frames keyed by name (parent under ``'parent'``).
-    """
-    e = erased.select(F.col(erased.columns[0]).alias(parent_key))
-    out = {"parent": parents.join(e, parent_key, "left_anti")}
-    for name, df, fk in children:
-        out[name] = df.join(e.withColumnRenamed(parent_key, fk), fk, "left_anti")
-    return out
-
-
 def purge_older_than(df: DataFrame, ts: str, as_of: Column, days: int) -> DataFrame:
     return df.where(F.col(ts) >= as_of - F.expr(f"INTERVAL {int(days)} DAYS"))
 

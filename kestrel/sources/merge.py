@@ -29,7 +29,7 @@ def _with_part(df: DataFrame, part: Column) -> DataFrame:
     return df.withColumn(PART, F.coalesce(part.cast("long"), F.lit(-1)))  # null keys: a partition of their own
 
 
-def _overwrite_parts(df: DataFrame, path: str) -> None:
+def overwrite_parts(df: DataFrame, path: str) -> None:
     (df.repartition(PART).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(PART).parquet(path))
 
@@ -37,7 +37,7 @@ def _overwrite_parts(df: DataFrame, path: str) -> None:
 def create_keyed(df: DataFrame, path: str, part: Column) -> None:
     """Write a keyed table in partitions of ``part``, a function of the key.
     A partition is one file; choose ``part`` so that it fits a task."""
-    _overwrite_parts(_with_part(df, part), path)
+    overwrite_parts(_with_part(df, part), path)
 
 
 def merge_changes(changes: DataFrame, path: str, key: str, part: Column, version: str = "version",
@@ -65,7 +65,7 @@ def merge_changes(changes: DataFrame, path: str, key: str, part: Column, version
     both = old.unionByName(new.select(*old.columns)).repartition(PART)
     staged = shared_path(spark, "merge-parts")
     latest_change(both, [PART, key], version, op).select(*columns, PART).write.parquet(staged)
-    _overwrite_parts(spark.read.parquet(staged), path)
+    overwrite_parts(spark.read.parquet(staged), path)
     return touched
 
 
