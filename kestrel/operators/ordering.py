@@ -1,8 +1,8 @@
 """Total-order operations without a single-partition window.
 
 A window with no ``partitionBy`` moves every row into one task.  For
-running sums / row numbers over a global order (PR curves, chronological
-splits, exact quantiles) we instead
+running sums / row numbers over a global order (PR curves, exact quantiles) we
+instead
 
 1. range-partition the rows on the order key (Spark samples the key to cut
    balanced ranges),
