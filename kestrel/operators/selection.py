@@ -145,20 +145,27 @@ def cut_keys(df: DataFrame, order: Sequence[Column], ranks: DataFrame, group: Co
         at = at.checkpoint()
         tied = F.broadcast(at.select(*prefix).distinct())  # as few as there are ranks
         left = rows.alias("r").join(tied.alias("a"), here, "left_semi")
-        left = left.select(F.struct(*prefix).alias(_G), F.col(part).alias("_v"))
+        later = parts[i + 1:]
+        left = left.select(F.struct(*prefix).alias(_G), F.col(part).alias("_v"),
+                           F.struct(F.lit(0), *later).alias("_later"))
         size = left.groupBy(_G).agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi"))
         wanted = at.groupBy(F.struct(*prefix).alias("_w")).agg(F.collect_set("rank").alias("ranks"))  # few
         first = size.join(wanted, F.col(_G).eqNullSafe(F.col("_w"))).select(
             _G, "lo", "hi", F.lit(0).cast("long").alias("below"), "n",
             F.filter("ranks", lambda r: r < F.col("n")).alias("ranks"))
-        found = values_at(left, first).select(F.col(_G).alias("_fg"), F.col("rank").alias("_fr"), "value")
+        found = values_at(left.drop("_later"), first).select(F.col(_G).alias("_fg"), F.col("rank").alias("_fr"), "value")
         at = at.join(found, F.struct(*prefix).eqNullSafe(F.col("_fg")) & (F.col("rank") == F.col("_fr")))
         at = at.select(*prefix, "name", "rank", F.col("value").alias(part)).checkpoint()
         ends = F.broadcast(at.select(F.struct(*prefix).alias("_eg"), F.col(part).alias("_end")).distinct())
-        below = left.join(ends, F.col(_G).eqNullSafe(F.col("_eg")) & (F.col("_v") < F.col("_end"))).groupBy(
-            "_eg", "_end").agg(F.count(F.lit(1)).alias("_below"))
-        at = at.join(below, F.struct(*prefix).eqNullSafe(F.col("_eg")) & (F.col(part) == F.col("_end")), "left").select(
-            *prefix, part, "name", (F.col("rank") - F.coalesce("_below", F.lit(0))).alias("rank"))
+        below = left.join(ends, F.col(_G).eqNullSafe(F.col("_eg")) & (F.col("_v") <= F.col("_end"))).groupBy(
+            "_eg", "_end").agg(F.count_if(F.col("_v") < F.col("_end")).alias("_below"),
+                               F.count_if(F.col("_v") == F.col("_end")).alias("_ties"),
+                               F.max(F.when(F.col("_v") == F.col("_end"), F.col("_later"))).alias("_later"))
+        at = at.join(below, F.struct(*prefix).eqNullSafe(F.col("_eg")) & (F.col(part) == F.col("_end"))).checkpoint()
+        if at.where("_ties > 1").isEmpty():  # the cuts are single rows, with their later parts
+            at = at.select(*prefix, part, "name", *[F.col(f"_later.{c}").alias(c) for c in later])
+            break
+        at = at.select(*prefix, part, "name", (F.col("rank") - F.col("_below")).alias("rank"))
     return at.select(F.col("_g0").alias(_G), "name", F.struct(*parts).alias("key")).checkpoint()
 
 
