@@ -2,7 +2,7 @@
 
 import numpy as np
 import pytest
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 
 from kestrel.modeling import quantile_boost as Q
 
@@ -72,6 +72,19 @@ def test_bundle_transform_and_importances(spark, tmp_path):
     assert sum(shares.values()) == pytest.approx(1) and shares["flat"] == 0 and shares["c"] > 0
 
 
+@pytest.mark.parametrize("different", [Q.BINS - 1, Q.BINS, Q.BINS + 1, 400])
+def test_many_different_values_fit_the_bins(spark, different):
+    """Where all quantiles differ there is one cut too many."""
+    n = 4 * different
+    x = np.stack([np.arange(n) % different / 8, np.arange(n) % 2], axis=1).astype(float)
+    df = frame(spark, x, x[:, 0] ** 2)
+    edges = Q.bin_edges(df.select(vector_to_array("features").alias("_x")), 2)
+    assert len(edges[0]) == min(different, Q.BINS) - 1 and len(edges[1]) == 1
+    y = x[:, 0] ** 2
+    model = Q.fit(df, ALPHAS, rounds=2, depth=3, learning_rate=1.0)["P50"]
+    assert np.abs(model.predict(x) - y).mean() < 0.3 * np.abs(np.median(y) - y).mean()
+
+
 def test_no_rows_and_one_value(spark):
     x, y = data(30)
     assert Q.fit(frame(spark, x, y).where("label IS NULL"), ALPHAS, rounds=2) == {}
