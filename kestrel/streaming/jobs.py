@@ -104,62 +104,69 @@ def dedupe(stream: DataFrame, key: str, ts: str, watermark: str = "1 hour") -> D
 
 
 # -- arbitrary state: per-user velocity ------------------------------------------
-VELOCITY_OUT = "event_id long, user_id long, ts timestamp, last_1h_count long"
-VELOCITY_STATE = "times array<long>, pending_ids array<long>, pending_times array<long>"
+VELOCITY_BUCKETS = 256
+VELOCITY_ROW = "user long, flags long, t long, id long"       # flags: 1 no user_id, 2 no event_id, 4 not yet emitted
+VELOCITY_STATE = "users array<long>, flags array<long>, times array<long>, ids array<long>"
 
 
 def _velocity(window_s: int):
-    """Event-time exact trailing count per user.
+    """Event-time exact trailing count per user, for a bucket of users at once.
 
-    State per user: epoch seconds of the events that can still fall inside
-    some future window, plus the events not yet emitted.  An event is
+    State per bucket: user and epoch second of the events that can still fall
+    inside some future window, and those not yet emitted.  An event is
     emitted once the watermark has passed its time (so every earlier event
-    has arrived); its count covers all kept events with a time in
+    has arrived); its count covers the user's kept events with a time in
     ``[t - window_s, t]`` (whole seconds, ties included), matching the batch
-    ``rangeBetween(-window_s, 0)`` window.  Kept times older than the
-    earliest pending time minus the window are pruned, so state stays
-    bounded by one window of events per user.
+    ``rangeBetween(-window_s, 0)`` window.  Times older than the watermark
+    minus the window are pruned, so state stays bounded by one window and the
+    events behind the watermark.
     """
-    import bisect
+    import numpy as np
 
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.exists:
-            times, p_ids, p_times = (list(x) for x in state.get)
-        else:
-            times, p_ids, p_times = [], [], []
-        for pdf in pdfs:
-            secs = (pd.to_datetime(pdf["ts"]).astype("int64") // 10**9).tolist()
-            times.extend(secs)
-            p_ids.extend(int(x) for x in pdf["event_id"])
-            p_times.extend(secs)
-        times.sort()
+        names = ["user", "flags", "t", "id"]
+        parts = [np.array(state.get, dtype=np.int64)] if state.exists else []
+        parts += [pdf[names].to_numpy(dtype=np.int64).T for pdf in pdfs if len(pdf)]
+        user, flags, t, ids = np.concatenate(parts, axis=1) if parts else np.zeros((4, 0), dtype=np.int64)
+        order = np.lexsort((t, user, flags & 1))
+        user, flags, t, ids = user[order], flags[order], t[order], ids[order]
         wm = state.getCurrentWatermarkMs() // 1000
-        rows, keep_ids, keep_times = [], [], []
-        for eid, t in zip(p_ids, p_times):
-            if t <= wm:
-                n = bisect.bisect_right(times, t) - bisect.bisect_left(times, t - window_s)
-                rows.append((eid, int(key[0]), pd.Timestamp(t, unit="s"), n))
-            else:
-                keep_ids.append(eid)
-                keep_times.append(t)
-        horizon = (min(keep_times) if keep_times else wm) - window_s
-        times = [t for t in times if t >= horizon]
-        if times or keep_ids:
-            state.update((times, keep_ids, keep_times))
-            if keep_times:
-                state.setTimeoutTimestamp(min(keep_times) * 1000 + 1000)
-        else:
+        waits = flags & 4 > 0
+        out, keep = waits & (t <= wm), (waits & (t > wm)) | (t >= wm - window_s)
+        n = np.zeros(0, dtype=np.int64)
+        if out.any():
+            # users one after the other on one line, further apart than a window
+            first = np.r_[True, (user[1:] != user[:-1]) | (flags[1:] & 1 != flags[:-1] & 1)]
+            at = (np.cumsum(first) - 1) * (t.max() - t.min() + window_s + 1) + (t - t.min())
+            n = np.searchsorted(at, at[out], "right") - np.searchsorted(at, at[out] - window_s, "left")
+        if keep.any():
+            late = waits & ~out
+            state.update(tuple(x.tolist() for x in (user[keep], np.where(late, flags, flags & 3)[keep], t[keep], ids[keep])))
+            if late.any():
+                state.setTimeoutTimestamp(int(t[late].min()) * 1000 + 1000)
+        elif state.exists:
             state.remove()
-        yield pd.DataFrame(rows, columns=["event_id", "user_id", "ts", "last_1h_count"])
+        yield pd.DataFrame({"user": user[out], "flags": flags[out], "t": t[out], "id": ids[out], "n": n})
     return fn
 
 
-def velocity_state(events: DataFrame, window_s: int = 3600, watermark: str = "1 hour") -> DataFrame:
-    """Running count of each user's events in the trailing window with
-    per-user state (``applyInPandasWithState``, event-time timeout)."""
-    return (events.select("event_id", "user_id", "ts").withWatermark("ts", watermark).groupBy("user_id")
-            .applyInPandasWithState(_velocity(window_s), VELOCITY_OUT, VELOCITY_STATE, "append",
-                                    GroupStateTimeout.EventTimeTimeout))
+def velocity_state(events: DataFrame, window_s: int = 3600, watermark: str = "1 hour",
+                   buckets: int = VELOCITY_BUCKETS) -> DataFrame:
+    """Running count of each user's events in the trailing window with state
+    (``applyInPandasWithState``, event-time timeout).  The state is kept per
+    bucket of users: a call costs some milliseconds, so a call for each user
+    and batch would cost far more than the counts.  Events without a time
+    are left out."""
+    e = events.where(F.col("ts").isNotNull()).withWatermark("ts", watermark).select(
+        "ts", F.pmod(F.xxhash64("user_id"), F.lit(buckets)).alias("bucket"),
+        F.coalesce("user_id", F.lit(0)).cast("long").alias("user"),
+        (F.col("user_id").isNull().cast("long") + 2 * F.col("event_id").isNull().cast("long") + 4).alias("flags"),
+        F.unix_seconds("ts").alias("t"), F.coalesce("event_id", F.lit(0)).cast("long").alias("id"))
+    counted = e.groupBy("bucket").applyInPandasWithState(
+        _velocity(window_s), f"{VELOCITY_ROW}, n long", VELOCITY_STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    return counted.select(F.when(F.col("flags").bitwiseAND(2) == 0, F.col("id")).alias("event_id"),
+                          F.when(F.col("flags").bitwiseAND(1) == 0, F.col("user")).alias("user_id"),
+                          F.timestamp_seconds("t").alias("ts"), F.col("n").alias("last_1h_count"))
 
 
 # -- late data ---------------------------------------------------------------------

@@ -154,3 +154,28 @@ def test_reference_api_requests(spark, views):
     out = scoring.score(scoring.enrich(good, views.weather_hourly), models, m.DELAY_FEATURES).orderBy("id").collect()
     assert [(r.bus_nbr, r.stop_sequence, r.weather_status) for r in out] == [("541", 1, "weather_unavailable")] * 2
     assert all(r.prediction_P50 <= r.prediction_P90 for r in out)
+
+
+def test_velocity_state_equals_the_window(spark, tmp_path):
+    """Users of a bucket don't mix, null users and ids are kept, and there is
+    one state per bucket, not per user."""
+    from pyspark.sql import Window
+    from kestrel.streaming import jobs
+    src, out, ck = (str(tmp_path / n) for n in ("src", "out", "ck"))
+    e = spark.range(4000).select(
+        F.when(F.col("id") % 50 != 7, F.col("id")).alias("event_id"),
+        F.timestamp_seconds(1_700_000_000 + F.col("id") * 7 + F.pmod(F.xxhash64("id"), F.lit(900))).cast("timestamp_ntz").alias("ts"),
+        F.when(F.col("id") % 11 == 0, F.lit(0)).when(F.col("id") % 13 != 0, F.pmod(F.hash("id"), F.lit(600))).cast("long").alias("user_id"),
+        F.lit("purchase").alias("event_type"), F.lit(1.0).alias("value"), F.lit(None).cast("string").alias("props"))
+    end = e.limit(1).withColumns({"ts": F.lit("2030-01-01 00:00:00").cast("timestamp_ntz"), "user_id": F.lit(-1).cast("long")})
+    for part in (e.where("id < 1500"), e.where("id >= 1500 AND id < 3000"), e.where("id >= 3000"), end, end):
+        part.coalesce(1).write.mode("append").parquet(src)
+    s = jobs.event_stream(spark, src, files_per_trigger=1)
+    jobs.run_to_files(jobs.velocity_state(s), out, ck)
+    t = F.unix_seconds(F.col("ts").cast("timestamp"))
+    w = Window.partitionBy("user_id").orderBy(t).rangeBetween(-3600, 0)
+    want = e.select("event_id", "user_id", t.alias("t"), F.count(F.lit(1)).over(w).alias("n"))
+    got = spark.read.parquet(out).where("user_id IS NULL OR user_id <> -1").select(
+        "event_id", "user_id", F.unix_seconds("ts").alias("t"), F.col("last_1h_count").alias("n"))
+    assert got.count() == 4000 and not got.exceptAll(want).count() and not want.exceptAll(got).count()
+    assert 0 < spark.read.format("statestore").load(ck).count() <= jobs.VELOCITY_BUCKETS
