@@ -19,6 +19,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.operators.selection import quantiles
+from kestrel.session import shared_path
+
+PART_ROWS = 1 << 15     # rows that a task of a fit has at least
 
 
 # -- baselines ---------------------------------------------------------------
@@ -49,6 +52,19 @@ def assemble(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataF
     return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="keep").transform(df)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back.  Fits and scoring
+    go over their rows several times and would repeat the joins behind them.
+    A fit takes long for few bytes, so the rows are spread over all cores
+    where file sizes would use fewer."""
+    spark = df.sparkSession
+    path = shared_path(spark, name)
+    df.write.parquet(path)
+    back = spark.read.parquet(path)
+    parts = min(3 * spark.sparkContext.defaultParallelism, back.count() // PART_ROWS)
+    return back.repartition(parts) if parts > back.rdd.getNumPartitions() else back
+
+
 def positive_probability(col: str = "probability") -> Column:
     return vector_to_array(F.col(col))[1]
 

@@ -231,10 +231,10 @@ def ml_quantile_boost(v):
 
 
 def _fraud_training(v):
-    from kestrel.modeling.models import assemble
+    from kestrel.modeling.models import assemble, stored
     f = fraud_features(v)
     split = _stratified(v).select("transaction_id", "split")
-    f = f.join(split, "transaction_id")
+    f = stored(f.join(split, "transaction_id"), "fraud-training")
     w = fe.class_weight(f.where(F.col("split") == "train"), "label").select("scale_pos_weight")
     f = f.crossJoin(F.broadcast(w))  # one row
     f = fe.with_weight(f, "label", F.col("scale_pos_weight"))
