@@ -255,8 +255,14 @@ def ml_soft_vote(v):
                     F.round("score", 6).alias("score"))
 
 
+def _stored_delays(v):
+    """The training frame, written once: each of the compared models reads it several times."""
+    from kestrel.modeling.models import stored
+    return stored(delay_training_frame(v), "delay-training")
+
+
 def _delay_classification(v):
-    d = delay_training_frame(v)
+    d = _stored_delays(v)
     d = d.withColumn("is_delayed", (F.col("label") > 0.1).cast("int"))
     # classes weigh the same: rows / (2 * rows of the class)
     n = d.where(F.col("split") == "train").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("is_delayed") == 1).alias("p"))
@@ -287,7 +293,7 @@ def ml_reg_compare(v):
     the chronological test split."""
     from kestrel.modeling import evaluate as ev
     from kestrel.modeling.models import regressors
-    d = delay_training_frame(v)
+    d = _stored_delays(v)
     train, test = d.where(F.col("split") == "train"), d.where(F.col("split") == "test")
     out = None
     for name, est in regressors("label", n_trees=BOOSTED_TREES, forest=FOREST_TREES).items():
