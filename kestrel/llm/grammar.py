@@ -39,6 +39,8 @@ DOCS_PER_CONTAINER = 4096   # a container is closed once it holds so many docume
 SEGMENT_IDS = 1 << 20       # or so many ids
 MIN_COUNT = 16              # least count of a pair that gets a rule
 WIDE = 8                    # a round takes pairs down to the most frequent count over this
+BINS_LOG2 = 18              # bins in which the pairs of a container are counted first
+MEMO_LOG2 = 22              # slots of a worker's table of chunks (32 bytes each): few new chunks drive out others
 
 CONTAINERS = "shard long, segment int, n_docs int, n_ids long, n_symbols long, payload binary"
 DOCUMENTS = ("shard long, segment int, doc_id long, start_in_segment long, n_tokens long, ids_crc32 long, "
@@ -47,83 +49,116 @@ DOCUMENTS = ("shard long, segment int, doc_id long, start_in_segment long, n_tok
 
 # -- one container ----------------------------------------------------------------
 
+def _bins(key: np.ndarray) -> np.ndarray:
+    """A bin of every pair."""
+    if key.dtype == np.uint32:
+        return (key * np.uint32(0x9E3779B1)) >> np.uint32(32 - BINS_LOG2)
+    return (key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BINS_LOG2)
+
+
+def _frequent_pairs(key: np.ndarray, min_count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(places, pairs, number of each place's pair): the pairs that occur
+    ``min_count`` times in ``key``, ascending, and all places of theirs."""
+    places, bins = np.arange(len(key)), None
+    if len(key) > 1 << (BINS_LOG2 - 2):     # a rare pair seldom shares a bin that is full enough: less to sort
+        bins = _bins(key).astype(np.int64)
+        places = np.flatnonzero((np.bincount(bins, minlength=1 << BINS_LOG2) >= min_count).take(bins))
+        key, bins = key.take(places), bins.take(places)
+    ordered = np.sort(key)
+    new = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])[:len(key)])
+    pairs = ordered[new[np.diff(new, append=len(ordered)) >= min_count]]
+    if not len(pairs):
+        return places[:0], pairs, places[:0]
+    if bins is None:
+        nth = np.minimum(np.searchsorted(pairs, key), len(pairs) - 1)
+    else:                                   # most places find their pair by its bin
+        table = np.zeros(1 << BINS_LOG2, dtype=np.int64)
+        table[_bins(pairs)] = np.arange(len(pairs))
+        nth = table.take(bins)
+        other = np.flatnonzero(pairs.take(nth) != key)
+        nth[other] = np.minimum(np.searchsorted(pairs, key.take(other)), len(pairs) - 1)
+    found = np.flatnonzero(pairs.take(nth) == key)
+    return places.take(found), pairs, nth.take(found)
+
+
 def compress(ids: np.ndarray, doc_sizes: np.ndarray, base: int, min_count: int = MIN_COUNT
              ) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """(symbols, symbols per document, (left, right) rows of each round)."""
-    # a pair is one number; while all symbols fit 16 bits it has 32 (half the
-    # work of sorting), later 64
+    """(symbols, symbols per document, (left, right) rows of each round).
+
+    Places are linked to their neighbours, so a round touches only the places
+    of frequent pairs: a pair of old symbols never becomes more frequent, and
+    one with a new symbol stands beside a place that was just replaced."""
+    n = len(ids)
     used = np.flatnonzero(np.bincount(ids, minlength=1))    # symbols are numbered anew: used ids, then rules
-    dense = np.zeros(int(ids.max(initial=0)) + 1, dtype=np.int64)
+    dense = np.zeros(int(ids.max(initial=0)) + 1, dtype=np.uint32)
     dense[used] = np.arange(len(used))
-    half, kind = (16, np.uint32) if len(used) < (1 << 16) - 1 else (32, np.uint64)
-    s = dense[ids].astype(kind)
-    last = np.zeros(len(s), dtype=bool)
-    last[np.cumsum(doc_sizes[doc_sizes > 0]) - 1] = True
+    s = np.append(dense.take(ids), np.uint32(0))
+    doc_ends = np.cumsum(doc_sizes[doc_sizes > 0])
+    after, before = np.arange(1, n + 2), np.arange(-1, n)   # n: none, at the ends of documents
+    after[doc_ends - 1] = n
+    before[np.concatenate([[0], doc_ends])] = n
+    here, touched = np.ones(n, dtype=bool), np.zeros(n + 1, dtype=bool)
+    never = np.iinfo(np.int32).max
+    rank = np.full(n + 1, never, dtype=np.int32)
     made: list[np.ndarray] = []
     n_rules = 0
-    never = np.iinfo(np.int32).max
-    settled = None      # after a round that took all frequent pairs: (first new symbol, begins, ends)
-    while len(s) >= 2:
-        none = np.iinfo(kind).max
-        key = (s[:-1] << kind(half)) | s[1:]
-        key[last[:-1]] = none
-        counted = key
-        if settled is not None:
-            # other pairs than those with a new symbol or of the last round can't
-            # have become frequent; whether a place counts depends on its pair alone
-            fresh_from, begins, ends = settled
-            old = s < fresh_from
-            low = np.where(old, s, 0)
-            counted = key[~(old[:-1] & old[1:]) | (begins[low[:-1]] & ends[low[1:]])]
-            if not len(counted):
-                break
-        ordered = np.sort(counted)
-        new = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-        pairs, times = ordered[new], np.diff(new, append=len(ordered))
-        if pairs[-1] == none:
-            pairs, times = pairs[:-1], times[:-1]
-        if not len(times) or times.max() < min_count:
+    low, high = np.uint64((1 << 32) - 1), np.uint64(32)
+    pairs = np.zeros(0, dtype=np.uint64)                    # that were frequent once: two symbols of 32 bits
+    live = pair = np.zeros(0, dtype=np.int64)               # their places, and which pair stands there
+    fresh = np.flatnonzero(after[:n] < n)                   # places whose pair was not counted yet
+    while True:
+        if len(fresh):
+            left, right = s.take(fresh), s.take(after.take(fresh))
+            if len(used) + n_rules <= 1 << 16:              # half the work of sorting
+                places, found, nth = _frequent_pairs(left << np.uint32(16) | right, min_count)
+                found = (found >> np.uint32(16)).astype(np.uint64) << high | found & np.uint32((1 << 16) - 1)
+            else:
+                places, found, nth = _frequent_pairs(left.astype(np.uint64) << high | right, min_count)
+            live, pair = np.concatenate([live, fresh.take(places)]), np.concatenate([pair, nth + len(pairs)])
+            pairs = np.concatenate([pairs, found])
+        times = np.bincount(pair, minlength=len(pairs))
+        if times.max(initial=0) < min_count:
             break
-        least = max(min_count, times.max() // WIDE)
-        frequent = np.flatnonzero(times >= least)
-        if half == 16 and len(used) + n_rules + len(frequent) >= (1 << 16) - 1:
-            half, kind = 32, np.uint64
-            s = s.astype(kind)
-            continue
-        frequent = frequent[np.argsort(-times[frequent], kind="stable")]
-        chosen = pairs[frequent]                      # by rank
-        by_key = np.argsort(chosen).astype(np.int32)
-        in_order = chosen[by_key]
-        # most pairs are out by their first symbol alone
-        begins = np.zeros(int(s.max()) + 1, dtype=bool)
-        begins[(chosen >> kind(half)).astype(np.int64)] = True
-        may = np.flatnonzero(begins[s[:-1]])
-        at = np.minimum(np.searchsorted(in_order, key[may]), len(chosen) - 1)
-        rank = np.full(len(key), never, dtype=np.int32)
-        rank[may] = np.where(in_order[at] == key[may], by_key[at], never)
-        before, after = np.concatenate([[never], rank[:-1]]), np.concatenate([rank[1:], [never]])
-        # only places with a rank need a look: how far is each in a run of its own pair
-        some = np.flatnonzero(rank < never)
-        fresh = np.flatnonzero(np.concatenate([[True], (np.diff(some) > 1) | (rank[some[1:]] != rank[some[:-1]])]))
-        odd = np.arange(len(some)) - np.repeat(fresh, np.diff(fresh, append=len(some)))
-        own = rank[some]
-        where = some[(odd % 2 == 0) & ((odd > 0) | (own < before[some])) & (own <= after[some])]
-        s[where] = (len(used) + n_rules + rank[where]).astype(kind)
-        last[where] = last[where + 1]
-        keep = np.ones(len(s), dtype=bool)
-        keep[where + 1] = False
-        s, last = s[keep], last[keep]
-        made.append(np.stack([chosen >> kind(half), chosen & kind((1 << half) - 1)], axis=1).astype(np.int64))
-        if least == min_count:
-            begin, end = (np.zeros(len(used) + n_rules, dtype=bool) for _ in range(2))
-            begin[made[-1][:, 0]] = end[made[-1][:, 1]] = True
-            settled = len(used) + n_rules, begin, end
+        chosen = np.flatnonzero(times >= max(min_count, times.max() // WIDE))
+        chosen = chosen[np.lexsort((pairs[chosen], -times[chosen]))]        # by rank
+        rank_of = np.full(len(pairs), never, dtype=np.int32)
+        rank_of[chosen] = np.arange(len(chosen))
+        own = rank_of.take(pair)
+        ranked = np.flatnonzero(own < never)
+        in_order = np.sort(live.take(ranked) << 32 | own.take(ranked))
+        some, own = in_order >> 32, in_order & never
+        follow = after.take(some)
+        # in places that compete, how far is each in a run of its own pair
+        first = np.flatnonzero(np.concatenate([[True], (follow[:-1] != some[1:]) | (own[1:] != own[:-1])]))
+        odd = np.arange(len(some)) - np.repeat(first, np.diff(first, append=len(some)))
+        rank[some] = own
+        wins = np.flatnonzero((odd % 2 == 0) & ((odd > 0) | (own < rank.take(before.take(some))))
+                              & (own <= rank.take(follow)))
+        rank[some] = never
+        where, gone = some.take(wins), follow.take(wins)
+        s[where] = own.take(wins) + (len(used) + n_rules)
+        here[gone] = False
+        beyond = after.take(gone)
+        after[where] = beyond
+        before[beyond] = where
+        before[n] = n
+        made.append(np.stack([pairs[chosen] >> high, pairs[chosen] & low], axis=1).astype(np.int64))
         n_rules += len(chosen)
-    ends = np.flatnonzero(last) + 1
+        # the places replaced and those before them hold another pair now
+        touched[where] = touched[n] = True
+        ahead = before.take(where)
+        ahead = ahead.take(np.flatnonzero(~touched.take(ahead)))
+        touched[ahead] = touched[gone] = True
+        keep = np.flatnonzero(~touched.take(live) & (times >= min_count).take(pair))
+        live, pair = live.take(keep), pair.take(keep)
+        touched[where] = touched[ahead] = touched[gone] = False
+        fresh = np.concatenate([where, ahead])
+        fresh = fresh.take(np.flatnonzero(after.take(fresh) < n))
+    left = np.flatnonzero(here)
     per = np.zeros(len(doc_sizes), dtype=np.int64)
-    per[doc_sizes > 0] = np.diff(ends, prepend=0)
+    per[doc_sizes > 0] = np.diff(np.searchsorted(left, doc_ends), prepend=0)
     back = np.concatenate([used, base + np.arange(n_rules)])
-    return back[s.astype(np.int64)], per, [back[rows] for rows in made]
+    return back.take(s.take(left)), per, [back.take(rows) for rows in made]
 
 
 def pack_container(doc_ids: list[int | None], doc_sizes: np.ndarray, ids: np.ndarray, base: int) -> tuple[bytes, int]:
@@ -219,7 +254,7 @@ def write(docs: DataFrame, tokenizer: str, end_id: int = 2, base: int = 50_257,
     def run(batches):
         import pyarrow as pa
         from pyspark import TaskContext
-        memo = P.byte_bpe(tokenizer)
+        memo = P.byte_bpe(tokenizer, MEMO_LOG2)
         shard, segment, held, n_ids, n_docs = TaskContext.get().partitionId(), 0, [], 0, 0
 
         def close():

@@ -14,6 +14,7 @@ from __future__ import annotations
 import sys
 import types
 from collections.abc import Callable, Iterator
+from itertools import compress
 
 import numpy as np
 
@@ -32,6 +33,8 @@ def _masks() -> np.ndarray:
 
 
 _MASK = _masks()
+_COUNT_BITS = np.uint64(16)     # a chunk of KEY_BYTES has fewer ids than 2**16
+_COUNT_MASK = np.uint64((1 << 16) - 1)
 
 
 def ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -56,32 +59,25 @@ class ChunkMemo:
                  break_bytes: bytes, break_marks: tuple[bytes, ...], cut_after_letter: bytes = b"",
                  slots_log2: int = 20):
         self.encode_joined = encode_joined
-        self.letter = np.zeros(256, dtype=bool)
-        self.letter[list(ASCII_LETTERS)] = True
-        self.cut = np.zeros(256, dtype=bool)
-        self.cut[list(cut_after_letter)] = True
         self.has_cut = bool(cut_after_letter)
-        self.kind = np.zeros(256, dtype=np.uint8)   # 1: white space, 2: may begin a mark
+        self.kind = np.zeros(256, dtype=np.uint8)   # bits; 1: white space, 2: may begin a mark, 4: letter, 8: cut
         self.kind[[m[0] for m in break_marks]] = 2
         self.kind[list(break_bytes)] = 1
+        self.kind[list(ASCII_LETTERS)] |= 4
+        self.kind[list(cut_after_letter)] |= 8
         self.marks = {size: [int.from_bytes(m) for m in break_marks if len(m) == size]
                       for size in {len(m) for m in break_marks}}
         self.shift = np.uint64(64 - slots_log2)
         n = 1 << slots_log2
-        self.key = np.zeros((3, n), dtype=np.uint64)
-        self.ptr = np.zeros(n, dtype=np.int64)
-        self.cnt = np.zeros(n, dtype=np.int32)
-        self.used = np.zeros(n, dtype=bool)
+        # a slot is one row, so that a look-up reads one place: three words of
+        # the chunk, then the place of its ids (shifted) and their number; 0: empty
+        self.rows = np.zeros((n, 4), dtype=np.uint64)
         self.pool = np.zeros(1 << 16, dtype=np.int32)
         self.filled = 0
 
     def _append(self, ids: np.ndarray) -> int:
-        if self.filled + len(ids) > len(self.pool):
-            if self.filled > 4 * len(self.used):  # mostly overwritten entries: forget all
-                self.used[:] = False
-                self.filled = 0
-            while self.filled + len(ids) > len(self.pool):
-                self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
+        while self.filled + len(ids) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
         at = self.filled
         self.pool[at:at + len(ids)] = ids
         self.filled += len(ids)
@@ -97,9 +93,9 @@ class ChunkMemo:
         if not n:
             return np.zeros(0, dtype=np.int32), np.zeros(len(texts), dtype=np.int64), empty, empty, empty
         buf = np.frombuffer(joined + bytes(KEY_BYTES), dtype=np.uint8)
-        kind = self.kind[buf[:n]]
-        space = kind == 1
-        lead = np.flatnonzero(kind == 2)
+        kind = self.kind.take(buf[:n])
+        space = (kind & 1).view(bool)
+        lead = np.flatnonzero(kind & 2)
         for size, codes in self.marks.items() if len(lead) else ():
             code = sum(buf[lead + i].astype(np.int64) << (8 * (size - 1 - i)) for i in range(size))
             at = lead[np.isin(code, codes)]
@@ -108,7 +104,7 @@ class ChunkMemo:
         first = space.copy()
         first[1:] &= ~space[:-1]
         if self.has_cut:
-            first[1:] |= self.cut[buf[1:n]] & self.letter[buf[:n - 1]]
+            first[1:] |= ((kind[1:] >> 3) & (kind[:-1] >> 2) & 1).view(bool)
         text_start = (np.cumsum(sizes) - sizes)[sizes > 0]
         first[text_start] = True
         starts = np.flatnonzero(first)
@@ -116,23 +112,27 @@ class ChunkMemo:
         del first, space, kind
 
         short = lens <= KEY_BYTES
-        words = np.lib.stride_tricks.as_strided(buf[:1].view(np.uint8), shape=(n + KEY_BYTES - 7, 8), strides=(1, 1))
-        at = np.minimum(lens, KEY_BYTES)
-        ks = []
-        for w in range(3):
-            raw = np.ascontiguousarray(words[np.minimum(starts + 8 * w, n + KEY_BYTES - 8)]).view(np.uint64)[:, 0]
-            ks.append(raw & _MASK[w][at])
-        h = (ks[0] * _MIX[0]) ^ (ks[1] * _MIX[1]) ^ (ks[2] * _MIX[2]) ^ (lens.astype(np.uint64) * _MIX[1])
+        # the eight bytes from every place on; few chunks reach into a second or third word
+        words = np.ndarray(n + KEY_BYTES - 7, dtype=np.uint64, buffer=buf, strides=(1,))
+        ks = [words[starts] & _MASK[0].take(np.minimum(lens, 8))]
+        h = (ks[0] * _MIX[0]) ^ (lens.astype(np.uint64) * _MIX[1])
+        for w in (1, 2):
+            k = np.zeros(len(starts), dtype=np.uint64)
+            far = np.flatnonzero(lens > 8 * w)
+            k[far] = words[np.minimum(starts.take(far) + 8 * w, n + KEY_BYTES - 8)] & _MASK[w].take(
+                np.minimum(lens.take(far), KEY_BYTES))
+            h[far] ^= k.take(far) * _MIX[w]
+            ks.append(k)
         h ^= h >> np.uint64(31)
         h *= _MIX[0]
         slot = (h >> self.shift).astype(np.int64)
 
-        hit = self.used[slot] & short
+        row = self.rows.take(slot, axis=0)
+        hit = (row[:, 3] != 0) & short
         for w in range(3):
-            hit &= self.key[w][slot] == ks[w]
-        ptr = np.where(hit, self.ptr[slot], 0)
-        cnt = np.where(hit, self.cnt[slot], 0).astype(np.int64)
-        source = self.pool
+            hit &= row[:, w] == ks[w]
+        ptr = np.where(hit, row[:, 3] >> _COUNT_BITS, 0).astype(np.int64)
+        cnt = np.where(hit, row[:, 3] & _COUNT_MASK, 0).astype(np.int64)
         miss = np.flatnonzero(~hit)
         if len(miss):
             begin, end = starts[miss], (starts + lens)[miss]
@@ -140,20 +140,17 @@ class ChunkMemo:
             where = {c: i for i, c in enumerate(dict.fromkeys(unknown))}
             nth = np.fromiter(map(where.__getitem__, unknown), dtype=np.int64, count=len(miss))
             ids, counts = self.encode_joined(list(where))
-            # this batch gathers from the old pool and the new ids side by side
-            source = np.concatenate([self.pool[:self.filled], ids.astype(np.int32)])
-            new_ptr = np.cumsum(counts) - counts
-            ptr[miss] = self.filled + new_ptr[nth]
+            new_ptr = self._append(ids) + np.cumsum(counts) - counts
+            ptr[miss] = new_ptr[nth]
             cnt[miss] = counts[nth]
             keep = miss[short[miss]]
-            base = self._append(ids)
             s, k = slot[keep], nth[short[miss]]
-            for w in range(3):
-                self.key[w][s] = ks[w][keep]
-            self.ptr[s] = base + new_ptr[k]
-            self.cnt[s] = counts[k]
-            self.used[s] = True
-        flat = source[ragged(ptr, cnt)]
+            self.rows[s] = np.stack([*[ks[w][keep] for w in range(3)], new_ptr[k].astype(np.uint64)
+                                     << _COUNT_BITS | counts[k].astype(np.uint64)], axis=1)
+        flat = self.pool.take(ragged(ptr, cnt))
+        if self.filled > 4 * len(self.rows):  # mostly overwritten entries: forget all
+            self.rows[:] = 0
+            self.filled = 0
         bounds = np.concatenate([[0], np.cumsum(cnt)])
         text_no_start = np.searchsorted(starts, np.cumsum(sizes) - sizes)
         text_no_end = np.searchsorted(starts, np.cumsum(sizes))
@@ -201,10 +198,10 @@ def worker_memo() -> dict:
 
 
 
-def byte_bpe(path: str) -> ChunkMemo:
+def byte_bpe(path: str, slots_log2: int = 20) -> ChunkMemo:
     """Memo over ``Tokenizer.from_file(path)`` (byte-level BPE), one a worker."""
     memo = worker_memo()
-    if ("byte", path) not in memo:
+    if ("byte", path, slots_log2) not in memo:
         import os
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
@@ -217,13 +214,20 @@ def byte_bpe(path: str) -> ChunkMemo:
             width[i] = added.get(i, len(piece))  # a byte-level piece has one character a byte
 
         starts = tuple(bytes([b]) for b in BYTE_BPE_SPACE) + BYTE_BPE_MARKS
+        single, tails = frozenset(BYTE_BPE_SPACE), frozenset(s[-1] for s in starts)
+
+        def between(c: bytes) -> bool:
+            """Does white space stand before the chunk and none after it?  (Its
+            first and last byte mostly tell.)"""
+            return (c[0] in single or c.startswith(starts)) and not (c[-1] in tails and c.endswith(starts))
 
         def encode_joined(chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
             # chunks can stand one after the other if the next begins with white
             # space and the one before doesn't end with it
             sizes = np.fromiter(map(len, chunks), dtype=np.int64, count=len(chunks))
-            after = [c for c in chunks if c.startswith(starts) and not c.endswith(starts)]
-            cut = [c for c in chunks if not c.startswith(starts) or c.endswith(starts)]
+            kept = list(map(between, chunks))
+            after = list(compress(chunks, kept))
+            cut = [] if len(after) == len(chunks) else [c for c, x in zip(chunks, kept) if not x]
             if cut:  # few: text starts, punctuation, trailing white space
                 order = {c: i for i, c in enumerate(after + cut)}
             runs = [b"".join(after).decode()] * bool(after) + [c.decode() for c in cut]
@@ -244,9 +248,9 @@ def byte_bpe(path: str) -> ChunkMemo:
             begin = (np.cumsum(counts) - counts)[place]
             return ids[ragged(begin, counts[place])], counts[place]
 
-        memo["byte", path] = ChunkMemo(encode_joined, BYTE_BPE_SPACE, BYTE_BPE_MARKS,
-                                         bytes(set(BYTE_BPE_CUT) - special))
-    return memo["byte", path]
+        memo["byte", path, slots_log2] = ChunkMemo(encode_joined, BYTE_BPE_SPACE, BYTE_BPE_MARKS,
+                                                   bytes(set(BYTE_BPE_CUT) - special), slots_log2)
+    return memo["byte", path, slots_log2]
 
 
 def byte_bpe_partial(path: str) -> np.ndarray:
