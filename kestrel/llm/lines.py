@@ -36,6 +36,7 @@ MARK_CHARS = 24
 NEAR_CHARS = 64
 ONE_EDIT_CHARS = 24
 LAST_ID = (1 << 63) - 1
+LETTERS = " eaniotrsh"     # counted before two lines are compared
 
 
 # -- verification ---------------------------------------------------------------
@@ -138,10 +139,10 @@ def verified(pairs: DataFrame, threshold: int, a: str = "line_a", b: str = "line
 
 # -- candidates -------------------------------------------------------------------
 
-def segment_keys(line: Column, threshold: int) -> Column:
-    """array<struct<key, own>>: the hashes of every substring with which a
-    line can meet a segment of a line as long or up to ``threshold`` shorter;
-    ``own`` marks the line's own segments (its entries in the index)."""
+def segment_keys(lines: DataFrame, threshold: int) -> DataFrame:
+    """(id, key, own): the hashes of every substring with which a line can
+    meet a segment of a line as long or up to ``threshold`` shorter; ``own``
+    marks the line's own segments (its entries in the index)."""
     parts = threshold + 1
     # (segment, how much shorter the indexed line is, shift): edits before a
     # segment shift it by at most its number, edits after it by at most the
@@ -150,22 +151,31 @@ def segment_keys(line: Column, threshold: int) -> Column:
         F.struct(F.lit(i).alias("i"), F.lit(short).alias("short"), F.lit(shift).alias("shift"))
         for short in range(threshold + 1) for i in range(parts)
         for shift in range(max(-i, short - (threshold - i)), min(i, short + threshold - i) + 1)])
+    # four bytes a character, so that a place in the line is found at once; one
+    # row a place, so that the key is one compiled expression
+    wide = lines.select("id", F.encode("line", "UTF-32").alias("wide"), F.length("line").alias("chars"))
+    each = wide.select("id", "wide", "chars", F.explode(places).alias("p")).select("id", "wide", "chars", "p.*")
+    size = F.col("chars") - F.col("short")   # length of the indexed line
+    longer = size % parts                    # so many last segments have one more
+    least = ((size - longer) / parts).cast("int")
+    first_longer = F.lit(parts) - longer
+    width = least + (F.col("i") >= first_longer).cast("int")
+    begin = least * F.col("i") + F.greatest(F.col("i") - first_longer, F.lit(0)) + F.col("shift")
+    return each.select("id", F.xxhash64("i", size, F.substring("wide", 4 * begin + 1, 4 * width)).alias("key"),
+                       ((F.col("short") == 0) & (F.col("shift") == 0)).alias("own"))
 
-    def keys(x):
-        def one(p):
-            size = x["chars"] - p["short"]       # length of the indexed line
-            longer = size % parts                # so many last segments have one more
-            least = ((size - longer) / parts).cast("int")
-            first_longer = F.lit(parts) - longer
-            width = least + (p["i"] >= first_longer).cast("int")
-            begin = least * p["i"] + F.greatest(p["i"] - first_longer, F.lit(0)) + p["shift"]
-            return F.struct(F.xxhash64(p["i"], size, F.substring(x["wide"], 4 * begin + 1, 4 * width)).alias("key"),
-                            ((p["short"] == 0) & (p["shift"] == 0)).alias("own"))
 
-        return F.transform(places, one)
+def letters(line: Column) -> Column:
+    """How often each of a few common characters stands in a line."""
+    return F.struct(*[(F.length(line) - F.length(F.replace(line, F.lit(c)))).alias(f"n{i}")
+                      for i, c in enumerate(LETTERS)])
 
-    # four bytes a character, so that a place in the line is found at once
-    return _let(F.struct(F.encode(line, "UTF-32").alias("wide"), F.length(line).alias("chars")), keys)
+
+def letters_near(a: Column, b: Column, threshold: int) -> Column:
+    """False only if more than ``threshold`` edits lie between two lines (an
+    edit changes at most two of the counts, by one each); a few instructions,
+    for the many pairs of a bucket whose test by characters can be spared."""
+    return sum((F.abs(a[f"n{i}"] - b[f"n{i}"]) for i in range(len(LETTERS))), F.lit(0)) <= 2 * threshold
 
 
 def line_links(distinct: DataFrame, threshold: int, near_chars: int, most_chars: int | None = None) -> DataFrame:
@@ -179,16 +189,18 @@ def line_links(distinct: DataFrame, threshold: int, near_chars: int, most_chars:
     long_lines = distinct.where(F.length("line") >= near_chars)
     if most_chars is not None:
         long_lines = long_lines.where(F.length("line") <= most_chars)
-    rows = stored(long_lines.select("id", F.explode(segment_keys(F.col("line"), threshold)).alias("k"))
-                  .select("id", "k.*"), "line-keys")
+    # the keys move once: buckets are counted and joined where they lie, most go there
+    rows = segment_keys(long_lines, threshold).repartition("key")
     heads = rows.groupBy("key").agg(F.min(F.when(F.col("own"), F.col("id"))).alias("first"),
                                     F.min("id").alias("lo"), F.max("id").alias("hi"))
     heads = heads.where("first IS NOT NULL AND lo < hi").select("key", "first")
-    shared = stored(rows.join(heads, "key").distinct(), "line-buckets")
+    shared = stored(rows.join(heads.hint("shuffle_hash"), "key").distinct(), "line-buckets")
+    # few lines are in a bucket: only these are joined to pairs
+    met = stored(long_lines.join(shared.select("id").distinct().hint("shuffle_hash"), "id", "left_semi"), "line-texts")
 
     def texts(pairs: DataFrame) -> DataFrame:
-        return (pairs.join(distinct.select(F.col("id").alias("a"), F.col("line").alias("line_a")), "a")
-                .join(distinct.select(F.col("id").alias("b"), F.col("line").alias("line_b")), "b"))
+        return (pairs.join(met.select(F.col("id").alias("a"), F.col("line").alias("line_a")), "a")
+                .join(met.select(F.col("id").alias("b"), F.col("line").alias("line_b")), "b"))
 
     pairs = shared.where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
     star = stored(verified(texts(pairs), threshold).select("a", "b"), "line-star")
@@ -199,10 +211,12 @@ def line_links(distinct: DataFrame, threshold: int, near_chars: int, most_chars:
         F.coalesce("component", "id").alias("component"))
     several = marked.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
     opened = stored(marked.join(several.select("key"), "key", "left_semi")
-                    .join(distinct, "id"), "line-open-buckets")
+                    .join(met.withColumn("letters", letters(F.col("line"))), "id"), "line-open-buckets")
+    # of two lines that are both apart from the first, one meets the other
     a, b = opened.where("NOT linked").alias("a"), opened.alias("b")
     rest = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.component") != F.col("b.component"))
-                  & (F.col("a.own") | F.col("b.own"))
+                  & (F.col("a.own") | F.col("b.own")) & (F.col("b.linked") | (F.col("a.id") < F.col("b.id")))
+                  & letters_near(F.col("a.letters"), F.col("b.letters"), threshold)
                   & plausible(F.col("a.line"), F.col("b.line"), threshold))
     rest = rest.select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), F.col("a.line").alias("line_a"),
                        F.col("b.line").alias("line_b"))
@@ -242,7 +256,7 @@ def removals(rows: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_C
     classes = stored(components(links).withColumnRenamed("component", "class"), "line-classes")
     # 128 bits name a line from here on
     name = [F.xxhash64("line").alias("h1"), F.xxhash64("line", F.lit(1)).alias("h2")]
-    repeated = (distinct.join(classes, "id", "left").where("class IS NOT NULL OR n > 1")
+    repeated = (distinct.join(classes.hint("shuffle_hash"), "id", "left").where("class IS NOT NULL OR n > 1")
                 .select(*name, F.coalesce("class", "id").alias("class")))
     seen = stored(lines.select("doc", "part", "line_no", *name).join(repeated, ["h1", "h2"]).drop("h1", "h2"), "line-places")
     first = seen.groupBy("class").agg(F.min(F.struct("doc", "part", "line_no")).alias("first"))
