@@ -121,12 +121,18 @@ def _automaton(xs: str, ys: str, threshold: int) -> Column:
 
 
 def verified(pairs: DataFrame, threshold: int, a: str = "line_a", b: str = "line_b") -> DataFrame:
-    """The pairs whose texts ``a`` and ``b`` are within ``threshold`` edits.
-    What they share at their ends is cut off first (that changes no distance);
-    the rest goes through the banded automaton."""
+    """The pairs whose texts ``a`` and ``b`` are within ``threshold`` edits."""
+    return banded(pairs.where(plausible(F.col(a), F.col(b), threshold)), threshold, a, b)
+
+
+def banded(pairs: DataFrame, threshold: int, a: str = "line_a", b: str = "line_b") -> DataFrame:
+    """As ``verified``, of pairs that are ``plausible``: a second test above a
+    join would be put before the join's other conditions and so meet all its
+    pairs.  What the texts share at their ends is cut off first (that changes
+    no distance); the rest goes through the banded automaton."""
     # split gives one empty string for an empty text
     chars = lambda t: F.filter(F.split(t, ""), lambda ch: ch != "")
-    p = pairs.where(plausible(F.col(a), F.col(b), threshold)).withColumn("_r", _rests(
+    p = pairs.withColumn("_r", _rests(
         F.col(a), F.col(b), lambda r: F.struct(chars(r["x"]).alias("x"), chars(r["y"]).alias("y"))))
     # written, so that the optimizer doesn't put these expressions into the
     # automaton's steps
@@ -220,7 +226,7 @@ def line_links(distinct: DataFrame, threshold: int, near_chars: int, most_chars:
                   & plausible(F.col("a.line"), F.col("b.line"), threshold))
     rest = rest.select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), F.col("a.line").alias("line_a"),
                        F.col("b.line").alias("line_b"))
-    return star.union(verified(rest, threshold).select("a", "b").distinct())
+    return star.union(banded(rest, threshold).select("a", "b").distinct())
 
 
 # -- the operator -------------------------------------------------------------------
@@ -254,11 +260,12 @@ def removals(rows: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_C
     if one_edit_chars is not None:  # a line of near_chars may be one edit from a shorter one
         links = links.union(line_links(distinct.select("id", "line"), 1, one_edit_chars, near_chars))
     classes = stored(components(links).withColumnRenamed("component", "class"), "line-classes")
-    # 128 bits name a line from here on
+    # 128 bits name a line from here on; no text moves with the joins
     name = [F.xxhash64("line").alias("h1"), F.xxhash64("line", F.lit(1)).alias("h2")]
-    repeated = (distinct.join(classes.hint("shuffle_hash"), "id", "left").where("class IS NOT NULL OR n > 1")
-                .select(*name, F.coalesce("class", "id").alias("class")))
-    seen = stored(lines.select("doc", "part", "line_no", *name).join(repeated, ["h1", "h2"]).drop("h1", "h2"), "line-places")
+    repeated = (distinct.select("id", "n", *name).join(classes.hint("shuffle_hash"), "id", "left")
+                .where("class IS NOT NULL OR n > 1").select("h1", "h2", F.coalesce("class", "id").alias("class")))
+    seen = stored(lines.select("doc", "part", "line_no", *name).join(repeated.hint("shuffle_hash"), ["h1", "h2"])
+                  .drop("h1", "h2"), "line-places")
     first = seen.groupBy("class").agg(F.min(F.struct("doc", "part", "line_no")).alias("first"))
     gone = (seen.join(first, "class").where(F.struct("doc", "part", "line_no") != F.col("first")).distinct()
             .select("doc", "part", F.struct("line_no", F.col("first.doc").alias("first_doc"),

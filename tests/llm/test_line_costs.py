@@ -42,3 +42,39 @@ def test_letter_counts_keep_all_near_pairs(spark):
     near = [lines.letters_near(lines.letters(F.col("a")), lines.letters(F.col("b")), t) for t in (1, 2)]
     for x in d.select("edits", near[0].alias("one"), near[1].alias("two")).collect():
         assert (x.one or x.edits > 1) and (x.two or x.edits > 2) and not (x.edits == 9 and x.two)
+
+
+def test_letters_come_before_characters(spark, monkeypatch):
+    """Before, verifying repeated the test by characters, which the optimizer
+    put before all other conditions of the join, so every pair paid for it."""
+    plans, stored = [], lines.stored
+
+    def kept(df, name, *args, **kw):
+        if name == "line-pairs":
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return stored(df, name, *args, **kw)
+
+    monkeypatch.setattr(lines, "stored", kept)
+    same = "the first part of all these lines is the same in every one of them"
+    rows = [(i, f"{same} {w * 12}") for i, w in enumerate(("abcde", "fghij", "klmno", "pqrst"))]
+    rows += [(4, rows[3][1][:-1] + "Z")]
+    links = lines.line_links(spark.createDataFrame(rows, "id long, line string"), 2, 64)
+    assert {(x.a, x.b) for x in links.collect()} == {(3, 4)}
+    condition = plans[-1].split("Join Inner")[1]  # the star's pairs come first
+    assert 0 < condition.index(".n0") < condition.index("transform(")
+
+
+def test_no_text_moves_to_the_classes(spark, monkeypatch):
+    """Before, the texts of all lines moved with the join to their classes."""
+    plans, stored = {}, lines.stored
+
+    def kept(df, name, *args, **kw):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return stored(df, name, *args, **kw)
+
+    monkeypatch.setattr(lines, "stored", kept)
+    texts = ["short", "b" * 30, "c" * 70, "c" * 69 + "d"]
+    docs = spark.createDataFrame([(1, "\n".join(texts)), (2, "\n".join(texts[1:] + ["own"]))], "doc_id long, text string")
+    out = lines.drop_repeated(docs, one_edit_chars=24).orderBy("doc.doc_id").collect()
+    assert [r.doc.text for r in out] == ["\n".join(texts[:3]), "own"]
+    assert "xxhash64(line" in plans["line-places"].split("Join LeftOuter")[1]  # hashed below the join
