@@ -60,6 +60,34 @@ def test_against_plain_trees(spark, monkeypatch, keep, cells):
         assert np.abs(models[name].predict(x) - want).max() < 1e-9
 
 
+@pytest.mark.parametrize("task_most, block", [(1 << 20, 1 << 16), (900, 100), (899, 1 << 16)])
+def test_a_task_a_model_and_a_job_a_pass_give_the_same(spark, monkeypatch, task_most, block):
+    """One block of rows, several, and more rows than a task takes."""
+    monkeypatch.setattr(Q, "TASK_MOST", task_most)
+    monkeypatch.setattr(Q, "BLOCK_ROWS", block)
+    x, y = data()
+    models = Q.fit(frame(spark, x, y), ALPHAS, rounds=5, depth=3, learning_rate=0.3)
+    for name, alpha in ALPHAS.items():
+        init, want = plain(x, y, alpha, 5, 3, 0.3)
+        assert models[name].init == pytest.approx(init)
+        assert np.abs(models[name].predict(x) - want).max() < 1e-9
+
+
+def test_jobs_do_not_grow_with_rounds(spark):
+    """Ten rounds were over sixty jobs, 300 rounds 1 900."""
+    x, y = data()
+    jobs = {}
+    for rounds in (2, 40):
+        spark.sparkContext.setJobGroup(f"boost-{rounds}", "")
+        try:
+            Q.fit(frame(spark, x, y), ALPHAS, rounds=rounds, depth=2)
+        finally:
+            for k in ("spark.jobGroup.id", "spark.job.description", "spark.job.interruptOnCancel"):
+                spark.sparkContext.setLocalProperty(k, None)
+        jobs[rounds] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"boost-{rounds}"))
+    assert 0 < jobs[40] == jobs[2] < 20
+
+
 def test_bundle_transform_and_importances(spark, tmp_path):
     x, y = data()
     models = Q.fit(frame(spark, x, y, 1), ALPHAS, rounds=4, depth=2)
