@@ -73,18 +73,22 @@ def test_a_task_a_model_and_a_job_a_pass_give_the_same(spark, monkeypatch, task_
         assert np.abs(models[name].predict(x) - want).max() < 1e-9
 
 
+def with_jobs(spark, name, run):
+    """What ``run`` gives and how many jobs it took."""
+    spark.sparkContext.setJobGroup(name, "")
+    try:
+        out = run()
+    finally:
+        for k in ("spark.jobGroup.id", "spark.job.description", "spark.job.interruptOnCancel"):
+            spark.sparkContext.setLocalProperty(k, None)
+    return out, len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+
+
 def test_jobs_do_not_grow_with_rounds(spark):
     """Ten rounds were over sixty jobs, 300 rounds 1 900."""
     x, y = data()
-    jobs = {}
-    for rounds in (2, 40):
-        spark.sparkContext.setJobGroup(f"boost-{rounds}", "")
-        try:
-            Q.fit(frame(spark, x, y), ALPHAS, rounds=rounds, depth=2)
-        finally:
-            for k in ("spark.jobGroup.id", "spark.job.description", "spark.job.interruptOnCancel"):
-                spark.sparkContext.setLocalProperty(k, None)
-        jobs[rounds] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"boost-{rounds}"))
+    jobs = {rounds: with_jobs(spark, f"boost-{rounds}", lambda r=rounds: Q.fit(
+        frame(spark, x, y), ALPHAS, rounds=r, depth=2))[1] for rounds in (2, 40)}
     assert 0 < jobs[40] == jobs[2] < 20
 
 
@@ -145,3 +149,16 @@ def test_queries_share_one_trained_bundle(spark, views, monkeypatch):
     assert fitted == [300] and 0 < len(top) <= 10
     assert len(logs) > 0 and all(r.prediction_P50 <= r.prediction_P90 for r in logs)
     assert set(m.DELAY_FEATURES) >= {"month_sin", "weather_code_75", "direction_id_1"}
+
+
+def test_importance_of_all_rounds_in_few_jobs(spark, views, monkeypatch):
+    """The training alone was 1 900 jobs."""
+    from kestrel.plans import modeling as m
+    monkeypatch.setattr(m, "_BUNDLES", {})
+    top, jobs = with_jobs(spark, "importance", lambda: m.ml_feature_importance(views).collect())
+    assert 0 < jobs < 300
+    assert [r["rank"] for r in top] == list(range(1, 11))
+    assert [r.importance for r in top] == sorted((r.importance for r in top), reverse=True) and top[0].importance > 0
+    models = m.delay_models(views)
+    assert {n: len(x.value) for n, x in models.items()} == dict.fromkeys(m.QUANTILES, m.BOOST_ROUNDS)
+    assert all(len(v) == 2 ** m.BOOST_DEPTH for v in models["P90"].value)
