@@ -162,3 +162,17 @@ def test_importance_of_all_rounds_in_few_jobs(spark, views, monkeypatch):
     models = m.delay_models(views)
     assert {n: len(x.value) for n, x in models.items()} == dict.fromkeys(m.QUANTILES, m.BOOST_ROUNDS)
     assert all(len(v) == 2 ** m.BOOST_DEPTH for v in models["P90"].value)
+
+
+def test_boost_query_of_all_rounds_in_few_jobs(spark, views, monkeypatch):
+    """The training alone was 1 900 jobs."""
+    from kestrel.plans import modeling as m
+    monkeypatch.setattr(m, "_BUNDLES", {})
+    rows, jobs = with_jobs(spark, "boost-query", lambda: m.ml_quantile_boost(views).collect())
+    assert 0 < jobs < 400
+    test = m.delay_training_frame(views).where("split = 'test'").select("id", "label", "features").collect()
+    models, x = m.delay_models(views), np.array([r.features.toArray() for r in test])
+    want = {r.id: (r.label, *p) for r, *p in zip(test, *(models[n].predict(x) for n in m.QUANTILES))}
+    assert len(rows) == len(want) == len(test)
+    for r in rows:
+        assert (r.actual_delay, r.prediction_P50, r.prediction_P80, r.prediction_P90) == pytest.approx(want[r.id], abs=1e-6)
